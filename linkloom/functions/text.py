@@ -23,7 +23,7 @@ def collapse_spaces(c: Column) -> Column:
 
 
 def blank_to_null(c: Column) -> Column:
-    return F.when(c != "", c)
+    return F.nullif(c, F.lit(""))
 
 
 def tokens_to_null(c: Column, data: Iterable[str] = ()) -> Column:
@@ -52,8 +52,11 @@ def country_code(c: Column, literal_nulls: bool = False) -> Column:
 
 
 def lenient_date(c: Column) -> Column:
-    """ISO dates, leading zeros optional; anything else is null."""
-    return F.try_to_date(c, "yyyy-M-d")
+    """ISO dates, leading zeros optional; anything else is null.
+
+    Extracting first names the column once and spares the cost of failed parses.
+    """
+    return F.regexp_extract(c, r"\A\d{4}-\d{1,2}-\d{1,2}\z", 0).try_cast("date")
 
 
 def first_present(df: DataFrame, *names: str) -> Column:

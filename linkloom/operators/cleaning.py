@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.functions import text
 from linkloom.operators.dedup import keep_first, kept
-from linkloom.schemas import FIRST_YEAR, LAST_YEAR, MODEL
+from linkloom.schemas import MODEL, YEARS
 from linkloom.sources.delimited import ORDINAL
 
 
@@ -23,15 +23,15 @@ def _stage(rows: DataFrame, table: str, order: Column | None, valid: Column) ->
 def patents_stage(raw: DataFrame, order: Column | None = None) -> DataFrame:
     day = text.lenient_date(F.col("date"))
     rows = raw.withColumns({
-        "title": text.blank_to_null(text.collapse_spaces(F.col("title"))),
+        "title": text.collapse_spaces(F.col("title")),
         "abstract": text.blank_to_null(text.collapse_spaces(F.col("abstract"))),
         "filing_date": day,
         "year": F.year(day),
     })
     valid = (
         F.col("patent_id").isNotNull()
-        & F.col("title").isNotNull()
-        & F.col("year").between(FIRST_YEAR, LAST_YEAR)
+        & (F.length("title") > 0)
+        & F.col("year").isin(list(YEARS))
     )
     return _stage(rows, "patents", order, valid)
 

@@ -11,20 +11,20 @@ def keep_first(
     """One row per key: the first valid row in ``order``.
 
     The result has ``keys``, ``payload``, ``_valid`` and ``_rows``. Invalid rows are folded
-    into one row with ``_valid`` false, so the sum of ``_rows`` is the input row count.
+    into the group of the null key, so the sum of ``_rows`` is the input row count.
     It is a plain aggregation: each task reduces its own copies of a key to one before
     the shuffle, so neither a very frequent key nor many bad rows reach one task whole.
+    ``_valid`` is an aggregate too; filters on it thus stay above the shuffle, where they
+    do not repeat the work of the expressions below it.
     """
-    ok = F.coalesce(valid, F.lit(False))
     row = F.struct(order.alias("_order"), *payload)
-    folded = (
-        df.select(
-            ok.alias("_valid"),
-            *[F.when(ok, F.col(k)).alias(k) for k in keys],
-            F.when(ok, row).alias("_row"),
-        )
-        .groupBy("_valid", *keys)
-        .agg(F.min("_row").alias("_row"), F.count("*").alias("_rows"))
+    marked = df.withColumn("_ok", F.coalesce(valid, F.lit(False))).select(
+        "_ok",
+        *[F.when(F.col("_ok"), F.col(k)).alias(k) for k in keys],
+        F.when(F.col("_ok"), row).alias("_row"),
+    )
+    folded = marked.groupBy(*keys).agg(
+        F.min("_row").alias("_row"), F.max("_ok").alias("_valid"), F.count("*").alias("_rows")
     )
     return folded.select(
         *keys, *[F.col(f"_row.{p}").alias(p) for p in payload], "_valid", "_rows"

@@ -61,7 +61,7 @@ def run_job(
     pairs = raw("g_patent_assignee")
     links("patent_companies", pairs, cleaning.clean_patent_companies(pairs, patents, companies))
 
-    tables = read_tables(spark, store)
+    tables = read_tables(spark, store, unique_links=True)
     require_integrity(tables)
     if csv:
         write_clean_csv(tables, f"{out_dir}/clean")

@@ -25,7 +25,7 @@ NULL_TOKENS = [
 ]
 
 # Accepted filing years and the label of a missing country.
-FIRST_YEAR, LAST_YEAR = 1976, 2030
+YEARS = range(1976, 2031)
 UNKNOWN = "UNKNOWN"
 
 _STRING = T.StringType()

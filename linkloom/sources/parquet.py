@@ -35,8 +35,9 @@ def read_table(spark: SparkSession, store: str, table: str) -> DataFrame:
     return spark.read.schema(schema).parquet(f"{store}/{table}").select(*schema.names)
 
 
-def read_tables(spark: SparkSession, store: str, unique_links: bool = True) -> Tables:
-    """The stored tables; ``unique_links`` holds for those :func:`run_job` wrote."""
+def read_tables(spark: SparkSession, store: str, unique_links: bool = False) -> Tables:
+    """The stored tables. Say ``unique_links=True`` for those the batch job wrote; their
+    counts then need no shuffle of the links."""
     return Tables(
         **{table: read_table(spark, store, table) for table in MODEL}, unique_links=unique_links
     )

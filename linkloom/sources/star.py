@@ -88,8 +88,7 @@ _COUNTRY = """
     CASE n_nationkey WHEN 0 THEN NULL WHEN 1 THEN '  ' WHEN 2 THEN ' us\u00a0'
                      WHEN 3 THEN 'NA' WHEN 4 THEN 'null' ELSE lower(r_name) END
 """
-_YEAR, _MONTH, _DAY = (f"cast({part}(l_shipdate) AS string)" for part in ("year", "month", "day"))
-_MM, _DD = f"lpad({_MONTH}, 2, '0')", f"lpad({_DAY}, 2, '0')"
+_DAY = "cast(cast(l_shipdate AS date) AS string)"
 
 RAW_SQL: dict[str, str] = {
     "g_patent": f"""
@@ -100,11 +99,11 @@ RAW_SQL: dict[str, str] = {
             CASE WHEN l_tax < 0.01 THEN NULL WHEN l_tax < 0.02 THEN ' \t'
                  ELSE concat('  supplied\n\nby ', cast(l_suppkey AS string)) END AS abstract,
             CASE WHEN l_discount < 0.01 THEN NULL
-                 WHEN l_discount < 0.02 THEN concat('1975-', {_MM}, '-', {_DD})
-                 WHEN l_returnflag = 'A' THEN concat({_YEAR}, '-', {_MM}, '-', {_DD})
-                 WHEN l_returnflag = 'N' THEN concat({_YEAR}, '-', {_MONTH}, '-', {_DAY})
-                 WHEN l_linestatus = 'O' THEN concat({_YEAR}, '/', {_MM}, '/', {_DD})
-                 ELSE concat({_YEAR}, '-02-', {_DD}) END AS date,
+                 WHEN l_discount < 0.02 THEN concat('1975', substr({_DAY}, 5))
+                 WHEN l_returnflag = 'A' THEN {_DAY}
+                 WHEN l_returnflag = 'N' THEN replace({_DAY}, '-0', '-')
+                 WHEN l_linestatus = 'O' THEN replace({_DAY}, '-', '/')
+                 ELSE concat(substr({_DAY}, 1, 5), '02-', substr({_DAY}, 9)) END AS date,
             l_linenumber, l_partkey, l_suppkey, l_shipdate, l_quantity, l_extendedprice,
             l_discount, l_tax, l_returnflag, l_linestatus
         FROM {{lineitem}}
