@@ -102,7 +102,7 @@ def _job(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _collapsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    documents = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    documents = star.documents(spark, sf_dir)
     return documents.select("doc_id", text.collapse_spaces(F.col("text")).alias("text"))
 
 

@@ -53,24 +53,6 @@ def patents_per_country(links: DataFrame, inventors: DataFrame) -> DataFrame:
     return pairs.groupBy("country").agg(F.count("patent_id").alias("patent_count"))
 
 
-def patents_and_links_per_country(links: DataFrame, inventors: DataFrame) -> DataFrame:
-    """``country, patent_count, links``; links of unknown countries or inventors included.
-
-    One pass gives the count and its denominator. The patents of unknown countries do
-    not count, so their ids are blanked: each task then has one such row to shuffle.
-    """
-    homes = inventors.select("inventor_id", "country")
-    pairs = (
-        links.join(homes, "inventor_id", "left")
-        .select("country", F.when(known(F.col("country")), F.col("patent_id")).alias("patent_id"))
-        .groupBy("country", "patent_id")
-        .agg(F.count("*").alias("links"))
-    )
-    return pairs.groupBy("country").agg(
-        F.count("patent_id").alias("patent_count"), F.sum("links").alias("links")
-    )
-
-
 def links_per_country(links: DataFrame, inventors: DataFrame) -> DataFrame:
     """``country, links`` over inventors of a known country."""
     homes = inventors.where(known(F.col("country"))).select("inventor_id", "country")
@@ -81,5 +63,10 @@ def links_per_country(links: DataFrame, inventors: DataFrame) -> DataFrame:
     )
 
 
-def with_share(counts: DataFrame, whole: Column, digits: int = 2) -> DataFrame:
-    return counts.withColumn("share_pct", percent(F.col("patent_count"), whole, digits))
+def with_share(counts: DataFrame, links: DataFrame) -> DataFrame:
+    """Add ``share_pct``: patents in percent of all rows of ``links``.
+
+    The row count is a subquery of its own; on stored tables it reads no column at all.
+    """
+    whole = links.agg(F.count("*")).scalar()
+    return counts.withColumn("share_pct", percent(F.col("patent_count"), whole, 2))

@@ -31,11 +31,9 @@ def q3_country_share(t: Tables, k: int = 20) -> DataFrame:
 
     The share is of all inventor links, unknown countries included, not of all patents.
     """
-    counts = counting.patents_and_links_per_country(t.patent_inventors, t.inventors)
-    whole = counts.agg(F.sum("links")).scalar()
-    known = counts.where(counting.known(F.col("country")))
-    best = ranking.top(known, k, "patent_count", "country")
-    return counting.with_share(best, whole).select("country", "patent_count", "share_pct")
+    counts = counting.patents_per_country(t.patent_inventors, t.inventors)
+    best = ranking.top(counts, k, "patent_count", "country")
+    return counting.with_share(best, t.patent_inventors)
 
 
 def q4_yearly_trend(t: Tables) -> DataFrame:

@@ -146,13 +146,12 @@ def d_countries(
     The share is of all inventor links, those of other years included.
     """
     links = counting.filed_in(t.patent_inventors, t, year_from, year_to)
-    whole = t.patent_inventors.agg(F.count("*")).scalar()
-    best = ranking.top(
-        counting.patents_per_country(links, t.inventors), k, "patent_count", "country"
+    counts = counting.patents_per_country(links, t.inventors)
+    best = ranking.top(counts, k, "patent_count", "country")
+    ranked = ranking.positions(best, "patent_count", "country", "Rank")
+    return counting.with_share(ranked, t.patent_inventors).withColumnRenamed(
+        "patent_count", "patents"
     )
-    return counting.with_share(
-        ranking.positions(best, "patent_count", "country", "Rank"), whole
-    ).withColumnRenamed("patent_count", "patents")
 
 
 def d_yoy_growth(t: Tables, year_from: int = YEARS[0], year_to: int = YEARS[1]) -> DataFrame:
