@@ -46,6 +46,27 @@ def patents_per_entity(t: Tables, links: DataFrame, entities: DataFrame) -> Data
     return counted.join(entities, key)
 
 
+def inventor_counts(t: Tables) -> DataFrame:
+    """inventor_id, patent_count, name, country of all inventors with links."""
+    if "inventors" in t.counts:
+        return t.counts["inventors"]
+    return patents_per_entity(t, t.patent_inventors, t.inventors)
+
+
+def company_counts(t: Tables) -> DataFrame:
+    """company_id, patent_count, name, country of all companies with links."""
+    if "companies" in t.counts:
+        return t.counts["companies"]
+    return patents_per_entity(t, t.patent_companies, t.companies)
+
+
+def country_counts(t: Tables) -> DataFrame:
+    """country, patent_count of all known inventor countries."""
+    if "countries" in t.counts:
+        return t.counts["countries"]
+    return patents_per_country(t.patent_inventors, t.inventors)
+
+
 def patents_per_country(links: DataFrame, inventors: DataFrame) -> DataFrame:
     """``country, patent_count`` over inventors of a known country."""
     homes = inventors.where(known(F.col("country"))).select("inventor_id", "country")

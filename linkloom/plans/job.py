@@ -10,7 +10,7 @@ from linkloom.operators import cleaning
 from linkloom.operators.quality import (
     count_columns, counts_frame, drop_report, require_integrity,
 )
-from linkloom.plans.reports import write_chart_data, write_reports
+from linkloom.plans.reports import store_counts, write_chart_data, write_reports
 from linkloom.session import build_session
 from linkloom.sources.delimited import read_raw, write_clean_csv
 from linkloom.sources.parquet import by_year, read_table, read_tables, write_table
@@ -65,6 +65,7 @@ def run_job(
     require_integrity(tables)
     if csv:
         write_clean_csv(tables, f"{out_dir}/clean")
+    tables = store_counts(tables, f"{store}/counts")
     write_reports(tables, f"{out_dir}/reports")
     if charts:
         write_chart_data(tables, f"{out_dir}/reports/charts")

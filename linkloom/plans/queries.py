@@ -14,14 +14,14 @@ _BROADCAST_ROWS = 250_000
 
 def q1_top_inventors(t: Tables, k: int = 20) -> DataFrame:
     """name, country, patent_count of the inventors with most patents."""
-    counts = counting.patents_per_entity(t, t.patent_inventors, t.inventors)
+    counts = counting.inventor_counts(t)
     best = ranking.top(counts, k, "patent_count", "inventor_id")
     return best.select("name", "country", "patent_count")
 
 
 def q2_top_companies(t: Tables, k: int = 20) -> DataFrame:
     """company, country, patent_count of the companies with most patents."""
-    counts = counting.patents_per_entity(t, t.patent_companies, t.companies)
+    counts = counting.company_counts(t)
     best = ranking.top(counts, k, "patent_count", "company_id")
     return best.select(F.col("name").alias("company"), "country", "patent_count")
 
@@ -31,7 +31,7 @@ def q3_country_share(t: Tables, k: int = 20) -> DataFrame:
 
     The share is of all inventor links, unknown countries included, not of all patents.
     """
-    counts = counting.patents_per_country(t.patent_inventors, t.inventors)
+    counts = counting.country_counts(t)
     best = ranking.top(counts, k, "patent_count", "country")
     return counting.with_share(best, t.patent_inventors)
 
@@ -125,7 +125,7 @@ def q7_ranked_inventors(t: Tables, k: int = 50) -> DataFrame:
     Only the top ``k`` are ranked; the total is an aggregate of its own over the same
     counts, whose shuffle Spark runs once.
     """
-    counts = counting.patents_per_entity(t, t.patent_inventors, t.inventors)
+    counts = counting.inventor_counts(t)
     whole = counts.agg(F.sum("patent_count")).scalar()
     best = ranking.top(counts, k, "patent_count", "inventor_id")
     return (

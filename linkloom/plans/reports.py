@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linkloom.operators import counting, ranking
@@ -53,9 +55,8 @@ def r_ranked_inventors(t: Tables, k: int = 50) -> DataFrame:
 
 def r_summary(t: Tables, k: int = 10) -> DataFrame:
     """One row: the total, three lists of the top ``k``, and all years."""
-    people = counting.patents_per_entity(t, t.patent_inventors, t.inventors)
-    firms = counting.patents_per_entity(t, t.patent_companies, t.companies)
-    firms = firms.withColumnRenamed("name", "company")
+    people = counting.inventor_counts(t)
+    firms = counting.company_counts(t).withColumnRenamed("name", "company")
     countries = q.q3_country_share(t, k)
     sections = {
         "top_inventors": _ranked(people, k, "inventor_id", "name", "country", "patents"),
@@ -85,6 +86,23 @@ def _listed(rows: DataFrame, *fields: str) -> Column:
     return rows.agg(F.sort_array(F.collect_list(F.struct(*fields)))).scalar()
 
 
+def store_counts(t: Tables, folder: str) -> Tables:
+    """Write the counts that the reports and charts share, and let them start from there.
+
+    Without this every report would scan and shuffle the links anew.
+    """
+    shared = {
+        "inventors": counting.inventor_counts(t),
+        "companies": counting.company_counts(t),
+        "countries": counting.country_counts(t),
+    }
+    stored = {}
+    for name, frame in shared.items():
+        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
+        stored[name] = frame.sparkSession.read.schema(frame.schema).parquet(f"{folder}/{name}")
+    return replace(t, counts=stored)
+
+
 def write_report(frame: DataFrame, path: str, sort: str | None = None) -> None:
     """A short frame as one CSV file. Top-k results are one ordered partition already."""
     one = frame.repartition(1).sortWithinPartitions(sort) if sort else frame.coalesce(1)

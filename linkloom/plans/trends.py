@@ -15,7 +15,7 @@ YEARS = (2015, 2023)
 
 def v_top_inventors(t: Tables, k: int = 10) -> DataFrame:
     """name, patents of the top inventors, smallest first."""
-    counts = counting.patents_per_entity(t, t.patent_inventors, t.inventors)
+    counts = counting.inventor_counts(t)
     best = ranking.top(counts, k, "patent_count", "inventor_id")
     return best.orderBy("patent_count", F.desc("inventor_id")).select(
         "name", F.col("patent_count").alias("patents")
@@ -33,7 +33,7 @@ def v_country_share_other(t: Tables, keep: int = 7, pool: int | None = 8) -> Dat
     "Other" is what the ``pool`` largest countries have beyond the ``keep`` largest; with
     ``pool=None`` it is what all other countries have.
     """
-    counts = counting.patents_per_country(t.patent_inventors, t.inventors)
+    counts = counting.country_counts(t)
     if pool is not None:
         counts = ranking.top(counts, pool, "patent_count", "country")
     whole = counts.agg(F.sum("patent_count")).scalar()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -16,6 +16,8 @@ class Tables:
     Entity keys are unique. ``unique_links`` says that no link pair repeats either, as in
     tables this package cleaned or wrote; patents per entity are then a plain count, which
     needs no shuffle of the links. Leave it off for frames of unknown origin.
+
+    ``counts`` may hold patent counts stored beforehand, which several reports start from.
     """
 
     patents: DataFrame
@@ -24,6 +26,7 @@ class Tables:
     patent_inventors: DataFrame
     patent_companies: DataFrame
     unique_links: bool = False
+    counts: dict[str, DataFrame] = field(default_factory=dict)
 
     def items(self) -> list[tuple[str, DataFrame]]:
         return [(name, getattr(self, name)) for name in MODEL]
