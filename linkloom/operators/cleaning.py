@@ -103,8 +103,8 @@ def _links(raw: DataFrame, entity: Column, patents: DataFrame, entities: DataFra
     pairs = raw.select("patent_id", entity)
     key = pairs.columns[1]
     return (
-        pairs.dropna()
-        .dropDuplicates()
+        pairs.where(F.col("patent_id").isNotNull() & F.col(key).isNotNull())
+        .distinct()
         .join(entities.select(key), key, "left_semi")
         .join(patents.select("patent_id"), "patent_id", "left_semi")
         .select("patent_id", key)

@@ -50,10 +50,10 @@ def model_tables(spark: SparkSession, sf_dir: str) -> Tables:
         companies=_people(read("customer"), read("nation"), "c", "c_custkey", "company_id"),
         patent_inventors=lines.select(
             F.col("l_orderkey").alias("patent_id"), F.col("l_suppkey").alias("inventor_id")
-        ).distinct(),
+        ).where("patent_id IS NOT NULL AND inventor_id IS NOT NULL").distinct(),
         patent_companies=orders.select(
             F.col("o_orderkey").alias("patent_id"), F.col("o_custkey").alias("company_id")
-        ),
+        ).where("patent_id IS NOT NULL AND company_id IS NOT NULL"),
         unique_links=True,
     )
 
