@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -12,7 +13,7 @@ from linkloom.plans import queries as q
 from linkloom.plans import reports as r
 from linkloom.plans import trends as v
 from linkloom.plans.job import run_job
-from linkloom.schemas import RAW_FILES
+from linkloom.schemas import PRIMARY_KEYS, RAW_FILES
 from linkloom.session import scratch_path
 from linkloom.sources import star
 from linkloom.sources.delimited import ORDINAL, write_csv
@@ -41,10 +42,28 @@ def _patent_detail(t: Tables) -> DataFrame:
 
 
 class Cleaned:
-    """The five clean tables over the raw ones, as lazy frames."""
+    """The five clean tables over the raw ones.
+
+    As in the job, links are checked against written entities: each is cleaned once, and
+    AQE can split a frequent key, which it cannot where a join side is an aggregate.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
         self.raw = star.raw_tables(spark, sf_dir)
+        self.done: set[str] = set()
+
+    @cached_property
+    def store(self) -> str:
+        return scratch_path(self.spark)
+
+    def written(self, table: str) -> DataFrame:
+        (key,) = PRIMARY_KEYS[table]
+        path = f"{self.store}/{table}"
+        if table not in self.done:
+            getattr(self, table)().select(key).write.mode("overwrite").parquet(path)
+            self.done.add(table)
+        return self.spark.read.schema(f"{key} string").parquet(path)
 
     def patents(self) -> DataFrame:
         return cleaning.clean_patents(self.raw["g_patent"])
@@ -57,12 +76,12 @@ class Cleaned:
 
     def patent_inventors(self) -> DataFrame:
         return cleaning.clean_patent_inventors(
-            self.raw["g_patent_inventor"], self.patents(), self.inventors()
+            self.raw["g_patent_inventor"], self.written("patents"), self.written("inventors")
         )
 
     def patent_companies(self) -> DataFrame:
         return cleaning.clean_patent_companies(
-            self.raw["g_patent_assignee"], self.patents(), self.companies()
+            self.raw["g_patent_assignee"], self.written("patents"), self.written("companies")
         )
 
     def drop_report(self) -> DataFrame:

@@ -98,7 +98,8 @@ def _links(raw: DataFrame, entity: Column, patents: DataFrame, entities: DataFra
     """Copies of a pair collapse before any shuffle, and the first shuffle is on the pair.
 
     A patent or entity holding a large part of all links is thus spread over all tasks;
-    in the two semi-joins AQE may split its partition, as only new shuffles follow.
+    in the two semi-joins AQE may split its partition, as only new shuffles follow. For
+    that, pass entities as written tables, not as the aggregates the cleaners return.
     """
     pairs = raw.select("patent_id", entity)
     key = pairs.columns[1]

@@ -31,21 +31,30 @@ def v_country_share_other(t: Tables, keep: int = 7, pool: int | None = 8) -> Dat
     """country, patents, pct of the top countries and a last row "Other".
 
     "Other" is what the ``pool`` largest countries have beyond the ``keep`` largest; with
-    ``pool=None`` it is what all other countries have.
+    ``pool=None`` it is what all other countries have. The counts are used in one place
+    only: AQE does not split skewed joins in a second use that starts from shuffles it has
+    already run. The windows see no more than ``pool`` and ``keep`` + 1 rows.
     """
     counts = counting.country_counts(t)
-    if pool is not None:
-        counts = ranking.top(counts, pool, "patent_count", "country")
-    whole = counts.agg(F.sum("patent_count")).scalar()
-    best = ranking.top(counts, keep, "patent_count", "country")
-    rest = best.agg((whole - F.coalesce(F.sum("patent_count"), F.lit(0))).alias("patents"))
-    rows = best.select(
-        F.lit(0).alias("_last"), "country", F.col("patent_count").alias("patents")
-    ).unionByName(rest.select(F.lit(1).alias("_last"), F.lit("Other").alias("country"), "patents"))
+    if pool is None:
+        names = [row.country for row in ranking.top(counts, keep, "patent_count", "country").collect()]
+        kept = F.col("country").isin(names)
+    else:
+        best = ranking.top(counts, pool, "patent_count", "country")
+        counts = ranking.positions(best, "patent_count", "country", "_place")
+        kept = F.col("_place") <= keep
+    # A row of its own makes "Other" appear even if nothing is left for it.
+    nothing = counts.sparkSession.range(1).selectExpr("CAST(NULL AS STRING) AS country", "0L AS n")
+    slices = (
+        counts.select(F.when(kept, F.col("country")).alias("country"), F.col("patent_count").alias("n"))
+        .unionByName(nothing)
+        .groupBy("country").agg(F.sum("n").alias("patents"))
+    )
+    whole = F.sum("patents").over(Window.partitionBy())
     return (
-        rows.withColumn("pct", percent(F.col("patents"), whole, 1))
-        .orderBy("_last", F.desc("patents"), "country")
-        .drop("_last")
+        slices.withColumn("pct", percent(F.col("patents"), whole, 1))
+        .orderBy(F.col("country").isNull(), F.desc("patents"), "country")
+        .withColumn("country", F.coalesce("country", F.lit("Other")))
     )
 
 
