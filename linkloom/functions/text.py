@@ -71,5 +71,5 @@ def text_or_empty(df: DataFrame, name: str) -> Column:
 
 
 def percent(part: Column, whole: Column, digits: int) -> Column:
-    """``part`` of ``whole`` in percent, as a rounded double."""
-    return F.round(part.cast("double") * 100 / whole, digits)
+    """``part`` of ``whole`` in percent, as a rounded double; null if ``whole`` is 0."""
+    return F.round(F.try_divide(part.cast("double") * 100, whole), digits)

@@ -150,6 +150,8 @@ def test_empty_tables(spark):
         assert fn(t).count() == 0
     assert rows(v.d_overview_totals(t)) == [(0, 0, 0, 0)]
     assert rows(r.r_total_patents(t)) == [(0,)]
+    for pool in (8, None):
+        assert rows(v.v_country_share_other(t, pool=pool)) == [("Other", 0, None)]
     assert r.r_summary(t).collect()[0].asDict() == {
         "total_patents": 0, "top_inventors": [], "top_companies": [], "top_countries": [],
         "yearly_trends": [],
