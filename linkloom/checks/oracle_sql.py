@@ -81,13 +81,14 @@ def _ranked(columns: str) -> str:
 
 
 def _share_other(pool: str) -> str:
+    """"Other" is always there, as 0 where no country is left for it."""
     return _m(
         """
         SELECT country, patents, round(patents * 100.0::DOUBLE / sum(patents) OVER (), 1) AS pct
         FROM (
             SELECT CASE WHEN place <= 7 THEN country ELSE 'Other' END AS country,
                    CAST(sum(n) AS BIGINT) AS patents
-            FROM pool GROUP BY 1
+            FROM (SELECT place, country, n FROM pool UNION ALL SELECT 8, NULL, 0) GROUP BY 1
         )
         """,
         f""", pool AS (

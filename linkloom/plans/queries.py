@@ -136,5 +136,6 @@ def q7_ranked_inventors(t: Tables, k: int = 50) -> DataFrame:
         )
         .withColumn("pct_of_total", percent(F.col("patent_count"), whole, 4))
         .orderBy("global_rank", "inventor_id")
+        .limit(k)
         .drop("inventor_id")
     )

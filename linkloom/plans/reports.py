@@ -104,7 +104,8 @@ def store_counts(t: Tables, folder: str) -> Tables:
 
 
 def write_report(frame: DataFrame, path: str, sort: str | None = None) -> None:
-    """A short frame as one CSV file. Top-k results are one ordered partition already."""
+    """A short frame as one CSV file. Frames that end in a limit are one ordered partition
+    already, others need ``sort``."""
     one = frame.repartition(1).sortWithinPartitions(sort) if sort else frame.coalesce(1)
     write_csv(one, path)
 

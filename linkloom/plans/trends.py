@@ -17,7 +17,7 @@ def v_top_inventors(t: Tables, k: int = 10) -> DataFrame:
     """name, patents of the top inventors, smallest first."""
     counts = counting.inventor_counts(t)
     best = ranking.top(counts, k, "patent_count", "inventor_id")
-    return best.orderBy("patent_count", F.desc("inventor_id")).select(
+    return best.orderBy("patent_count", F.desc("inventor_id")).limit(k).select(
         "name", F.col("patent_count").alias("patents")
     )
 
@@ -54,6 +54,7 @@ def v_country_share_other(t: Tables, keep: int = 7, pool: int | None = 8) -> Dat
     return (
         slices.withColumn("pct", percent(F.col("patents"), whole, 1))
         .orderBy(F.col("country").isNull(), F.desc("patents"), "country")
+        .limit(keep + 1)
         .withColumn("country", F.coalesce("country", F.lit("Other")))
     )
 
