@@ -12,7 +12,8 @@ def write_table(frame: DataFrame, store: str, table: str) -> None:
     """Replace one table. Patents are laid out by year for partition pruning."""
     writer = frame.select(*MODEL[table].names).write.mode("overwrite")
     if table == "patents":
-        writer = writer.partitionBy("year")
+        # Static, so that years of an earlier run do not stay behind.
+        writer = writer.partitionBy("year").option("partitionOverwriteMode", "static")
     writer.parquet(f"{store}/{table}")
 
 
