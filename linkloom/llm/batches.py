@@ -8,6 +8,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import StructType
 
+from linkloom.llm.store import ship
+
 GROUP_BYTES = 2 << 20
 
 
@@ -40,6 +42,7 @@ def map_texts(
 
     ``digest`` gets a group of texts and returns one list of values per column of ``schema``.
     """
+    ship(docs.sparkSession)
     picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
     kept = StructType([f for f in picked.schema.fields if f.name != "_text"])
     added = StructType.fromDDL(schema)
