@@ -7,13 +7,25 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import bpe, quality_rules, simhash
+from linkloom.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.delete_repeated_runs(_table(spark, sf_dir, "documents"), min_lines=2)
+    return kept.select("doc_id", "lines_deleted", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.leaks(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark")
+    )
+    return found.drop("_key")
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, distance=2)
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
@@ -38,9 +50,36 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_line_dedup": op2_line_dedup,
+    "op3_decontaminate": op3_decontaminate,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# Runs of two lines decide: a line goes if a run that holds it began at an earlier place.
+_OP2 = r"""
+WITH line AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
+         generate_subscripts(string_split(text, chr(10)), 1) AS p
+  FROM documents
+), pair AS (
+  SELECT doc_id, p, line, lead(line) OVER w AS line2, lead(p) OVER w AS p2
+  FROM line WHERE regexp_matches(line, '[^ \t\x0b\x0c\r]')
+  WINDOW w AS (PARTITION BY doc_id ORDER BY p)
+), later AS (
+  SELECT doc_id, p, p2 FROM pair WHERE line2 IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, p) > 1
+), gone AS (
+  SELECT doc_id, p FROM later UNION SELECT doc_id, p2 FROM later
+), kept AS (
+  SELECT doc_id, count(gone.p) AS lines_deleted,
+         coalesce(string_agg(line, chr(10) ORDER BY line.p) FILTER (WHERE gone.p IS NULL), '') AS t
+  FROM line LEFT JOIN gone USING (doc_id, p) GROUP BY doc_id
+)
+SELECT doc_id, coalesce(lines_deleted, 0) AS lines_deleted,
+       CASE WHEN text IS NOT NULL THEN sha256(coalesce(t, '')) END AS kept_sha256
+FROM documents LEFT JOIN kept USING (doc_id)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": _OP2}
