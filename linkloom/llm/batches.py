@@ -41,6 +41,7 @@ def map_texts(
     """``keep`` columns and what ``digest`` makes of each text, one row per document.
 
     ``digest`` gets a group of texts and returns one list of values per column of ``schema``.
+    The names of ``keep`` and ``schema`` must differ.
     """
     ship(docs.sparkSession)
     picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))

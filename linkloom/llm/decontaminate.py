@@ -163,3 +163,12 @@ def leaks(
         .groupBy("_key", key, "item_id").agg(F.max(share).alias("share"), F.max("verbatim").alias("verbatim"))
         .select(key, "item_id", F.round("share", 6).alias("share"), "verbatim", "_key")
     )
+
+
+def drop_leaks(
+    docs: DataFrame, benchmark: DataFrame, key: str = "doc_id", text: str = "text"
+) -> DataFrame:
+    """The documents that hold no item, with all their columns as they are."""
+    leaked = leaks(docs, benchmark, key=key, text=text).select("_key").distinct()
+    keyed = docs.withColumn("_key", row_key(key, text))
+    return keyed.join(leaked, "_key", "left_anti").select(*[f"`{c}`" for c in docs.columns])

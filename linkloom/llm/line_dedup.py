@@ -182,3 +182,17 @@ def delete_repeated_runs(
         text: F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(kept),
         "lines_deleted": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
     }).drop("_key", "_gone")
+
+
+def keep_new_lines(docs: DataFrame, min_lines: int = 2, text: str = "text") -> DataFrame:
+    """``docs`` without later copies of runs. A document that loses all its lines goes.
+
+    ``n_chars``, where present, is the length of the text that is left.
+    """
+    kept = delete_repeated_runs(docs, min_lines, text=text)
+    changed = F.col("lines_deleted") > 0
+    kept = kept.where(~changed | F.col(f"`{text}`").rlike(r"\S"))
+    if "n_chars" in docs.columns:
+        length = F.length(f"`{text}`").cast(docs.schema["n_chars"].dataType)
+        kept = kept.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
+    return kept.select(*[f"`{c}`" for c in docs.columns])

@@ -292,3 +292,12 @@ def judge(docs: DataFrame, labels: DataFrame, keep: list[str], text: str = "text
         {"base_failed": base_failed(), "rule": verdict(rules)}
     )
     return judged.withColumn("kept", ~F.col("base_failed") & F.col("rule").isNull())
+
+
+def keep_good(docs: DataFrame, labels: DataFrame, text: str = "text") -> DataFrame:
+    """The documents that pass, with all their columns as they are."""
+    rules = learn_from(docs, labels, text=text)
+    whole = docs.select(F.struct(*[f"`{c}`" for c in docs.columns]).alias("_row"),
+                        F.col(f"`{text}`").alias("_whole"))
+    judged = with_statistics(whole, ["_row"], "_whole")
+    return judged.where(~base_failed() & verdict(rules).isNull()).select("_row.*")
