@@ -7,7 +7,8 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import bpe, decontaminate, line_dedup, quality_rules, simhash
+from linkloom.llm import bpe, decontaminate, line_dedup, quality_rules, simhash, urls, warc
+from linkloom.llm.store import Store
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -26,11 +27,34 @@ def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.drop("_key")
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = Store(spark).path("archives")
+    warc.write(_table(spark, sf_dir, "pages"), path)
+    found = warc.resolved(warc.read(spark, path))
+    return found.select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_matches"
+    )
+
+
 def op5_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, distance=2)
     return found.withColumn("fingerprint", F.lpad(F.lower(F.hex("fingerprint")), 16, "0"))
 
 
+URL_RULES = [
+    urls.Rule("com", "/", allow=True),
+    urls.Rule("example.com", "/en/", allow=False),
+    urls.Rule("www.example.com", "/en/", allow=True),
+    urls.Rule("net", "/es/", allow=False),
+    urls.Rule("net", "/fr/", allow=False),
+]
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = urls.judge(_table(spark, sf_dir, "pages").select("page_id", "url"), URL_RULES)
+    return judged.select("page_id", "host", "path", "rule", "verdict")
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -52,7 +76,9 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_line_dedup": op2_line_dedup,
     "op3_decontaminate": op3_decontaminate,
+    "op4_warc": op4_warc,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
+    "op6_url_filter": op6_url_filter,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
 }
@@ -82,4 +108,19 @@ SELECT doc_id, coalesce(lines_deleted, 0) AS lines_deleted,
 FROM documents LEFT JOIN kept USING (doc_id)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": _OP2}
+_OP4 = """
+WITH page AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes,
+         sha256(coalesce(html, '')) AS payload_digest
+  FROM pages
+), first AS (
+  SELECT payload_digest, min(page_id) AS least FROM page WHERE payload_bytes >= 100 GROUP BY 1
+)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id > least THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id > least THEN least END AS refers_to,
+       true AS digest_matches
+FROM page LEFT JOIN first USING (payload_digest)
+"""
+
+ORACLE_SQL: dict[str, str] = {"op2_line_dedup": _OP2, "op4_warc": _OP4}
