@@ -9,11 +9,11 @@ asked with other parameters, and drops mere accidents of form.
 
 A document holds an item if that covers ``min_share`` of the item's words. Items and documents
 shorter than a window are compared as wholes. Nulls and empty texts hold nothing and are held
-by nothing. Rows equal in id and text are judged alike, each returned once per item. Windows that are
+by nothing. Rows equal in id and text are judged alike and returned once per item. Windows that are
 placeholders by more than half are not used, nor are items that have no others.
 
-The windows of the benchmark are broadcast in blocks of at most ``MAX_BLOCK`` rows of two
-numbers; each further block reads the documents again.
+The windows of the benchmark are broadcast in blocks of at most ``MAX_BLOCK`` rows, each a few
+numbers and slot words; each further block reads the documents again.
 """
 
 from __future__ import annotations
@@ -39,7 +39,6 @@ UNITS = (
 
 # Private letters stand for the placeholders, so that they pass for words.
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
-_SLOT = f"[{NUMBER}{NAME}{UNIT}]"
 
 
 def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -47,19 +46,27 @@ def _bind(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _with_digits(c: Column, changed: Column) -> Column:
-    return F.when(F.regexp_like(c, F.lit("[0-9]")), changed).otherwise(c)
+# All that parts words: ASCII, Latin-1, general and CJK punctuation and spaces. The middle dot
+# stands for the separators within numbers.
+_BREAKS = (
+    r"[\x00-\x2f\x3a-\x40\x5b-\x60\x7b-\xa9\xab-\xb1\xb4\xb6\xb8\xbb\xbf\xd7\xf7"
+    r"\u2000-\u206f\u3000-\u303f]+"
+)
+
+
+def _if_digits(c: Column, then: Column, other: Column) -> Column:
+    return F.when(F.regexp_like(c, F.lit("[0-9]")), then).otherwise(other)
 
 
 def _spaced(c: Column) -> Column:
     """Numbers as words of their own, their separators as middle dots."""
     dotted = F.regexp_replace(c, r"(?<=[0-9])[.,](?=[0-9])", "·")
-    return _with_digits(c, F.regexp_replace(dotted, r"(?<=[0-9])(?=\p{L})|(?<=\p{L})(?=[0-9])", " "))
+    spaced = F.regexp_replace(dotted, r"(?<=[0-9])(?=\p{L})|(?<=\p{L})(?=[0-9])", " ")
+    return _if_digits(c, spaced, c)
 
 
 def _words(c: Column) -> Column:
-    cleaned = F.btrim(F.regexp_replace(c, r"[^\p{L}\p{M}\p{N}\p{Co}·]+", " "))
-    return F.when(cleaned == "", F.array().cast("array<string>")).otherwise(F.split(cleaned, " "))
+    return F.array_remove(F.split(c, _BREAKS), "")
 
 
 def surface(c: Column) -> Column:
@@ -73,43 +80,67 @@ def template(c: Column) -> Column:
     Names are capitalised words that go on within a sentence.
     """
     named = F.regexp_replace(_spaced(c), r"(?<=[\p{Ll},;] )\p{Lu}[\p{Ll}\p{M}]+(?!\p{L})", NAME)
-    number = F.regexp_replace(named, r"\p{N}[\p{N}·]*", NUMBER)
+    number = F.regexp_replace(named, r"[0-9][0-9·]*", NUMBER)
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
     unit = F.regexp_replace(number, rf"(?i)(?<={NUMBER} )(?:{units})(?!\p{{L}})", UNIT)
-    return _words(F.lower(_with_digits(named, unit)))
+    return _words(F.lower(_if_digits(c, unit, named)))
+
+
+def _windows(text: Column, window: int) -> Column:
+    """``hash`` and ``slots`` of every window; fewer words than a window make one.
+
+    ``slots`` has the words that stand for the window's placeholders; null if a text has none.
+    """
+    def is_slot(word: Column) -> Column:
+        return word.isin(NUMBER, NAME, UNIT)
 
+    def each(words: Column, values: Column) -> Column:
+        starts = F.sequence(F.lit(0), F.greatest(F.size(words) - window, F.lit(0)))
+        return F.transform(starts, lambda p: F.struct(
+            F.xxhash64(F.slice(words, p + 1, window)).alias("hash"),
+            F.array_compact(F.slice(values, p + 1, window)).alias("slots"),
+        ))
 
-def _windows(words: Column, window: int) -> Column:
-    """A hash of every window; fewer words than a window make one."""
-    def hashes(w: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size(w) - window, F.lit(0)))
-        return F.transform(starts, lambda p: F.xxhash64(F.slice(w, p + 1, window)))
+    def whole(words: Column) -> Column:
+        values = F.when(F.exists(words, is_slot), F.zip_with(
+            words, surface(text), lambda word, value: F.when(is_slot(word), F.lower(value))
+        ))
+        return _bind(values, lambda v: each(words, v))
 
-    return _bind(words, hashes)
+    return _bind(template(text), whole)
 
 
-def _items(benchmark: DataFrame, window: int) -> DataFrame:
+def _items(benchmark: DataFrame) -> DataFrame:
     return (
         benchmark.select("item_id", F.col("text").alias("t")).where("t IS NOT NULL").distinct()
-        .select("item_id", template(F.col("t")).alias("w"), surface(F.col("t")).alias("s"))
-        .where(F.size("w") > 0)
+        .withColumn("length", F.size(template(F.col("t")))).where("length > 0")
     )
 
 
 def hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
-    """``_key``, ``item``, ``dp``, ``ip``: equal windows and where they begin."""
-    slots = F.size(F.filter(F.slice("w", F.col("ip") + 1, window), lambda x: F.rlike(x, F.lit(_SLOT))))
+    """Equal windows: ``_key``, ``id``, ``item``, ``shift`` between document and item, ``ip``
+    where the window begins in the item, and ``pairs`` of slot values."""
+    slots = F.coalesce(F.size("w.slots"), F.lit(0))
     wanted = (
-        items.select("item", "w", F.posexplode(_windows(F.col("w"), window)).alias("ip", "hash"))
-        .where(2 * slots <= F.least(F.size("w"), F.lit(window)))
-        .select("hash", "item", "ip")
+        items.select("item", "length", F.posexplode(_windows(F.col("t"), window)).alias("ip", "w"))
+        .where(2 * slots <= F.least("length", F.lit(window)))
+        .select("w.hash", "item", "ip", F.col("w.slots").alias("of_item"))
+    )
+    places = docs.select("_key", "id", F.posexplode(_windows(F.col("t"), window)).alias("dp", "w")) \
+        .select("_key", "id", "dp", "w.hash", F.col("w.slots").alias("of_doc"))
+    none = F.array().cast("array<string>")
+    pairs = F.zip_with(
+        F.coalesce("of_item", none), F.coalesce("of_doc", none),
+        lambda x, y: F.struct(x.alias("of_item"), y.alias("of_doc")),
     )
-    places = docs.select("_key", F.posexplode(_windows(template(F.col("t")), window)).alias("dp", "hash"))
     blocks = -(-wanted.count() // MAX_BLOCK) or 1
     found = None
     for b in range(blocks):
         block = wanted.where(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == b) if blocks > 1 else wanted
-        part = places.join(F.broadcast(block), "hash").select("_key", "item", "dp", "ip")
+        part = places.join(F.broadcast(block), "hash").select(
+            "_key", "id", "item", (F.col("dp") - F.col("ip")).alias("shift"), "ip",
+            pairs.alias("pairs"),
+        )
         found = part if found is None else found.unionByName(part)
     return found
 
@@ -124,45 +155,38 @@ def leaks(
 ) -> DataFrame:
     """``key``, ``item_id``, ``share`` of the item's words, ``verbatim`` and ``_key``."""
     store = Store(docs.sparkSession)
-    keyed = docs.select(F.col(f"`{key}`").alias(key), F.col(f"`{text}`").alias("t")) \
-        .where("t IS NOT NULL AND t <> ''").withColumn("_key", row_key(key, "t"))
+    keyed = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("t")) \
+        .where("t IS NOT NULL AND t <> ''").withColumn("_key", row_key("id", "t"))
     items = store.put(
-        "items", _items(benchmark, window).withColumn("item", F.monotonically_increasing_id())
+        "items", _items(benchmark).withColumn("item", F.monotonically_increasing_id())
     )
-    table = store.put("hits", hits(keyed.select("_key", "t"), items, window).distinct())
+    table = store.put("hits", hits(keyed, items, window))
 
-    # One row for each shift between a document and an item.
-    shifts = table.groupBy("_key", "item", (F.col("dp") - F.col("ip")).alias("shift")).agg(
-        F.collect_set("ip").alias("ips")
+    # Each shift between a document and an item is an alignment of its own.
+    shifts = table.groupBy("_key", "id", "item", "shift").agg(
+        F.collect_set("ip").alias("ips"),
+        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
     )
-    reached = keyed.join(table.select("_key").distinct(), "_key", "left_semi") \
-        .dropDuplicates(["_key"]).select("_key", key, surface(F.col("t")).alias("ds"))
-    aligned = shifts.join(items, "item").withColumn("places", F.array_sort(F.array_distinct(
-        F.flatten(F.transform("ips", lambda p: F.sequence(
-            p, F.least(p + window, F.size("w")) - 1
-        )))
+
+    def kinds(side: str) -> Column:
+        return F.size(F.array_distinct(F.transform("pairs", lambda v: v[side])))
+
+    consistent = (kinds("of_item") == F.size("pairs")) & (kinds("of_doc") == F.size("pairs"))
+    places = F.array_distinct(F.flatten(F.transform(
+        "ips", lambda p: F.sequence(p, F.least(p + window, F.col("length")) - 1)
     )))
-    values = aligned.join(reached, "_key").select(
-        "_key", key, "item", "item_id", "places", F.size("w").alias("length"),
-        F.transform("places", lambda p: F.struct(
-            F.rlike(F.get("w", p), F.lit(_SLOT)).alias("slot"),
-            F.get("s", p).alias("of_item"), F.get("ds", p + F.col("shift")).alias("of_doc"),
-        )).alias("values"),
+    aligned = shifts.where(consistent).join(items.drop("t"), "item").select(
+        "_key", "id", "item", "item_id", "length", places.alias("places"),
+        F.forall("pairs", lambda v: v["of_item"] == v["of_doc"]).alias("same"),
     )
-    pairs = F.array_distinct(F.filter("values", lambda v: v["slot"]))
-    distinct = lambda side: F.size(F.array_distinct(F.transform(pairs, lambda v: v[side])))
-    consistent = (distinct("of_item") == F.size(pairs)) & (distinct("of_doc") == F.size(pairs))
-    same = F.forall("values", lambda v: F.lower(v["of_item"]) == F.lower(v["of_doc"]))
-    judged = values.where(consistent).groupBy("_key", key, "item", "item_id", "length").agg(
+    judged = aligned.groupBy("_key", "id", "item", "item_id", "length").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("covered"),
-        F.min(same).alias("verbatim"),
-    )
-    share = F.col("covered") / F.col("length")
-    return (
-        judged.where(share >= min_share)
-        .groupBy("_key", key, "item_id").agg(F.max(share).alias("share"), F.max("verbatim").alias("verbatim"))
-        .select(key, "item_id", F.round("share", 6).alias("share"), "verbatim", "_key")
+        F.min("same").alias("verbatim"),
+    ).withColumn("share", F.col("covered") / F.col("length"))
+    best = judged.where(F.col("share") >= min_share).groupBy("_key", "id", "item_id").agg(
+        F.round(F.max("share"), 6).alias("share"), F.max("verbatim").alias("verbatim")
     )
+    return best.select(F.col("id").alias(key), "item_id", "share", "verbatim", "_key")
 
 
 def drop_leaks(

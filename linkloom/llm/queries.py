@@ -7,7 +7,9 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from linkloom.llm import bpe, decontaminate, line_dedup, quality_rules, simhash, urls, warc
+from linkloom.llm import (
+    bpe, decontaminate, line_dedup, quality_rules, simhash, token_counts, training_order, urls, warc,
+)
 from linkloom.llm.store import Store
 
 
@@ -15,6 +17,18 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every sequence as read back from the shards."""
+    path = Store(spark).path("training")
+    training_order.materialise(
+        _table(spark, sf_dir, "documents"), path,
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN,
+        key=20240517, length=1024, shard=8192,
+    )
+    made = training_order.read(spark, path)
+    return made.select("slot", "shard", "offset", "sequence", F.sha2("ids", 256).alias("ids_sha256"))
+
+
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = line_dedup.delete_repeated_runs(_table(spark, sf_dir, "documents"), min_lines=2)
     return kept.select("doc_id", "lines_deleted", F.sha2("text", 256).alias("kept_sha256"))
@@ -73,7 +87,16 @@ def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    made = token_counts.lengths(
+        _table(spark, sf_dir, "documents"),
+        public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, keep=[],
+    )
+    return token_counts.histogram(made)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_training_order": op1_training_order,
     "op2_line_dedup": op2_line_dedup,
     "op3_decontaminate": op3_decontaminate,
     "op4_warc": op4_warc,
@@ -81,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_url_filter": op6_url_filter,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
+    "op10_token_counts": op10_token_counts,
 }
 
 # Runs of two lines decide: a line goes if a run that holds it began at an earlier place.
