@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.llm import (
-    bpe, decontaminate, line_dedup, quality_rules, simhash, token_counts, training_order, urls, warc,
+    bpe, decontaminate, line_dedup, quality_rules, simhash, suffix_dedup, token_counts,
+    training_order, urls, warc,
 )
 from linkloom.llm.store import Store
 
@@ -69,6 +70,16 @@ def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("page_id", "host", "path", "rule", "verdict")
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    gone = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["first"])
+    made = suffix_dedup.without_repeats(docs, length=200).select(
+        "h1", "h2", "n_bytes", gone.alias("n_removed"),
+        F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"),
+    )
+    return suffix_dedup.for_documents(docs, made)
+
+
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
     docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -102,6 +113,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_warc": op4_warc,
     "op5_simhash_near_dedup": op5_simhash_near_dedup,
     "op6_url_filter": op6_url_filter,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
