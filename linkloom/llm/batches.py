@@ -45,13 +45,14 @@ def map_texts(
     The names of ``keep`` and ``schema`` must differ.
     """
     ship(docs.sparkSession)
-    picked = docs.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{text}`").alias("_text"))
-    kept = StructType([f for f in picked.schema.fields if f.name != "_text"])
+    # Kept columns travel as one, so that their names may be any.
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in keep]).alias("_row")
+    picked = docs.select(row, F.col(f"`{text}`").alias("_text"))
     added = StructType.fromDDL(schema)
     names = [f.name for f in added.fields]
+    types = {f.name: to_arrow_type(f.dataType) for f in added.fields}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        types = {f.name: to_arrow_type(f.dataType) for f in added.fields}
         for batch in batches:
             at = 0
             for group in groups(utf8(batch.column("_text"))):
@@ -59,9 +60,9 @@ def map_texts(
                 at += len(group)
                 made = digest(group)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(c) for c in keep]
-                    + [pa.array(made[n], type=types[n]) for n in names],
-                    names=keep + names,
+                    [part.column("_row"), *[pa.array(made[n], type=types[n]) for n in names]],
+                    names=["_row", *names],
                 )
 
-    return picked.mapInArrow(run, StructType(kept.fields + added.fields))
+    made = picked.mapInArrow(run, StructType([picked.schema["_row"], *added.fields]))
+    return made.select(*[F.col("_row")[c].alias(c) for c in keep], *names)

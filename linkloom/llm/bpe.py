@@ -25,7 +25,6 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F
-from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructType
 
 from linkloom.llm.store import ship
@@ -203,31 +202,40 @@ def _vocabulary(docs: DataFrame, vocabulary: str):
         return docs.sparkSession.sparkContext.broadcast(file.read())
 
 
-def _map_column(docs: DataFrame, column: str, name: str, kind, make) -> DataFrame:
-    """``docs`` with a further column, made from each batch of another one."""
+def _map_column(
+    docs: DataFrame, column: str, name: str, kind, make, keep: list[str] | None
+) -> DataFrame:
+    """The columns ``keep`` of ``docs``, all by default, and one made from batches of another."""
     ship(docs.sparkSession)
-    docs = docs.select(*[f"`{c}`" for c in docs.columns if c != name or c == column])
-    source = docs.withColumn("_from", F.col(f"`{column}`"))
-    if name == column:
-        source = source.drop(column)
-    schema = StructType(source.schema.fields[:-1]).add(name, kind)
+    keep = [c for c in (docs.columns if keep is None else keep) if c != name]
+    # Kept columns travel as one, so that their names may be any.
+    others = [F.col(f"`{c}`") for c in keep if c != column]
+    row = F.struct(F.lit(0).alias("_"), *others).alias("_row")
+    source = docs.select(row, F.col(f"`{column}`").alias("_from"))
+    returned = ["_row", "_from"][: 1 + (column in keep)]
+    schema = StructType([source.schema[c] for c in returned]).add("_made", kind)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        arrow = to_arrow_schema(schema)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                made = make(part.column(part.num_columns - 1))
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], made], names=arrow.names)
-
-    return source.mapInArrow(run, schema)
-
-
-def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids") -> DataFrame:
-    """``docs`` with the token ids of each whole text as an array of integers.
-
-    A column of that name is replaced.
-    """
+                made = make(part.column("_from"))
+                columns = [*[part.column(c) for c in returned], made]
+                yield pa.RecordBatch.from_arrays(columns, names=[*returned, "_made"])
+
+    whole = source.mapInArrow(run, schema)
+    back = [F.col("_from") if c == column else F.col("_row")[c] for c in keep]
+    return whole.select(
+        *[b.alias(c) for b, c in zip(back, keep, strict=True)], F.col("_made").alias(name)
+    )
+
+
+def encode(
+    docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """The columns ``keep`` of ``docs``, all by default, and the token ids of each whole text as
+    an array of integers. A column of that name is replaced."""
     spec = _vocabulary(docs, vocabulary)
 
     def make(texts: pa.Array) -> pa.Array:
@@ -236,18 +244,19 @@ def encode(docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids
         ends = np.cumsum([0, *map(len, made)], dtype=np.int32)
         return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(made)))
 
-    return _map_column(docs, text, ids, ArrayType(IntegerType()), make)
-
+    return _map_column(docs, text, ids, ArrayType(IntegerType()), make, keep)
 
-def decode(docs: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded") -> DataFrame:
-    """``docs`` with the text that its ids stand for; null ids are the empty text.
 
-    A column of that name is replaced.
-    """
+def decode(
+    docs: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded",
+    keep: list[str] | None = None,
+) -> DataFrame:
+    """The columns ``keep`` of ``docs``, all by default, and the text that its ids stand for; null
+    ids are the empty text. A column of that name is replaced."""
     spec = _vocabulary(docs, vocabulary)
 
     def make(arrays: pa.Array) -> pa.Array:
         bpe = _loaded(spec.value)
         return pa.array([bpe.decode(x or []) for x in arrays.to_pylist()], pa.string())
 
-    return _map_column(docs, ids, text, StringType(), make)
+    return _map_column(docs, ids, text, StringType(), make, keep)

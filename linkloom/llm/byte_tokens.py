@@ -3,24 +3,15 @@
 from __future__ import annotations
 
 import base64
-import re
+from array import array
 
-import numpy as np
 import tiktoken
 from pyspark import Broadcast
 from pyspark.sql import SparkSession
 
-_CACHED = 400_000
-# Where a blank meets other white space, pieces between blanks are not encoded alone.
-_RUN = re.compile(r"\s\s|^ | $")
-
 
 class ByteTokens:
-    """Encoder that remembers the ids of pieces between single blanks.
-
-    The pattern never matches across a single blank, which begins the next piece, so the ids of a
-    text are those of its pieces. Texts with longer white space are encoded as one piece.
-    """
+    """Encoder for ranks as base64 and number, one token per line; ``end`` is the next free id."""
 
     def __init__(self, ranks: bytes, pattern: str):
         table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, ranks.splitlines())}
@@ -28,25 +19,13 @@ class ByteTokens:
             "ranks", pat_str=pattern, mergeable_ranks=table, special_tokens={}
         )
         self.end = len(table)
-        self.pieces: dict[str, bytes] = {}
 
-    def _encode(self, piece: str) -> bytes:
-        made = np.array(self.encoding.encode_ordinary(piece), np.uint16).tobytes()
-        if len(piece) <= 64:
-            if len(self.pieces) >= _CACHED:
-                self.pieces.clear()
-            self.pieces[piece] = made
-        return made
+    def count(self, text: str) -> int:
+        return len(self.encoding.encode_ordinary(text))
 
     def encode(self, text: str) -> bytes:
         """The ids as 16-bit little-endian numbers."""
-        if not text:
-            return b""
-        if _RUN.search(text):
-            return np.array(self.encoding.encode_ordinary(text), np.uint16).tobytes()
-        get, encode = self.pieces.get, self._encode
-        first, *rest = text.split(" ")
-        return b"".join([get(first) or encode(first)] + [get(p := " " + x) or encode(p) for x in rest])
+        return array("H", self.encoding.encode_ordinary(text)).tobytes()
 
 
 _LOADED: dict[int, ByteTokens] = {}

@@ -22,7 +22,7 @@ from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from linkloom.llm.keys import row_key
+from linkloom.llm.keys import boxed, row_key, unboxed
 from linkloom.llm.store import Store
 
 MAX_BLOCK = 500_000
@@ -194,5 +194,6 @@ def drop_leaks(
 ) -> DataFrame:
     """The documents that hold no item, with all their columns as they are."""
     leaked = leaks(docs, benchmark, key=key, text=text).select("_key").distinct()
-    keyed = docs.withColumn("_key", row_key(key, text))
-    return keyed.join(leaked, "_key", "left_anti").select(*[f"`{c}`" for c in docs.columns])
+    # One plan at all sizes: the leaks of a large corpus outgrow any broadcast.
+    kept = boxed(docs, key, text).join(leaked.hint("merge"), "_key", "left_anti")
+    return unboxed(kept, docs.columns)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def row_key(key: str, text: str) -> Column:
@@ -12,3 +12,13 @@ def row_key(key: str, text: str) -> Column:
         F.coalesce(name, F.lit("")), F.lit("|"), name.isNull().cast("string"), F.lit("|"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")),
     )))
+
+
+def boxed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``_key`` and all columns as one, ``_row``, so that their names clash with nothing."""
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(row_key(key, text).alias("_key"), row.alias("_row"))
+
+
+def unboxed(rows: DataFrame, columns: list[str]) -> DataFrame:
+    return rows.select(*[F.col("_row")[c].alias(c) for c in columns])

@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from linkloom.llm.batches import map_texts
-from linkloom.llm.keys import row_key
+from linkloom.llm.keys import boxed, row_key
 from linkloom.llm.ordering import with_run_starts
 from linkloom.llm.store import Store
 
@@ -147,7 +147,8 @@ def repeated_runs(docs: DataFrame, min_lines: int, key: str, text: str, store: S
     )
     members = members.join(sequences.select("doc", "id", "_key"), "doc")
     place = F.struct(F.col("id").isNull().alias("n"), "id", "_key", "i")
-    first = members.groupBy("interval").agg(F.min(place).alias("least"))
+    # Written, so that the join has plain shuffles on both sides and a frequent run is split.
+    first = store.put("first", members.groupBy("interval").agg(F.min(place).alias("least")))
     return members.join(first, "interval").select("doc", "i", (place == F.col("least")).alias("first"))
 
 
@@ -169,19 +170,22 @@ def delete_repeated_runs(
     gone = store.put("gone", sequences.join(covered, "doc").select(
         "_key", F.transform("gone", lambda i: F.get("places", i)).alias("_gone")
     ))
-    rest = [f"`{c}`" for c in docs.columns if c != "lines_deleted"]
-    marked = docs.select(*rest, row_key(key, text).alias("_key")).join(gone, "_key", "left")
+    # One plan at all sizes: the deletions of a large corpus outgrow any broadcast.
+    marked = boxed(docs, key, text).join(gone.hint("merge"), "_key", "left")
+    whole = F.col("_row")[text]
     # Bound as a variable, so that the text is split once.
-    kept = F.transform(F.array(F.split(F.col(f"`{text}`"), "\n", -1)), lambda lines: F.array_join(
+    kept = F.transform(F.array(F.split(whole, "\n", -1)), lambda lines: F.array_join(
         F.transform(
             F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "_gone"),
             lambda place: F.get(lines, place),
         ), "\n",
     ))[0]
-    return marked.withColumns({
-        text: F.when(F.col("_gone").isNull(), F.col(f"`{text}`")).otherwise(kept),
-        "lines_deleted": F.coalesce(F.size("_gone"), F.lit(0)).cast("long"),
-    }).drop("_key", "_gone")
+    left = {text: F.when(F.col("_gone").isNull(), whole).otherwise(kept)}
+    names = [c for c in docs.columns if c != "lines_deleted"]
+    return marked.select(
+        *[left.get(c, F.col("_row")[c]).alias(c) for c in names],
+        F.coalesce(F.size("_gone"), F.lit(0)).cast("long").alias("lines_deleted"),
+    )
 
 
 def keep_new_lines(docs: DataFrame, min_lines: int = 2, text: str = "text") -> DataFrame:
@@ -189,10 +193,15 @@ def keep_new_lines(docs: DataFrame, min_lines: int = 2, text: str = "text") -> D
 
     ``n_chars``, where present, is the length of the text that is left.
     """
+    names, taken = docs.columns, "lines_deleted"
+    if taken in names:
+        docs = docs.withColumnRenamed(taken, "_lines_deleted")
     kept = delete_repeated_runs(docs, min_lines, text=text)
-    changed = F.col("lines_deleted") > 0
+    changed = F.col(taken) > 0
     kept = kept.where(~changed | F.col(f"`{text}`").rlike(r"\S"))
-    if "n_chars" in docs.columns:
+    if "n_chars" in names:
         length = F.length(f"`{text}`").cast(docs.schema["n_chars"].dataType)
         kept = kept.withColumn("n_chars", F.when(changed, length).otherwise(F.col("n_chars")))
-    return kept.select(*[f"`{c}`" for c in docs.columns])
+    if taken in names:
+        kept = kept.drop(taken).withColumnRenamed("_lines_deleted", taken)
+    return kept.select(*[f"`{c}`" for c in names])

@@ -235,7 +235,7 @@ def learn(
             break
         rule = _prune(rule, held, y)
         precision, n = _worth(rule, held, y)
-        if n < 5 or precision < min_precision:
+        if n < 2 or precision < min_precision:
             break
         rules.append(rule)
         left &= ~_holds(rule, x, len(bad))

@@ -82,8 +82,7 @@ def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op8_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    docs = _table(spark, sf_dir, "documents").select("doc_id", "text")
-    coded = bpe.encode(docs, vocabulary).select("doc_id", "ids")
+    coded = bpe.encode(_table(spark, sf_dir, "documents"), vocabulary, keep=["doc_id"])
     return bpe.decode(coded, vocabulary).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

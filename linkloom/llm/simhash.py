@@ -28,7 +28,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.llm.batches import map_texts
 from linkloom.llm.components import components
-from linkloom.llm.keys import row_key
+from linkloom.llm.keys import boxed, unboxed
 from linkloom.llm.store import Store
 
 SEED = 42
@@ -180,13 +180,14 @@ def keep_one(
 ) -> DataFrame:
     """``docs`` with one document of each component: the one of the smallest id, then text; a
     null id comes last. Of rows equal in id and text one stays."""
-    keyed = docs.withColumn("_key", row_key(key, text))
-    place = F.struct(F.col(f"`{key}`").isNull().alias("n"), F.col(f"`{key}`").alias("id"), "_key")
+    rows = boxed(docs, key, text)
+    place = F.struct(
+        F.col("_row")[key].isNull().alias("n"), F.col("_row")[key].alias("id"), "_key"
+    )
     found = near_duplicates(
-        keyed.select(place.alias("place"), F.col(f"`{text}`").alias("text")),
+        rows.select(place.alias("place"), F.col("_row")[text].alias("text")),
         shingle, distance, "place", "text",
     )
     staying = found.where(F.col("place") == F.col("component_id")).select("place._key").distinct()
-    return keyed.join(staying, "_key", "left_semi").dropDuplicates(["_key"]).select(
-        *[f"`{c}`" for c in docs.columns]
-    )
+    kept = rows.join(staying.hint("merge"), "_key", "left_semi").dropDuplicates(["_key"])
+    return unboxed(kept, docs.columns)

@@ -292,6 +292,7 @@ def without_repeats(
     byte and ``end`` of each maximal run of removed bytes) and ``kept``, the bytes left."""
     store = Store(docs.sparkSession)
     ship(docs.sparkSession)
+    grain = min(grain, length)
     width = length - grain + 1
     texts = _texts(docs, text, store)
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from linkloom.llm import byte_tokens
 from linkloom.llm.batches import map_texts
+from linkloom.llm.store import Store
 
 # Suffix sums are taken within ranges of so many lengths, then over the ranges.
 _RANGE = 4096
@@ -25,8 +26,8 @@ def lengths(
     shared = byte_tokens.share(docs.sparkSession, ranks, pattern)
 
     def count(texts: list[bytes]) -> dict[str, list]:
-        encode = byte_tokens.loaded(shared).encode
-        return {"n_tokens": [len(encode(t.decode("utf-8", "replace"))) // 2 for t in texts]}
+        one = byte_tokens.loaded(shared).count
+        return {"n_tokens": [one(t.decode("utf-8", "replace")) for t in texts]}
 
     return map_texts(docs, text, keep, "n_tokens long", count)
 
@@ -35,7 +36,9 @@ def histogram(lengths: DataFrame) -> DataFrame:
     """``n_tokens``, ``docs``, and the suffix sums ``docs_at_least`` and ``tokens_at_least``;
     ``docs_total`` and ``tokens_total``; ``truncated_total``, the tokens left at that limit; and
     ``quantile``, the share of documents that are no longer."""
-    counts = lengths.groupBy("n_tokens").agg(F.count("*").alias("docs")) \
+    counted = lengths.groupBy("n_tokens").agg(F.count("*").alias("docs"))
+    # Written, so that the texts are encoded once although the counts are used twice.
+    counts = Store(lengths.sparkSession).put("counts", counted) \
         .withColumn("_range", F.floor(F.col("n_tokens") / _RANGE))
     tokens = F.col("n_tokens") * F.col("docs")
     ranges = counts.groupBy("_range").agg(F.sum("docs").alias("_d"), F.sum(tokens).alias("_t"))

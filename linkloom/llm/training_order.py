@@ -2,19 +2,21 @@
 
 Texts are encoded, ended by an end token, and the tokens of each input partition cut into
 sequences of equal length; the last of a partition is filled with end tokens. Sequences are
-numbered from 0 over all partitions. A keyed Feistel network on the smallest even number of
-bits permutes more numbers than there are sequences, so a number is sent round again until it
-falls into the range (cycle-walking). That is its slot. A shard holds a fixed range of slots,
-and a record a fixed number of bytes, so slot ``s`` begins at ``(s mod shard) * stride`` of
-file ``s div shard``: readers go on from any slot without an index.
-
-A record is the ids as 16-bit little-endian numbers and one line feed, which Spark's text
-writer adds; writing is thus committed by Spark, and lost tasks are written again.
-
-Texts are encoded twice, to count and to write, and no text is shuffled. Both passes must see
-the same rows per partition, so ``docs`` must be a scan of files or of a written table; the
-reader checks that every slot is there. Null and empty texts are an end token alone. Repeated
-rows are written as often as they occur.
+numbered over all partitions. No text has more tokens than bytes, so the sizes of the
+partitions give each a range of numbers that is long enough, and texts need to be encoded only
+once. A keyed Feistel network on the smallest even number of bits permutes more numbers than
+there are, so a number is sent round again until it falls into the range (cycle-walking). That
+is the slot of a sequence; slots of numbers that no sequence takes stay empty.
+
+A shard is a file that holds a fixed range of slots, in order. A record is its slot as a 64-bit
+number, the ids as 16-bit numbers, all little-endian, and a line feed, which Spark's text writer
+adds: record ``r`` of a shard begins at ``r`` times the stride, and a reader goes on from any
+slot without an index. Writing is committed by Spark, and lost tasks are written again.
+
+No text is shuffled, only the records. Sizes and texts must come in the same partitions, so
+``docs`` must be a scan of files or of a written table; that a partition outgrows its range is an
+error. Null and empty texts are an end token alone. Repeated rows are written as often as they
+occur.
 """
 
 from __future__ import annotations
@@ -96,57 +98,55 @@ def materialise(
     spark = docs.sparkSession
     ship(spark)
     shared = byte_tokens.share(spark, ranks, pattern)
-    part = F.spark_partition_id().alias("part")
-    texts = docs.select(F.col(f"`{text}`"), part)
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, total = None, 0
-        for part, made in _encoded(batches, shared):
-            total += len(made) // 2
-        if part is not None:
-            yield pa.RecordBatch.from_arrays([pa.array([part], pa.int32()), pa.array([total])], ["part", "tokens"])
-
-    # One row per partition.
-    counts = texts.mapInArrow(count, "part int, tokens long").collect()
-    starts, n = {}, 0
-    for row in sorted(counts):
-        starts[row["part"]] = n
-        n += -(-row["tokens"] // length)
-    first = spark.sparkContext.broadcast(starts)
+    texts = docs.select(F.col(f"`{text}`").alias("text"), F.spark_partition_id().alias("part"))
+    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)
+    # One number per partition.
+    sizes = texts.groupBy("part").agg(size.alias("size")).collect()
+    ranges, n = {}, 0
+    for row in sorted(sizes):
+        ranges[row["part"]] = n, n + -(-row["size"] // length)
+        n = ranges[row["part"]][1]
+    given = spark.sparkContext.broadcast(ranges)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, size = None, 2 * length
-
-        def records(parts: list[bytes]) -> pa.RecordBatch:
-            slots = permute(np.arange(at, at + len(parts)), n, key)
-            return pa.RecordBatch.from_arrays([pa.array(slots), pa.array(parts)], ["slot", "ids"])
+        at, limit, size, held, waiting = 0, None, 2 * length, [], 0
+
+        def records(stream: bytes) -> pa.RecordBatch:
+            count = len(stream) // size
+            if at + count > limit:
+                raise ValueError("a partition has other rows than when it was measured")
+            slots = permute(np.arange(at, at + count), n, key)
+            made = [
+                slot.tobytes() + stream[i * size : (i + 1) * size]
+                for i, slot in enumerate(slots.astype("<i8"))
+            ]
+            return pa.RecordBatch.from_arrays([pa.array(slots), pa.array(made)], ["slot", "record"])
 
-        held, waiting = [], 0
         for part, made in _encoded(batches, shared):
-            at = first.value[part] if at is None else at
+            if limit is None:
+                at, limit = given.value[part]
             held.append(made)
             waiting += len(made)
             if waiting >= 256 * size:
                 stream = b"".join(held)
                 whole = len(stream) // size * size
-                yield records([stream[i : i + size] for i in range(0, whole, size)])
+                yield records(stream[:whole])
                 at += whole // size
                 held, waiting = [stream[whole:]], len(stream) - whole
         if stream := b"".join(held):
             end = np.uint16(byte_tokens.loaded(shared).end).tobytes()
-            stream += end * (-len(stream) % size // 2)
-            yield records([stream[i : i + size] for i in range(0, len(stream), size)])
+            yield records(stream + end * (-len(stream) % size // 2))
 
     shards = max(1, -(-n // shard))
-    sequences = texts.mapInArrow(cut, "slot long, ids binary")
+    sequences = texts.mapInArrow(cut, "slot long, record binary")
     dealt = sequences.repartitionById(shards, F.floor(F.col("slot") / shard).cast("int"))
     (
-        dealt.sortWithinPartitions("slot").select(F.col("ids").cast("string"))
+        dealt.sortWithinPartitions("slot").select(F.col("record").cast("string"))
         .write.mode("overwrite").option("lineSep", "\n").text(f"{path}/shards")
     )
     manifest = {
-        "sequences": n, "length": length, "stride": 2 * length + 1, "shard": shard, "key": key,
-        "rounds": _ROUNDS, "dtype": "<u2",
+        "numbers": n, "length": length, "stride": 2 * length + 9, "shard": shard, "key": key,
+        "rounds": _ROUNDS, "dtype": [["slot", "<i8"], ["ids", "<u2", length], ["end", "u1"]],
     }
     spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1) \
         .write.mode("overwrite").text(f"{path}/manifest")
@@ -157,34 +157,25 @@ def read(spark: SparkSession, path: str, first_slot: int = 0) -> DataFrame:
     permutation) and ``ids`` from ``first_slot`` on. Earlier shards are not opened."""
     ship(spark)
     manifest = json.loads(spark.read.text(f"{path}/manifest").first()[0])
-    n, length, stride = manifest["sequences"], manifest["length"], manifest["stride"]
-    shard, key = manifest["shard"], manifest["key"]
+    n, key, stride, shard = (manifest[k] for k in ("numbers", "key", "stride", "shard"))
     number = F.regexp_extract("path", r"part-(\d+)", 1).cast("long")
     files = spark.read.format("binaryFile").load(f"{path}/shards").select(number.alias("shard"), "content")
     files = files.where(F.col("shard") >= first_slot // shard)
+    names = ["slot", "shard", "offset", "sequence", "ids"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
                 number, content = batch.column(0)[row].as_py(), batch.column(1)[row].as_buffer()
-                wanted = min(shard, n - number * shard)
-                if len(content) != wanted * stride:
-                    raise ValueError(f"shard {number} has {len(content)} bytes, not {wanted * stride}")
-                skip = max(0, first_slot - number * shard)
-                for at in range(skip, wanted, 1024):
-                    count = min(1024, wanted - at)
-                    slots = np.arange(at, at + count) + number * shard
-                    ids = [
-                        content.slice(i * stride, 2 * length).to_pybytes()
-                        for i in range(at, at + count)
-                    ]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(slots), pa.array(np.full(count, number)),
-                            pa.array(np.arange(at, at + count) * stride),
-                            pa.array(unpermute(slots, n, key)), pa.array(ids),
-                        ],
-                        ["slot", "shard", "offset", "sequence", "ids"],
-                    )
+                if content.size % stride:
+                    raise ValueError(f"shard {number} does not end with a whole record")
+                records = np.frombuffer(content, np.dtype([("slot", "<i8"), ("rest", f"V{stride - 8}")]))
+                first = int(np.searchsorted(records["slot"], first_slot))
+                for at in range(first, len(records), 1024):
+                    slots = records["slot"][at : at + 1024].astype(np.int64)
+                    places = np.arange(at, at + len(slots)) * stride
+                    ids = [content.slice(p + 8, stride - 9).to_pybytes() for p in places.tolist()]
+                    columns = [slots, np.full(len(slots), number), places, unpermute(slots, n, key)]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.array(ids)], names)
 
     return files.mapInArrow(cut, "slot long, shard long, offset long, sequence long, ids binary")

@@ -84,26 +84,25 @@ FEATURES = [
 _SUFFIX = ["suffix_count", "suffix_blocked"]
 
 
-def with_features(urls: DataFrame, url: str = "url") -> DataFrame:
+def with_features(urls: DataFrame) -> DataFrame:
+    """``urls`` (with ``url``, ``host`` and ``path``) and the features."""
     ship(urls.sparkSession)
-    whole = urls.select(
-        F.struct(*[f"`{c}`" for c in urls.columns]).alias("_row"),
-        F.coalesce(f"`{url}`", F.lit("")).alias("_url"), "host", "path",
-    )
-    schema = StructType([whole.schema["_row"]])
+    names, n = urls.columns, len(urls.columns)
+    schema = StructType(list(urls.schema.fields))
     for name in FEATURES:
-        schema = schema.add(f"_{name}", DoubleType())
+        schema = schema.add(name, DoubleType())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            texts = [batch.column(c).to_pylist() for c in ("_url", "host", "path")]
-            made = list(zip(*map(lexical, *texts), strict=True)) or [[] for _ in FEATURES]
+            texts = [batch.column(c).to_pylist() for c in ("url", "host", "path")]
+            made = [lexical(u or "", h, p) for u, h, p in zip(*texts, strict=True)]
+            columns = list(zip(*made, strict=True)) or [[] for _ in FEATURES]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), *[pa.array(c, pa.float64()) for c in made]], schema.names
+                [*batch.columns[:n], *[pa.array(c, pa.float64()) for c in columns]],
+                [*names, *FEATURES],
             )
 
-    made = whole.mapInArrow(run, schema)
-    return made.select("_row.*", *[f"_{c}" for c in FEATURES])
+    return urls.mapInArrow(run, schema)
 
 
 def judge(
@@ -112,47 +111,55 @@ def judge(
 ) -> DataFrame:
     """``urls`` with ``host``, ``path``, ``rule`` and ``verdict``: allow or block."""
     store = Store(urls.sparkSession)
-    ruled = with_rule(with_host_and_path(urls, url), rules)
+    # All columns travel as one, so that their names clash with nothing.
+    row = F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in urls.columns])
+    boxed = urls.select(row.alias("row"), F.col(f"`{url}`").alias("url"))
+    ruled = with_rule(with_host_and_path(boxed), rules)
+    verdict = F.when(F.col("rule_allows"), "allow").when(~F.col("rule_allows"), "block")
+    names = [c for c in urls.columns if c not in ("host", "path", "rule", "verdict")]
+
+    def result(judged: DataFrame, learned: Column) -> DataFrame:
+        return judged.select(
+            *[F.col("row")[c].alias(c) for c in names], "host", "path", "rule",
+            F.coalesce(verdict, learned).alias("verdict"),
+        )
+
     # How frequent a suffix is among all URLs, and how often the labelled ones are blocked.
     suffix = F.substring_index("host", ".", -1)
-    by_suffix = ruled.groupBy(suffix.alias("_suffix")).agg(
-        F.count("*").alias("_all"), F.count("rule").alias("_n"),
-        F.count_if(~F.col("rule_allows")).alias("_bad"),
+    by_suffix = ruled.groupBy(suffix.alias("suffix")).agg(
+        F.count("*").alias("all"), F.count("rule").alias("n"),
+        F.count_if(~F.col("rule_allows")).alias("bad"),
     )
-    total = by_suffix.agg(F.sum("_n"), F.sum("_bad")).first()
+    total = by_suffix.agg(F.sum("n"), F.sum("bad")).first()
     n, bad = total[0] or 0, total[1] or 0
-    verdict = F.when(F.col("rule_allows"), "allow").when(~F.col("rule_allows"), "block")
     if not 0 < bad < n:
-        return ruled.withColumn("verdict", F.coalesce(verdict, F.lit("allow"))).drop("rule_allows")
+        return result(ruled, F.lit("allow"))
 
     # Both kinds weigh the same, so that the choice of rules does not set the odds of the rest.
     # Rates lean towards a half, so that rare suffixes say little.
     w_bad, w_good = n / (2 * bad), n / (2 * (n - bad))
-    blocked, allowed = w_bad * F.col("_bad"), w_good * (F.col("_n") - F.col("_bad"))
+    blocked, allowed = w_bad * F.col("bad"), w_good * (F.col("n") - F.col("bad"))
     rate = (blocked + 50.0) / (blocked + allowed + 100.0)
-    featured = with_features(ruled, url).withColumn("_suffix", suffix).join(by_suffix, "_suffix")
+    featured = with_features(ruled).withColumn("suffix", suffix).join(by_suffix, "suffix")
     featured = store.put("features", featured.withColumns({
-        "_suffix_count": F.log1p("_all"), "_suffix_blocked": rate,
-    }).drop("_suffix", "_all", "_n", "_bad"))
-    inputs = [f"_{c}" for c in FEATURES + _SUFFIX]
-    vectors = VectorAssembler(inputCols=inputs, outputCol="_features")
+        "suffix_count": F.log1p("all"), "suffix_blocked": rate,
+    }).drop("suffix", "all", "n", "bad"))
+    inputs = FEATURES + _SUFFIX
+    vectors = VectorAssembler(inputCols=inputs, outputCol="vector")
     labelled = (
         featured.where("rule_allows IS NOT NULL")
-        .select(*inputs, (~F.col("rule_allows")).cast("double").alias("_label"),
-                F.when(F.col("rule_allows"), w_good).otherwise(w_bad).alias("_weight"),
-                F.xxhash64(f"`{url}`").alias("_h"))
-        .orderBy("_h", "_label", *inputs).limit(max_labelled)
+        .select(*inputs, (~F.col("rule_allows")).cast("double").alias("label"),
+                F.when(F.col("rule_allows"), w_good).otherwise(w_bad).alias("weight"),
+                F.xxhash64("url").alias("h"))
+        .orderBy("h", "label", *inputs).limit(max_labelled)
     )
     # A bounded sample; few partitions spare many small tasks in each of the rounds.
     training = store.put("labelled", labelled.coalesce(1)).coalesce(2).persist()
     boosted = GBTClassifier(
-        featuresCol="_features", labelCol="_label", maxIter=trees, maxDepth=depth, stepSize=0.2,
-        seed=7, checkpointInterval=-1, predictionCol="_blocked", weightCol="_weight",
-    ).setRawPredictionCol("_raw").setProbabilityCol("_probability")
+        featuresCol="vector", labelCol="label", maxIter=trees, maxDepth=depth, stepSize=0.2,
+        seed=7, checkpointInterval=-1, predictionCol="blocked", weightCol="weight",
+    )
     model = boosted.fit(vectors.transform(training))
     training.unpersist()
-    judged = model.transform(vectors.transform(featured))
-    learned = F.when(F.col("_blocked") > 0.5, "block").otherwise("allow")
-    return judged.withColumn("verdict", F.coalesce(verdict, learned)).drop(
-        *inputs, "_features", "_blocked", "_raw", "_probability", "rule_allows"
-    )
+    learned = F.when(F.col("blocked") > 0.5, "block").otherwise("allow")
+    return result(model.transform(vectors.transform(featured)), learned)

@@ -43,7 +43,9 @@ def typed(pages: DataFrame, key: str = "page_id", payload: str = "html") -> Data
         rows.where(long & F.col(f"`{key}`").isNotNull()).groupBy("_digest")
         .agg(F.min(f"`{key}`").alias("_first"), F.count("*").alias("_n")).where("_n > 1")
     )
-    rows = rows.join(first.drop("_n"), "_digest", "left")
+    # Written, so that its size is known and pages need not be shuffled for a small one.
+    first = Store(pages.sparkSession).put("first", first.drop("_n"))
+    rows = rows.join(first, "_digest", "left")
     other = F.when(long & (F.col(f"`{key}`") > F.col("_first")), F.col("_first"))
     return rows.withColumn("_refers_to", other).drop("_first").withColumn(
         "_type", F.when(F.col("_refers_to").isNull(), "response").otherwise("revisit")
@@ -106,7 +108,7 @@ _SEGMENT = (
 )
 
 
-def _segments(spark: SparkSession, path: str, store: Store) -> DataFrame:
+def _segments(spark: SparkSession, path: str) -> DataFrame:
     """What lies between version lines; ``start`` counts from where its split began to read."""
     raw = spark.read.option("lineSep", MAGIC).text(path).select(
         F.col("_metadata.file_path").alias("file"),
@@ -135,7 +137,7 @@ def _segments(spark: SparkSession, path: str, store: Store) -> DataFrame:
                 seq, start = seq + 1, start + size + len(MAGIC)
             yield pa.RecordBatch.from_pylist(rows, schema)
 
-    return store.put("segments", raw.mapInArrow(cut, segment))
+    return raw.mapInArrow(cut, segment)
 
 
 def reachable(candidates: DataFrame, store: Store) -> DataFrame:
@@ -167,8 +169,10 @@ def reachable(candidates: DataFrame, store: Store) -> DataFrame:
 def read(spark: SparkSession, path: str) -> DataFrame:
     """``file``, ``offset``, ``fields`` and ``payload`` of every record of the archives."""
     store = Store(spark)
-    segments = _segments(spark, path, store)
-    light = segments.select("file", "block", "file_size", "seq", "start", "size", "head", "length")
+    segments = _segments(spark, path)
+    light = store.put("light", segments.select(
+        "file", "block", "file_size", "seq", "start", "size", "head", "length"
+    ))
     blocks = light.groupBy("file", "block").agg(
         F.sum(F.col("size") + len(MAGIC)).alias("bytes")
     )
@@ -198,20 +202,28 @@ def read(spark: SparkSession, path: str) -> DataFrame:
         "file", "block", "seq", "offset",
         F.coalesce(F.last("owner", ignorenulls=True).over(within), "carried").alias("owner"),
     )
-    pieces = segments.join(owned, ["file", "block", "seq"])
+    owned = store.put("owned", owned)
+    # Records in several pieces, because they hold version lines, are put together; most are one.
+    several = owned.where("offset <> owner").select("file", "owner").distinct()
+    pieces = store.put("pieces", owned.join(several, ["file", "owner"]))
+    place = ["file", "block", "seq"]
+    payload = F.substring("body", (F.col("head") + 1).cast("int"), F.col("length").cast("int"))
+    starts = blocks.select("file", "block", "base")
+    single = (
+        segments.join(F.broadcast(starts), ["file", "block"])
+        .withColumn("offset", offset).where("offset >= 0")
+        .join(pieces.select(*place), place, "left_anti")
+        .select("file", "offset", "fields", payload.alias("payload"))
+    )
     own = F.col("offset") == F.col("owner")
-    whole = pieces.groupBy("file", "owner").agg(
+    whole = segments.join(pieces, place).groupBy("file", "owner").agg(
         F.sort_array(F.collect_list(F.struct("offset", "body"))).alias("p"),
         *[F.first(F.when(own, F.col(c)), ignorenulls=True).alias(c) for c in ("fields", "head", "length")],
-    )
-    body = F.aggregate(
+    ).select("file", F.col("owner").alias("offset"), "fields", "head", "length", F.aggregate(
         F.slice("p", 2, F.size("p")), F.get("p", F.lit(0))["body"],
         lambda made, x: F.concat(made, F.lit(MAGIC.encode()), x["body"]),
-    )
-    return whole.select(
-        "file", F.col("owner").alias("offset"), "fields",
-        F.substring(body, (F.col("head") + 1).cast("int"), F.col("length").cast("int")).alias("payload"),
-    )
+    ).alias("body"))
+    return single.unionByName(whole.select("file", "offset", "fields", payload.alias("payload")))
 
 
 def _id(field: str) -> Column:
@@ -228,6 +240,7 @@ def resolved(records: DataFrame) -> DataFrame:
         F.octet_length("payload").cast("long").alias("payload_bytes"),
         F.sha2("payload", 256).alias("payload_digest"),
     )
+    own = Store(records.sparkSession).put("own", own)
     responses = own.where("record_type = 'response'")
     target = responses.groupBy(F.col("page_id").alias("refers_to"), F.col("stated")).agg(
         F.max("payload_bytes").alias("payload_bytes"), F.max("payload_digest").alias("payload_digest")

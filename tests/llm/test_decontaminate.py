@@ -1,0 +1,96 @@
+from __future__ import annotations
+
+import re
+
+import pytest
+from compare import duck
+from hard_texts import MIDDLE, SMALL
+
+from linkloom.llm import decontaminate as d
+from linkloom.llm import queries
+
+ITEM = (
+    "Tom has 12 apples and gives 5 apples to his friend Mary before they travel 30 km home "
+    "together, how many apples does Tom keep after 5 days?"
+)
+
+
+@pytest.fixture(scope="module")
+def benchmark(spark):
+    rows = [(1, ITEM), (2, "short one"), (3, None), (4, ""), (5, "..."), (1, ITEM)]
+    return spark.createDataFrame(rows, "item_id int, text string")
+
+
+def held(spark, benchmark, *texts):
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    return {(r.doc_id, r.item_id, r.verbatim) for r in d.leaks(docs, benchmark).collect()}
+
+
+def test_verbatim_within_other_words(spark, benchmark):
+    assert held(spark, benchmark, f"Intro words. {ITEM} More words.", ITEM.upper(), "clean") >= {(0, 1, True)}
+
+
+def test_other_parameters(spark, benchmark):
+    """Other numbers, names and units of the same places; 5 stands twice and must stay one value."""
+    other = (
+        "Bob has 77.5 apples and gives 9 apples to his friend Anna before they travel 41 miles home "
+        "together, how many apples does Bob keep after 9 days?"
+    )
+    assert held(spark, benchmark, "So: " + other) == {(0, 1, False)}
+    assert held(spark, benchmark, "So: " + other.replace("after 9", "after 8")) == set()
+    assert held(spark, benchmark, "So: " + other.replace("gives 9", "gives 77.5").replace("after 9", "after 77.5")) == set()
+
+
+def test_half_of_an_item_is_enough_and_less_is_not(spark, benchmark):
+    words = ITEM.split()
+    assert held(spark, benchmark, "x " + " ".join(words[:18])) == {(0, 1, True)}
+    assert held(spark, benchmark, "x " + " ".join(words[:10])) == set()
+
+
+def test_short_items_are_compared_as_wholes(spark, benchmark):
+    assert held(spark, benchmark, "Short, one!", "a short one") == {(0, 2, True)}
+
+
+def test_blocks_give_the_same(spark, benchmark, monkeypatch):
+    texts = [f"Intro. {ITEM}", "short one", "nothing"]
+    whole = held(spark, benchmark, *texts)
+    monkeypatch.setattr(d, "MAX_BLOCK", 5)
+    assert held(spark, benchmark, *texts) == whole
+
+
+def test_hard_documents(hard_docs, benchmark, no_docs):
+    assert {r.doc_id for r in d.leaks(hard_docs, benchmark).collect()} == set()
+    kept = d.drop_leaks(hard_docs, benchmark)
+    assert kept.columns == hard_docs.columns and kept.count() == hard_docs.count()
+    assert d.leaks(no_docs, benchmark).count() == 0
+    assert d.leaks(hard_docs, benchmark.limit(0)).count() == 0
+
+
+def test_rows_alike_share_a_judgement(spark, benchmark):
+    docs = spark.createDataFrame([(1, ITEM), (1, ITEM), (None, ITEM), (1, "clean")], "doc_id int, text string")
+    assert d.leaks(docs, benchmark).count() == 2
+    assert [r.text for r in d.drop_leaks(docs, benchmark).collect()] == ["clean"]
+
+
+def words(text: str) -> list[str]:
+    return re.findall(r"[^\W_]+", text.lower())
+
+
+@pytest.mark.parametrize("sf_dir", [SMALL, MIDDLE])
+def test_query_finds_every_passage(spark, sf_dir):
+    """Documents that hold an item's words in a row, against a search for each of them."""
+    con = duck(sf_dir)
+    docs = con.execute("SELECT doc_id, text FROM documents WHERE text IS NOT NULL").fetchall()
+    items = con.execute("SELECT item_id, text FROM benchmark").fetchall()
+    texts = {k: " " + " ".join(words(t)) + " " for k, t in docs}
+    want = {
+        (k, i) for i, item in items for needle in [" " + " ".join(words(item)) + " "]
+        for k, t in texts.items() if needle in t
+    }
+    got = {(r.doc_id, r.item_id) for r in queries.op3_decontaminate(spark, sf_dir).collect()}
+    assert want and got == want
+
+
+def test_no_python_in_the_plan(spark):
+    plan = queries.op3_decontaminate(spark, SMALL)._jdf.queryExecution().executedPlan().toString()
+    assert not re.search("Python|Arrow|Pandas|Cartesian|NestedLoop", plan)

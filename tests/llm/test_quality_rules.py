@@ -1,0 +1,94 @@
+from __future__ import annotations
+
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+from hard_texts import LONG, MIDDLE, SMALL, TEXTS
+from pyspark.sql import functions as F
+
+from linkloom.llm import queries
+from linkloom.llm import quality_rules as q
+
+WORD = re.compile("[^\x20\x09-\x0d]+")
+
+
+def expected(text: str | None) -> dict[str, int]:
+    text = text or ""
+    words = WORD.findall(text)
+    windows = [tuple(words[i : i + 8]) for i in range(len(words) - 7)]
+    count, again = Counter(windows), set()
+    for i, w in enumerate(windows):
+        if count[w] > 1:
+            again |= set(range(i, i + 8))
+    lines = [x for x in text.split("\n") if WORD.search(x)]
+    return {
+        "n_words": len(words), "word_chars": sum(map(len, words)),
+        "n_symbols": sum(c in "#*$%&|<>" for c in text),
+        "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(again),
+    }
+
+
+@pytest.mark.parametrize("texts", [
+    TEXTS, ["a b c d e f g h " * 3, "a b c d e f g h", LONG + " " + LONG, "x", "", " ", "\x0b\x0c"],
+    ["ab " * 7, "ab " * 8, "ab " * 9, "ab " * 10, "a\nb\na\n\n \n\nb \nb", "é" * 9 + "\u00a0" + "# %|"],
+])
+def test_statistics(texts):
+    got = q.text_statistics([(t or "").encode() for t in texts])
+    for i, text in enumerate(texts):
+        want = expected(text)
+        assert {k: int(got[k][i]) for k in want} == want
+
+
+def test_learns_separable_rules_and_nothing_from_noise():
+    r = np.random.default_rng(1)
+    x = {"a": r.random(4000), "b": r.random(4000), "noise": r.random(4000)}
+    bad = (x["a"] > 0.8) & (x["b"] <= 0.5) | (x["b"] > 0.95)
+    hold_out = r.random(4000) < 0.3
+    rules = q.learn(x, bad, hold_out)
+    hit = np.any([q._holds(rule, x, 4000) for rule in rules], axis=0)
+    assert (hit == bad).mean() > 0.97
+    assert q.learn(x, r.random(4000) < 0.5, hold_out) == []
+    assert q.learn(x, np.zeros(4000, bool), hold_out) == []
+
+
+def test_hard_documents(hard_docs, no_docs, spark):
+    labels = spark.createDataFrame([(1, 0), (1, 1), (None, 0), (2, None)], "doc_id long, quality int")
+    docs = hard_docs.select("doc_id", "text", "n_chars")
+    judged = q.judge(docs, labels, ["doc_id", "n_chars"])
+    for row, source in zip(judged.collect(), docs.collect(), strict=True):
+        want = expected(source.text)
+        assert {k: row[k] for k in want} == want
+        assert row.base_failed == (want["n_words"] < 20 or 100 * want["n_repeat_words"] > 30 * want["n_words"])
+        assert row.kept == (not row.base_failed)  # no labels to learn from
+    kept = q.keep_good(hard_docs, labels)
+    assert kept.columns == hard_docs.columns
+    assert {r.doc_id for r in kept.collect()} == {r.doc_id for r in judged.where("kept").collect()}
+    assert q.keep_good(no_docs, labels).count() == 0
+    assert q.judge(docs, labels.limit(0), ["doc_id"]).count() == docs.count()
+
+
+def test_query(spark):
+    rows = {r.doc_id: r for r in queries.op9_quality_rules(spark, SMALL).collect()}
+    docs = spark.read.parquet(f"{SMALL}/documents.parquet").collect()
+    assert len(rows) == len(docs)
+    for doc in docs:
+        want = expected(doc.text)
+        row = rows[doc.doc_id]
+        assert {k: row[k] for k in want} == want
+        assert row.base_failed == (want["n_words"] < 20 or 100 * want["n_repeat_words"] > 30 * want["n_words"])
+        assert not (row.base_failed and row.kept)
+
+
+def test_accuracy_on_documents_not_learned_from(spark):
+    docs = spark.read.parquet(f"{MIDDLE}/documents.parquet")
+    labels = spark.read.parquet(f"{MIDDLE}/labels.parquet")
+    odd = F.col("doc_id") % 2 == 1
+    judged = q.judge(docs, labels.where(odd), ["doc_id"]).join(labels.where(~odd), "doc_id")
+    wrong = judged.agg(
+        F.avg(F.when(F.col("quality") == 0, F.col("kept").cast("int"))).alias("bad_kept"),
+        F.avg(F.when((F.col("quality") == 1) & ~F.col("base_failed"), 1 - F.col("kept").cast("int"))).alias("good_gone"),
+    ).first()
+    assert wrong.bad_kept < 0.1
+    assert wrong.good_gone < 0.02

@@ -1,0 +1,87 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+from compare import assert_same, duck
+from hard_texts import MIDDLE, SMALL
+from pyspark.sql import functions as F
+
+from linkloom.llm import queries, warc
+from linkloom.llm.store import Store
+
+FALSE = warc.MAGIC + "WARC-Type: response\r\nContent-Length: 3\r\n\r\nabc\r\n\r\n"
+ROWS = [
+    (1, "http://a/\r\nX: y", "x" * 50 + FALSE + warc.MAGIC + "y" * 100),
+    (2, None, "x" * 50 + FALSE + warc.MAGIC + "y" * 100),
+    (3, "u", None), (4, "u", ""), (5, "é", "é" * 60), (6, "é", "é" * 60), (7, "s", "short"),
+    (8, "s", "short"), (9, "m", warc.MAGIC), (10, "m", FALSE * 30), (None, "n", "z" * 200),
+    (None, "n", "z" * 200), (11, "n", "z" * 200), (11, "n", "z" * 200), (12, "b", "\r\n\r\n" * 90 + FALSE),
+    (13, "w", "WARC/1.0\r\n" * 9),
+]
+
+
+def expected(rows):
+    first = {}
+    for key, _, html in rows:
+        data = (html or "").encode()
+        if key is not None and len(data) >= 100:
+            first[data] = min(key, first.get(data, key))
+    out = []
+    for key, _, html in rows:
+        data = (html or "").encode()
+        of = first.get(data)
+        other = of if of is not None and key is not None and key > of else None
+        out.append((key, len(data), hashlib.sha256(data).hexdigest(), "revisit" if other else "response", other, True))
+    return sorted(out, key=str)
+
+
+def read_back(spark, path):
+    rows = warc.resolved(warc.read(spark, path)).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "digest_matches"
+    )
+    return sorted(map(tuple, rows.collect()), key=str)
+
+
+@pytest.mark.parametrize("split", ["128m", "300", "64"])
+def test_round_trip_however_files_are_split(spark, conf, split):
+    pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
+    path = Store(spark).path("archives")
+    warc.write(pages.repartition(2, "page_id"), path)
+    conf("spark.sql.files.maxPartitionBytes", split)
+    conf("spark.sql.files.openCostInBytes", "0")
+    assert read_back(spark, path) == expected(ROWS)
+
+
+def test_payloads_come_back_as_they_were(spark):
+    path = Store(spark).path("archives")
+    pages = spark.createDataFrame([(1, "u", bytes(range(256)) * 3), (2, "u", b"\xff\xfe")], "page_id long, url string, html binary")
+    warc.write(pages, path)
+    rows = warc.read(spark, path).select(F.col("fields")["warc-record-id"].alias("i"), "payload").collect()
+    assert {r.i: bytes(r.payload) for r in rows} == {
+        "<urn:page:1>": bytes(range(256)) * 3, "<urn:page:2>": b"\xff\xfe"
+    }
+
+
+def test_a_cut_archive_is_an_error(spark):
+    store = Store(spark)
+    warc.write(spark.createDataFrame(ROWS, "page_id long, url string, html string").coalesce(1), store.path("whole"))
+    text = spark.read.text(store.path("whole"), wholetext=True)
+    text.select(F.expr("substring(value, 1, length(value) - 9)")).write.option("lineSep", "\n").text(store.path("cut"))
+    with pytest.raises(ValueError, match="do not end"):
+        warc.read(spark, store.path("cut"))
+
+
+def test_no_pages_and_other_columns(spark):
+    pages = spark.createDataFrame(ROWS, "page_id long, url string, html string")
+    path = Store(spark).path("none")
+    warc.write(pages.limit(0), path)
+    assert warc.read(spark, path).count() == 0
+    path = Store(spark).path("other")
+    warc.write(pages.selectExpr("*", "1 AS _type", "2 AS _digest", "3 AS value", "4 AS _n"), path)
+    assert read_back(spark, path) == expected(ROWS)
+
+
+@pytest.mark.parametrize("sf_dir", [SMALL, MIDDLE])
+def test_query_equals_sql(spark, sf_dir):
+    assert assert_same(queries.op4_warc(spark, sf_dir), duck(sf_dir), queries.ORACLE_SQL["op4_warc"]) > 0
