@@ -119,10 +119,15 @@ def _trend_long(where: str) -> str:
 
 
 def _trend_wide(where: str) -> str:
-    """One column per country, as many as the data has."""
+    """One column per country, by its place in the alphabet."""
+    places = ", ".join(
+        f"CAST(coalesce(sum(patents) FILTER (WHERE place = {i}), 0) AS BIGINT) AS country_{i}"
+        for i in range(1, 6)
+    )
     return _m(
-        'SELECT * FROM (PIVOT cells ON country USING coalesce(sum(patents), 0)::BIGINT '
-        'GROUP BY "year")',
+        f"""SELECT "year", {places} FROM cells JOIN (
+            SELECT country, row_number() OVER (ORDER BY country) AS place FROM top5
+        ) USING (country) GROUP BY "year" """,
         _TOP5 + _cells(where),
     )
 
@@ -382,5 +387,24 @@ ORACLE_SQL: dict[str, str] = {
     "c_integrity": _m(_RULES),
     "c_integrity_flawed": _FLAWED + _RULES,
     "c_collapse_spaces": f"SELECT doc_id, {_collapse('text')} AS text FROM documents",
+    "s_raw_patents": _c("SELECT patent_id, title, abstract, date FROM raw_p"),
+    "s_raw_inventors_gzip": _c("""
+        SELECT inventor_id, disambig_inventor_id, name_first, nullif(name_last, 'N/A') AS name_last,
+               nullif(country, 'null') AS country
+        FROM raw_i
+    """),
+    "s_raw_companies_bzip2": _c(
+        "SELECT assignee_id, organization, nullif(country, 'null') AS country FROM raw_c"),
+    "s_clean_csv": _m("""
+        SELECT CAST(patent_id AS VARCHAR) AS patent_id, title, CAST(NULL AS VARCHAR) AS abstract,
+               filing_date, "year"
+        FROM patents
+    """),
+    "s_sql_on_views": _m(
+        "SELECT country, count(*) AS links FROM ilinks WHERE country <> 'UNKNOWN' GROUP BY country"),
+    "s_summary_file": _SUMMARY,
+    "s_report_file": _m(_entity_top("ilinks", "inventor_id", "name", "patents", 20)),
     "job_drop_report": _DROPS,
 }
+
+ORACLE_SQL["s_export_file"] = ORACLE_SQL["d_countries"]

@@ -16,8 +16,10 @@ from linkloom.plans.job import run_job
 from linkloom.schemas import PRIMARY_KEYS, RAW_FILES
 from linkloom.session import scratch_path
 from linkloom.sources import star
-from linkloom.sources.delimited import ORDINAL, write_csv
-from linkloom.tables import Tables
+from linkloom.sources.delimited import (
+    ORDINAL, read_clean_csv, read_raw, write_clean_csv, write_csv,
+)
+from linkloom.tables import Tables, run_sql
 
 # The star schema holds years 1995 to 2001; the range cuts at both ends.
 YEAR_FROM, YEAR_TO = 1996, 2000
@@ -125,6 +127,74 @@ def _collapsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return documents.select("doc_id", text.collapse_spaces(F.col("text")).alias("text"))
 
 
+def _raw_files(name: str, **options) -> Query:
+    """Write a raw table, whose texts hold quotes, tabs and line breaks, as several part files,
+    and read them back."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_path(spark)
+        frame = star.raw_tables(spark, sf_dir)[name].drop(ORDINAL)
+        write_csv(frame.repartition(3), f"{folder}/{name}.tsv", sep="\t", **options)
+        return read_raw(spark, folder, name).drop(ORDINAL)
+
+    return query
+
+
+def _clean_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model tables as clean CSV files, twice, as a rerun replaces them, and read back."""
+    folder = scratch_path(spark)
+    for _ in range(2):
+        write_clean_csv(star.model_tables(spark, sf_dir), folder)
+    return _iso(read_clean_csv(spark, folder).patents)
+
+
+def _sql_on_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    star.model_tables(spark, sf_dir).register_views()
+    return run_sql(
+        spark,
+        """SELECT country, count(*) AS links FROM patent_inventors JOIN inventors USING (inventor_id)
+           WHERE country <> :unknown GROUP BY country""",
+        unknown="UNKNOWN",
+    )
+
+
+def _summary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark)
+    r.write_reports(star.model_tables(spark, sf_dir), folder)
+    return r.as_json(r.read_summary(spark, folder))
+
+
+def _report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark)
+    r.write_reports(star.model_tables(spark, sf_dir), folder)
+    schema = "name string, country string, patents bigint"
+    return spark.read.schema(schema).csv(f"{folder}/top_inventors.csv", header=True)
+
+
+def _export_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark)
+    r.write_page_exports(star.model_tables(spark, sf_dir), folder, YEAR_FROM, YEAR_TO)
+    schema = "Rank int, country string, patents bigint, share_pct double"
+    return spark.read.schema(schema).csv(f"{folder}/country_trends.csv", header=True)
+
+
+def _in_places(wide: DataFrame) -> DataFrame:
+    """The country columns of a trend by their place in the alphabet, as SQL cannot name columns
+    after data; the long form has the names."""
+    names = wide.columns[1:]
+    cells = [F.col(f"`{n}`").alias(f"country_{i}") for i, n in enumerate(names, 1)]
+    none = [F.lit(0).cast("bigint").alias(f"country_{i}") for i in range(len(names) + 1, 6)]
+    return wide.select("year", *cells, *none)
+
+
+def _v_country_trend(t: Tables) -> DataFrame:
+    return _in_places(v.v_country_trend(t))
+
+
+def _d_country_trend(t: Tables, **years) -> DataFrame:
+    return _in_places(v.d_country_trend(t, **years))
+
+
 def _integrity_flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.integrity(star.flawed_tables(spark, sf_dir))
 
@@ -149,7 +219,7 @@ QUERIES: dict[str, Query] = {
     "v_country_share_other": _on_model(v.v_country_share_other),
     "v_country_share_rest": _on_model(v.v_country_share_other, pool=None),
     "v_top5_countries": _on_model(v.v_top5_countries),
-    "v_country_trend": _on_model(v.v_country_trend),
+    "v_country_trend": _on_model(_v_country_trend),
     "v_country_trend_long": _on_model(v.v_country_trend_long),
     "d_overview_totals": _on_model(v.d_overview_totals),
     "d_yearly": _in_range(v.d_yearly),
@@ -157,7 +227,7 @@ QUERIES: dict[str, Query] = {
     "d_top_companies": _in_range(v.d_top_companies),
     "d_countries": _in_range(v.d_countries),
     "d_yoy_growth": _in_range(v.d_yoy_growth),
-    "d_country_trend": _in_range(v.d_country_trend),
+    "d_country_trend": _in_range(_d_country_trend),
     "d_country_trend_long": _in_range(v.d_country_trend_long),
     "c_patents": _clean_patents,
     "c_inventors": _clean("inventors"),
@@ -168,5 +238,13 @@ QUERIES: dict[str, Query] = {
     "c_integrity": _on_model(quality.integrity),
     "c_integrity_flawed": _integrity_flawed,
     "c_collapse_spaces": _collapsed_documents,
+    "s_raw_patents": _raw_files("g_patent"),
+    "s_raw_inventors_gzip": _raw_files("g_inventor_disambiguated", compression="gzip"),
+    "s_raw_companies_bzip2": _raw_files("g_assignee_disambiguated", compression="bzip2"),
+    "s_clean_csv": _clean_csv,
+    "s_sql_on_views": _sql_on_views,
+    "s_summary_file": _summary_file,
+    "s_report_file": _report_file,
+    "s_export_file": _export_file,
     "job_drop_report": _job,
 }

@@ -47,7 +47,10 @@ def country_code(c: Column, literal_nulls: bool = False) -> Column:
     """
     if literal_nulls:
         c = F.coalesce(tokens_to_null(c), F.lit(UNKNOWN))
-    code = F.substring(F.upper(strip(c)), 1, 2)
+    code = F.upper(strip(c))
+    short = F.substring(code, 1, 2)
+    # Cleaned countries may be cleaned again: the label is not cut to a code.
+    code = short if literal_nulls else F.when(code == UNKNOWN, code).otherwise(short)
     return F.coalesce(blank_to_null(code), F.lit(UNKNOWN))
 
 

@@ -23,11 +23,13 @@ def run_job(
     csv: bool = True,
     charts: bool = False,
     literal_nulls: bool = False,
+    multi_line: bool = True,
 ) -> DataFrame:
     """Rebuild everything under ``out_dir`` from ``raw_dir`` and return the drop report.
 
     Each table is written before the next step reads it, so a lost executor never causes
-    more than one step to be repeated.
+    more than one step to be repeated. Raw files are read by one task each, as quoted fields
+    may hold line breaks; with ``multi_line`` off they are split, and a torn record raises.
     """
     store = f"{out_dir}/tables"
     counts = []
@@ -46,7 +48,7 @@ def run_job(
         counts.append((table, raw.count(), read_table(spark, store, table).count()))
 
     def raw(name: str) -> DataFrame:
-        return read_raw(spark, raw_dir, name)
+        return read_raw(spark, raw_dir, name, multi_line)
 
     entity("patents", cleaning.patents_stage(raw("g_patent")))
     entity("inventors", cleaning.inventors_stage(
@@ -79,12 +81,15 @@ def main() -> None:
     parser.add_argument("--charts", action="store_true", help="also write the chart data")
     parser.add_argument("--no-csv", action="store_true", help="skip the CSV copy of the tables")
     parser.add_argument("--literal-nulls", action="store_true", help="label nulls as UN")
+    parser.add_argument("--one-line-records", action="store_true",
+                        help="split raw files; no field may hold a line break")
+    parser.add_argument("--partitions", type=int, help="of each shuffle, before small ones merge")
     parser.add_argument("--local", type=int, metavar="CORES", help="run on this machine")
     args = parser.parse_args()
-    spark = build_session(local_cores=args.local)
+    spark = build_session(local_cores=args.local, partitions=args.partitions)
     run_job(
         spark, args.raw_dir, args.out_dir, csv=not args.no_csv, charts=args.charts,
-        literal_nulls=args.literal_nulls,
+        literal_nulls=args.literal_nulls, multi_line=not args.one_line_records,
     ).show()
 
 

@@ -8,10 +8,6 @@ from linkloom.functions.text import percent
 from linkloom.operators import counting, ranking
 from linkloom.tables import Tables
 
-# Above this many rows a frame that is bounded by its limit is not broadcast.
-_BROADCAST_ROWS = 250_000
-
-
 def q1_top_inventors(t: Tables, k: int = 20) -> DataFrame:
     """name, country, patent_count of the inventors with most patents."""
     counts = counting.inventor_counts(t)
@@ -53,7 +49,7 @@ def q5_patent_detail(t: Tables, k: int = 500) -> DataFrame:
 
     Each patent gives at least one row, so ``k`` rows come from the first ``k`` patents,
     and from no more than the first ``k`` inventors and companies of each. Only those are
-    joined: links and entities are scanned once and not shuffled whole.
+    joined. The plan is the same for every ``k``; AQE broadcasts what turns out to be small.
     """
     newest = [F.desc("year"), F.asc("patent_id")]
     patents = (
@@ -80,9 +76,9 @@ def _first_partners(
     key = entities.columns[0]
     kind = key.removesuffix("_id")
     ids = patents.select("patent_id")
-    own = links.join(_small(ids, k), "patent_id", "left_semi")
+    own = links.join(ids, "patent_id", "left_semi")
     first = ranking.first_per_group(own, "patent_id", key, k)
-    named = entities.join(_small(first.select(key), k * k), key, "left_semi").select(
+    named = entities.join(first.select(key), key, "left_semi").select(
         key,
         F.col("name").alias(f"{kind}_name"),
         F.col("country").alias(f"{kind}_country"),
@@ -90,11 +86,6 @@ def _first_partners(
     return first.join(named, key, "left")
 
 
-def _small(df: DataFrame, rows: int) -> DataFrame:
-    """Broadcast a frame of at most ``rows`` rows, if that is few enough."""
-    return F.broadcast(df) if rows <= _BROADCAST_ROWS else df
-
-
 def q6_country_year_activity(t: Tables, k: int = 100) -> DataFrame:
     """country, year, active_inventors, total_patents, patents_per_inventor.
 

@@ -7,8 +7,7 @@ import uuid
 
 from pyspark.sql import SparkSession
 
-# Settings the plans rely on. Shuffles start wide and AQE merges small partitions, so
-# one setting serves megabytes and terabytes; written files come out near 256 MB.
+# Settings the plans rely on. AQE merges small partitions; written files come out near 256 MB.
 SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -16,14 +15,20 @@ SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
 }
 CLUSTER_SETTINGS = {
-    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "20000",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
     "spark.sql.files.maxPartitionBytes": "256m",
 }
 
 
-def build_session(app: str = "linkloom", local_cores: int | None = None) -> SparkSession:
-    """A session on the submitting cluster, or on this machine with ``local_cores``."""
+def build_session(
+    app: str = "linkloom", local_cores: int | None = None, partitions: int | None = None
+) -> SparkSession:
+    """A session on the submitting cluster, or on this machine with ``local_cores``.
+
+    ``partitions`` is how many each shuffle starts with. AQE merges small ones but splits only
+    skewed ones, so give about one for each 256 MB of the largest shuffle; the cluster's own
+    setting holds if none is given.
+    """
     builder = SparkSession.builder.appName(app)
     settings = dict(SETTINGS)
     if local_cores:
@@ -34,6 +39,8 @@ def build_session(app: str = "linkloom", local_cores: int | None = None) -> Spar
         }
     else:
         settings |= CLUSTER_SETTINGS
+    if partitions:
+        settings["spark.sql.shuffle.partitions"] = str(partitions)
     for key, value in settings.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()

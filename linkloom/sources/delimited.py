@@ -5,14 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from linkloom.functions.text import missing_to_null
 from linkloom.schemas import MODEL, RAW_FILES
 from linkloom.tables import Tables
 
 ORDINAL = "_ordinal"
-_PACKED = (".gz", ".zst", ".lz4", ".snappy", ".deflate")
-_SPLIT_BYTES = 128 << 20
+_TORN = "_torn"
 
 
 def read_delimited(
@@ -20,7 +20,7 @@ def read_delimited(
     path: str,
     wanted: Iterable[str],
     sep: str = "\t",
-    multi_line: bool | None = None,
+    multi_line: bool = True,
 ) -> DataFrame:
     """All files under ``path`` as text columns, plus ``_ordinal``, their position.
 
@@ -28,16 +28,26 @@ def read_delimited(
     value become null, but for ``country``, where ``NA`` is a country. Part files must share
     one header; a differing one raises. ``_ordinal`` sorts rows by file, then by place.
 
-    A quoted field may hold line breaks; Spark must then read a file in one task. Unless
-    ``multi_line`` is given, big files are checked first and split when none does.
+    A quoted field may hold line breaks, so a file is read by one task. Without
+    ``multi_line`` files are split and every line is a record; a line that then has not as
+    many fields as the header raises when it is read, so a record torn apart by a line break
+    within quotes is never taken for two.
     """
-    if multi_line is None:
-        multi_line = not _splittable(spark, path)
-    frame = (
+    reader = (
         spark.read.option("sep", sep).option("header", True).option("enforceSchema", False)
         .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
-        .csv(path)
     )
+    frame = reader.csv(path)
+    if not multi_line:
+        schema = StructType([*frame.schema.fields, StructField(_TORN, StringType())])
+        frame = reader.option("columnNameOfCorruptRecord", _TORN).option("columnPruning", False) \
+            .schema(schema).csv(path)
+        torn = F.concat(F.lit("not a record of one line: "), F.col(_TORN))
+        # The second test names a column, as Spark refuses scans of the torn lines alone.
+        whole = F.when(F.col(_TORN).isNull(), True).when(
+            F.col(f"`{frame.columns[0]}`").isNull(), F.raise_error(torn).cast("boolean")
+        ).otherwise(F.raise_error(torn).cast("boolean"))
+        frame = frame.where(whole)
     place = F.struct(
         F.col("_metadata.file_path").alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
@@ -48,7 +58,7 @@ def read_delimited(
 
 
 def read_raw(
-    spark: SparkSession, raw_dir: str, name: str, multi_line: bool | None = None
+    spark: SparkSession, raw_dir: str, name: str, multi_line: bool = True
 ) -> DataFrame:
     """One raw file of :data:`RAW_FILES`: ``name.tsv``, ``.tsv.gz``, ``.tsv.bz2`` or a
     folder of that name with part files."""
@@ -56,22 +66,6 @@ def read_raw(
     return read_delimited(spark, path, RAW_FILES[name], multi_line=multi_line)
 
 
-def _splittable(spark: SparkSession, path: str) -> bool:
-    """Whether reading the files line by line is both useful and exact.
-
-    It is useful if some plain file is larger than a usual input split, and exact if every
-    line has an even number of quotes, as no field then runs over a line end.
-    """
-    files = spark.read.format("binaryFile").load(path).select("path", "length")
-    packed = F.lit(False)
-    for ending in _PACKED:
-        packed |= F.col("path").endswith(ending)
-    if files.where(~packed & (F.col("length") > _SPLIT_BYTES)).isEmpty():
-        return False
-    quotes = F.length("value") - F.length(F.replace("value", F.lit('"')))
-    return spark.read.text(path).where(quotes % 2 == 1).isEmpty()
-
-
 def read_clean_csv(spark: SparkSession, clean_dir: str) -> Tables:
     """Clean CSV tables, typed; texts that do not fit a type become null.
 
@@ -93,11 +87,11 @@ def write_clean_csv(tables: Tables, clean_dir: str) -> None:
         write_csv(frame.select(*MODEL[table].names), f"{clean_dir}/{_csv_name(table)}")
 
 
-def write_csv(frame: DataFrame, path: str, sep: str = ",") -> None:
+def write_csv(frame: DataFrame, path: str, sep: str = ",", compression: str = "none") -> None:
     (
         frame.write.mode("overwrite").option("header", True).option("emptyValue", "")
         .option("sep", sep).option("quote", '"').option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+        .option("compression", compression).option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path)
     )
 

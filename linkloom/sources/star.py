@@ -59,16 +59,12 @@ def model_tables(spark: SparkSession, sf_dir: str) -> Tables:
 
 
 def _people(people: DataFrame, nation: DataFrame, prefix: str, key: str, name: str) -> DataFrame:
-    """Entities with their country.
-
-    The planner takes the size of a join for the product of its sides. The hint makes AQE
-    measure the entities before it decides how to join them with anything else.
-    """
+    """Entities with their country."""
     country = F.when(F.col("n_nationkey") == 0, UNKNOWN).otherwise(F.col("n_name"))
     joined = people.join(nation, F.col(f"{prefix}_nationkey") == F.col("n_nationkey"))
     return joined.select(
         F.col(key).alias(name), F.col(f"{prefix}_name").alias("name"), country.alias("country")
-    ).hint("rebalance")
+    )
 
 
 def flawed_tables(spark: SparkSession, sf_dir: str) -> Tables:

@@ -3,7 +3,6 @@ import gzip
 
 import pytest
 
-from linkloom.sources import delimited
 from linkloom.sources.delimited import ORDINAL, read_delimited, read_raw
 
 HEADER = "patent_id\ttype\tdate\ttitle\tabstract\n"
@@ -71,22 +70,45 @@ def test_missing_file_is_an_error(spark, tmp_path):
         read_raw(spark, str(tmp_path), "g_patent")
 
 
-def test_big_files_are_split_only_if_no_field_spans_lines(spark, tmp_path, monkeypatch, conf):
-    monkeypatch.setattr(delimited, "_SPLIT_BYTES", 1000)
+def small_splits(conf):
     conf("spark.sql.files.maxPartitionBytes", "2000")
     conf("spark.sql.files.openCostInBytes", "1")
+
+
+def test_without_multi_line_files_are_split(spark, tmp_path, conf):
+    small_splits(conf)
     lines = [f'{i}\tu\t\t"title ""{i}"""\tx\n' for i in range(2000)]
-    put(tmp_path / "plain", "g_patent.tsv", HEADER + "".join(lines))
-    plain = read_raw(spark, str(tmp_path / "plain"), "g_patent")
-    assert plain.rdd.getNumPartitions() > 10
-    assert rows(plain, "patent_id", "title") == [(str(i), f'title "{i}"') for i in range(2000)]
-
-    lines[700] = '700\tu\t\t"two\nlines"\tx\n'
-    put(tmp_path / "broken", "g_patent.tsv", HEADER + "".join(lines))
-    broken = read_raw(spark, str(tmp_path / "broken"), "g_patent")
-    assert broken.rdd.getNumPartitions() == 1
-    assert rows(broken, "patent_id", "title")[700] == ("700", "two\nlines")
-    assert broken.count() == 2000
+    put(tmp_path, "g_patent.tsv", HEADER + "".join(lines))
+    whole = read_raw(spark, str(tmp_path), "g_patent")
+    split = read_raw(spark, str(tmp_path), "g_patent", multi_line=False)
+    assert whole.rdd.getNumPartitions() == 1 and split.rdd.getNumPartitions() > 10
+    columns = ["patent_id", "title", "abstract", "date"]
+    assert rows(split, *columns) == rows(whole, *columns)
+    assert split.count() == 2000
+
+
+@pytest.mark.parametrize("text", [
+    '700\tu\t\t"two\nlines"\tx\n', '700\tu\t\t5" pipe "first\nsecond" 6" long\tx\n', "700\tu\n",
+])
+def test_without_multi_line_torn_records_raise(spark, tmp_path, conf, text):
+    """The first two hold a line break within quotes, once with an even number on each line."""
+    small_splits(conf)
+    lines = [f"{i}\tu\t\tt\tx\n" for i in range(2000)]
+    lines[700] = text
+    put(tmp_path, "g_patent.tsv", HEADER + "".join(lines))
+    split = read_raw(spark, str(tmp_path), "g_patent", multi_line=False)
+    for action in (split.collect, split.count, split.select("title").collect):
+        with pytest.raises(Exception, match="not a record of one line"):
+            action()
+
+
+def test_the_same_text_gives_the_same_rows_at_every_size(spark, tmp_path, conf):
+    body = '1\tu\t2020-01-01\t"a\nb"\t""\n2\tu\t\t5" pipe\tx\n'
+    put(tmp_path / "a", "g_patent.tsv", HEADER + body)
+    put(tmp_path / "b", "g_patent.tsv", HEADER + body * 500)
+    small_splits(conf)
+    small, large = (rows(read_raw(spark, str(tmp_path / n), "g_patent"), "title") for n in "ab")
+    assert large == small * 500
 
 
 def test_only_read_columns_reach_the_scan(spark, tmp_path):
