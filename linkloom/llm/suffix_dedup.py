@@ -33,7 +33,8 @@ from linkloom.llm.deep_shallow import blind_trie, shallow_groups
 from linkloom.llm.store import Store, ship
 
 GRAIN = 64
-MAX_KINDS = 4096
+# Some 30 MB of bytes in one task.
+MAX_KINDS = 65_536
 _GROUP_BYTES = 1 << 19
 _PAIRED = 16
 
@@ -187,6 +188,17 @@ def repeats(left: list[bytes], right: list[bytes], rows: list[int], length: int,
     return found
 
 
+def merged(ranges: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The same numbers in as few ranges as possible."""
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(ranges):
+        if out and low <= out[-1][1] + 1:
+            out[-1] = out[-1][0], max(out[-1][1], high)
+        else:
+            out.append((low, high))
+    return out
+
+
 def _surroundings(wanted: DataFrame, texts: DataFrame, length: int, grain: int) -> DataFrame:
     """The bytes around chosen anchors: reversed to the left, as a suffix to the right."""
     asked = wanted.groupBy("h1", "h2").agg(
@@ -229,7 +241,7 @@ def _sorted_ranges(around: DataFrame, length: int, grain: int) -> DataFrame:
         for group in shallow_groups(right, grain):
             if len(group) > 1:
                 for row, ranges in repeats(left, right, group, length, width).items():
-                    made += [(rows[row]["grain"], rows[row]["around"], *r) for r in set(ranges)]
+                    made += [(rows[row]["grain"], rows[row]["around"], *r) for r in merged(ranges)]
         columns = list(zip(*made, strict=True)) or [[]] * 4
         kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
         return pa.RecordBatch.from_arrays(
@@ -329,12 +341,15 @@ def without_repeats(
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
                 part, removed, kept = batch.slice(at, 64), [], []
-                for data, copies, starts in zip(
+                starts = part.column("starts")
+                low, high = (starts.flatten().field(k).to_numpy() for k in ("low", "high"))
+                ends = np.cumsum(starts.value_lengths().fill_null(0).to_numpy())
+                for data, copies, a, b in zip(
                     _unpack(part), part.column("copies").to_pylist(),
-                    part.column("starts").to_pylist(), strict=True,
+                    [0, *ends[:-1].tolist()], ends.tolist(), strict=True,
                 ):
-                    gone = removed_spans(len(data), copies, starts or [], length)
-                    removed.append([{"first": a, "end": b} for a, b in gone])
+                    gone = removed_spans(len(data), copies, low[a:b], high[a:b], length)
+                    removed.append([{"first": x, "end": y} for x, y in gone])
                     edges = [0, *[x for span in gone for x in span], len(data)]
                     pairs = zip(edges[::2], edges[1::2], strict=True)
                     kept.append(b"".join(data[a:b] for a, b in pairs))
@@ -351,20 +366,23 @@ def without_repeats(
     )
 
 
-def removed_spans(n: int, copies: int, starts: list[dict], length: int) -> list[tuple[int, int]]:
+def removed_spans(
+    n: int, copies: int, low: np.ndarray, high: np.ndarray, length: int
+) -> list[tuple[int, int]]:
     """Maximal runs of bytes in repeated windows, whose starts come as ranges."""
     if n < length:
         return []
     if copies > 1:
         return [(0, n)]
-    spans: list[tuple[int, int]] = []
-    clipped = ((max(0, s["low"]), min(s["high"], n - length)) for s in starts)
-    for low, high in sorted(x for x in clipped if x[0] <= x[1]):
-        if spans and low <= spans[-1][1]:
-            spans[-1] = spans[-1][0], max(spans[-1][1], high + length)
-        else:
-            spans.append((low, high + length))
-    return spans
+    low, high = np.maximum(low, 0), np.minimum(high, n - length)
+    low, high = low[low <= high], high[low <= high]
+    if not len(low):
+        return []
+    order = np.argsort(low, kind="stable")
+    low, reach = low[order], np.maximum.accumulate(high[order] + length)
+    first = np.flatnonzero(np.append(True, low[1:] > reach[:-1]))
+    last = np.append(first[1:], len(low)) - 1
+    return list(zip(low[first].tolist(), reach[last].tolist(), strict=True))
 
 
 def for_documents(docs: DataFrame, made: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
