@@ -33,16 +33,13 @@ def v_country_share_other(t: Tables, keep: int = 7, pool: int | None = 8) -> Dat
     "Other" is what the ``pool`` largest countries have beyond the ``keep`` largest; with
     ``pool=None`` it is what all other countries have. The counts are used in one place
     only: AQE does not split skewed joins in a second use that starts from shuffles it has
-    already run. The windows see no more than ``pool`` and ``keep`` + 1 rows.
+    already run. The windows see a row per country, of which two letters give 676 at most.
     """
     counts = counting.country_counts(t)
-    if pool is None:
-        names = [row.country for row in ranking.top(counts, keep, "patent_count", "country").collect()]
-        kept = F.col("country").isin(names)
-    else:
-        best = ranking.top(counts, pool, "patent_count", "country")
-        counts = ranking.positions(best, "patent_count", "country", "_place")
-        kept = F.col("_place") <= keep
+    if pool is not None:
+        counts = ranking.top(counts, pool, "patent_count", "country")
+    counts = ranking.positions(counts, "patent_count", "country", "_place")
+    kept = F.col("_place") <= keep
     # A row of its own makes "Other" appear even if nothing is left for it.
     nothing = counts.sparkSession.range(1).selectExpr("CAST(NULL AS STRING) AS country", "0L AS n")
     slices = (
