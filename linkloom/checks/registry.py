@@ -59,13 +59,27 @@ class Cleaned:
     def store(self) -> str:
         return scratch_path(self.spark)
 
-    def written(self, table: str) -> DataFrame:
+    def stage(self, table: str) -> DataFrame:
+        name, stage = {
+            "patents": ("g_patent", cleaning.patents_stage),
+            "inventors": ("g_inventor_disambiguated", cleaning.inventors_stage),
+            "companies": ("g_assignee_disambiguated", cleaning.companies_stage),
+        }[table]
+        return stage(self.raw[name])
+
+    def staged(self, table: str) -> DataFrame:
+        """Keys and counts of an entity's stage, from the one time it is cleaned."""
         (key,) = PRIMARY_KEYS[table]
         path = f"{self.store}/{table}"
         if table not in self.done:
-            getattr(self, table)().select(key).write.mode("overwrite").parquet(path)
+            kept = self.stage(table).select(key, "_valid", "_rows")
+            kept.write.mode("overwrite").parquet(path)
             self.done.add(table)
-        return self.spark.read.schema(f"{key} string").parquet(path)
+        schema = f"{key} string, _valid boolean, _rows bigint"
+        return self.spark.read.schema(schema).parquet(path)
+
+    def written(self, table: str) -> DataFrame:
+        return self.staged(table).where("_valid").select(*PRIMARY_KEYS[table])
 
     def patents(self) -> DataFrame:
         return cleaning.clean_patents(self.raw["g_patent"])
@@ -89,11 +103,7 @@ class Cleaned:
     def drop_report(self) -> DataFrame:
         raw = self.raw
         counts = [
-            quality.stage_counts(cleaning.patents_stage(raw["g_patent"]), "patents"),
-            quality.stage_counts(
-                cleaning.inventors_stage(raw["g_inventor_disambiguated"]), "inventors"),
-            quality.stage_counts(
-                cleaning.companies_stage(raw["g_assignee_disambiguated"]), "companies"),
+            *[quality.stage_counts(self.staged(n), n) for n in ("patents", "inventors", "companies")],
             quality.link_counts(
                 raw["g_patent_inventor"], self.patent_inventors(), "patent_inventors"),
             quality.link_counts(
