@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 
 from linkloom.llm.store import ship
 
-GROUP_BYTES = 2 << 20
+GROUP_BYTES = 1 << 19
 
 
 def utf8(column: pa.Array) -> list[bytes]:

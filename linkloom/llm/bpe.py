@@ -32,8 +32,8 @@ from linkloom.llm.store import ship
 WORD_END = "</w>"
 _END = "\0"
 _NEVER = 1 << 60
-_CACHED_WORDS = 500_000
-_CACHED_PAIRS = 1_000_000
+_CACHED_WORDS = 400_000
+_CACHED_PAIRS = 300_000
 # White space to Python's str.split, but not to the pattern.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
