@@ -36,8 +36,9 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """doc_id, n_tokens, ids, and digests of the ids and of the text they decode to."""
     vocabulary = public_tokenizers.path("word_bpe_49k.json")
-    coded = bpe.encode(docs, vocabulary, keep=["doc_id"])
-    return bpe.decode(coded, vocabulary).select(
+    # Workers keep what they remember while other stages run, so it is little here.
+    coded = bpe.encode(docs, vocabulary, keep=["doc_id"], cached=100_000)
+    return bpe.decode(coded, vocabulary, cached=100_000).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",

@@ -32,8 +32,8 @@ from linkloom.llm.store import ship
 WORD_END = "</w>"
 _END = "\0"
 _NEVER = 1 << 60
-_CACHED_WORDS = 400_000
-_CACHED_PAIRS = 300_000
+# So many words, and twice as many pairs of tokens, are remembered by each worker.
+CACHED = 500_000
 # White space to Python's str.split, but not to the pattern.
 _ODD_SPACE = re.compile("[\x1c-\x1f]")
 
@@ -49,7 +49,8 @@ def byte_letters() -> list[str]:
 class WordBpe:
     """Encoder for a vocabulary file with word ends and byte letters."""
 
-    def __init__(self, spec: bytes):
+    def __init__(self, spec: bytes, cached: int = CACHED):
+        self.cached = cached
         parsed = json.loads(spec)
         model, split = parsed["model"], parsed["pre_tokenizer"]["pretokenizers"][0]
         vocab = model["vocab"]
@@ -107,7 +108,7 @@ class WordBpe:
                 return True
 
     def _compatible(self, left: int, right: int) -> bool:
-        if len(self.pairs) >= _CACHED_PAIRS:
+        if len(self.pairs) >= 2 * self.cached:
             self.pairs.clear()
         fits = self.pairs[left << 32 | right] = self._apart(left, right)
         return fits
@@ -142,14 +143,14 @@ class WordBpe:
         for word in words:
             ids = known.get(word)
             if ids is None:
-                if len(known) >= _CACHED_WORDS:
+                if len(known) >= self.cached:
                     known.clear()
                 ids = known[word] = self.word(word)
             made.append(ids)
         return b"".join(made)
 
     def _chunk(self, chunk: str) -> bytes:
-        if len(self.chunks) >= _CACHED_WORDS:
+        if len(self.chunks) >= self.cached:
             self.chunks.clear()
         ids = self._words(self.pattern.findall(chunk))
         if len(chunk) <= 64:
@@ -184,15 +185,15 @@ class WordBpe:
         return " ".join(filter(None, map(self.texts.get, ids)))
 
 
-_LOADED: dict[int, WordBpe] = {}
+_LOADED: dict[tuple[int, int], WordBpe] = {}
 
 
-def _loaded(spec: bytes) -> WordBpe:
+def _loaded(spec: bytes, cached: int = CACHED) -> WordBpe:
     """One encoder per worker and vocabulary, so that its caches outlive a task."""
-    key = hash(spec)
+    key = hash(spec), cached
     if key not in _LOADED:
         _LOADED.clear()
-        _LOADED[key] = WordBpe(spec)
+        _LOADED[key] = WordBpe(spec, cached)
     return _LOADED[key]
 
 
@@ -232,14 +233,15 @@ def _map_column(
 
 def encode(
     docs: DataFrame, vocabulary: str, text: str = "text", ids: str = "ids",
-    keep: list[str] | None = None,
+    keep: list[str] | None = None, cached: int = CACHED,
 ) -> DataFrame:
     """The columns ``keep`` of ``docs``, all by default, and the token ids of each whole text as
-    an array of integers. A column of that name is replaced."""
+    an array of integers. A column of that name is replaced. Fewer ``cached`` words take less
+    memory and more time; give :func:`decode` the same number."""
     spec = _vocabulary(docs, vocabulary)
 
     def make(texts: pa.Array) -> pa.Array:
-        bpe = _loaded(spec.value)
+        bpe = _loaded(spec.value, cached)
         made = [bpe.encode(t or "") for t in texts.to_pylist()]
         ends = np.cumsum([0, *map(len, made)], dtype=np.int32)
         return pa.ListArray.from_arrays(ends, pa.array(np.concatenate(made)))
@@ -249,14 +251,14 @@ def encode(
 
 def decode(
     docs: DataFrame, vocabulary: str, ids: str = "ids", text: str = "decoded",
-    keep: list[str] | None = None,
+    keep: list[str] | None = None, cached: int = CACHED,
 ) -> DataFrame:
     """The columns ``keep`` of ``docs``, all by default, and the text that its ids stand for; null
     ids are the empty text. A column of that name is replaced."""
     spec = _vocabulary(docs, vocabulary)
 
     def make(arrays: pa.Array) -> pa.Array:
-        bpe = _loaded(spec.value)
+        bpe = _loaded(spec.value, cached)
         return pa.array([bpe.decode(x or []) for x in arrays.to_pylist()], pa.string())
 
     return _map_column(docs, ids, text, StringType(), make, keep)

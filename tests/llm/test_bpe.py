@@ -48,9 +48,9 @@ def test_equals_the_library_on_random_texts(library, encoder, letters):
         both(library, encoder, "".join(r.choice(letters) for _ in range(r.randint(1, 40))))
 
 
-def test_small_caches_change_nothing(library, encoder, monkeypatch):
-    monkeypatch.setattr(bpe, "_CACHED_WORDS", 3)
-    monkeypatch.setattr(bpe, "_CACHED_PAIRS", 3)
+def test_small_caches_change_nothing(library):
+    with open(VOCABULARY, "rb") as file:
+        encoder = bpe.WordBpe(file.read(), cached=3)
     both(library, encoder, "many different words pass through caches that hold only a few words")
 
 
