@@ -8,7 +8,8 @@ Neighbours of the suffix array get their longest common prefix (LCP): the round
 of them apart gives its power of two, and comparing the lines from there gives the rest. That
 is done only where the preceding lines differ; elsewhere the LCP is one less than for the line
 before. A maximal stretch of neighbours with an LCP of ``min_lines`` or more, an LCP interval,
-is a repeated run; all occurrences but the first lose its lines.
+is a repeated run; all occurrences but the first lose its lines. With ``min_words`` a single line
+of so many words, parted by white space, is a run as well.
 
 The first occurrence is that of the smallest document id, then text, then line; a null id comes
 last. Rows equal in id and text are one document: each is returned, with the same lines. Null
@@ -27,23 +28,31 @@ from linkloom.llm.ordering import with_run_starts
 from linkloom.llm.store import Store
 
 
-def _line_ids(text: bytes) -> tuple[list[int], list[bytes]]:
+def _line_ids(text: bytes, min_words: int | None) -> tuple[list[int], list[bytes], list[int]]:
     lines = [(i, x) for i, x in enumerate(text.split(b"\n")) if x.strip()]
-    return [i for i, _ in lines], [xxhash.xxh3_128_digest(x) for _, x in lines]
+    wide = [] if min_words is None else [
+        i for i, (_, x) in enumerate(lines) if len(x.decode("utf-8", "replace").split()) >= min_words
+    ]
+    return [i for i, _ in lines], [xxhash.xxh3_128_digest(x) for _, x in lines], wide
 
 
-def _sequences(docs: DataFrame, key: str, text: str, store: Store) -> DataFrame:
-    """``doc`` (a number), ``_key``, ``id``, ``places`` and ``lines`` of every document."""
+def _sequences(
+    docs: DataFrame, key: str, text: str, store: Store, min_words: int | None = None
+) -> DataFrame:
+    """``doc`` (a number), ``_key``, ``id``, ``places``, ``lines`` and ``wide``, which of the
+    lines have ``min_words`` words, of every document."""
 
     def digest(texts: list[bytes]) -> dict[str, list]:
-        made = [_line_ids(t) for t in texts]
-        return {"places": [p for p, _ in made], "lines": [x for _, x in made]}
+        made = [_line_ids(t, min_words) for t in texts]
+        return dict(zip(("places", "lines", "wide"), map(list, zip(*made)), strict=True))
 
     keyed = docs.select(F.col(f"`{key}`").alias("id"), F.col(f"`{text}`").alias("text")) \
         .withColumn("_key", row_key("id", "text"))
-    split = map_texts(keyed, "text", ["_key", "id"], "places array<int>, lines array<binary>", digest)
+    schema = "places array<int>, lines array<binary>, wide array<int>"
+    split = map_texts(keyed, "text", ["_key", "id"], schema, digest)
     once = split.groupBy("_key").agg(
-        F.first("id").alias("id"), F.first("places").alias("places"), F.first("lines").alias("lines")
+        F.first("id").alias("id"), F.first("places").alias("places"),
+        F.first("lines").alias("lines"), F.first("wide").alias("wide"),
     ).where(F.size("lines") > 0)
     return store.put("sequences", once.withColumn("doc", F.monotonically_increasing_id()))
 
@@ -132,10 +141,29 @@ def with_common_prefix(lines: DataFrame, suffixes: DataFrame, store: Store) -> D
     return store.put("common", joined.withColumn("lcp", lcp).select("doc", "i", "rank", "lcp"))
 
 
-def repeated_runs(docs: DataFrame, min_lines: int, key: str, text: str, store: Store) -> DataFrame:
-    """``doc``, ``i`` and ``first``: where a run of ``min_lines`` lines begins that occurs
-    elsewhere, and whether this is its first occurrence."""
-    sequences = _sequences(docs, key, text, store)
+def _place() -> Column:
+    return F.struct(F.col("id").isNull().alias("n"), "id", "_key", "i")
+
+
+def _repeated_wide_lines(sequences: DataFrame, store: Store) -> DataFrame:
+    wide = sequences.select("doc", "id", "_key", F.inline(F.transform(
+        "wide", lambda i: F.struct(i.alias("i"), F.get("lines", i).alias("line"))
+    )))
+    first = store.put("first_wide", wide.groupBy("line").agg(
+        F.min(_place()).alias("least"), F.count("*").alias("n")
+    ).where("n > 1").drop("n"))
+    return wide.join(first.hint("merge"), "line").select(
+        "doc", "i", (_place() == F.col("least")).alias("first"), F.lit(1).alias("n")
+    )
+
+
+def repeated_runs(
+    docs: DataFrame, min_lines: int, key: str, text: str, store: Store, min_words: int | None = None
+) -> DataFrame:
+    """``doc``, ``i``, ``first`` and ``n``: where a run of ``n`` lines begins that occurs
+    elsewhere, and whether this is its first occurrence. Runs have ``min_lines`` lines, or one
+    of ``min_words`` words."""
+    sequences = _sequences(docs, key, text, store, min_words)
     lines, suffixes = suffix_array(sequences, store)
     common = with_common_prefix(lines, suffixes, store)
     inside = with_run_starts(
@@ -146,24 +174,33 @@ def repeated_runs(docs: DataFrame, min_lines: int, key: str, text: str, store: S
         common.join(heads, "rank").select("doc", "i", "interval")
     )
     members = members.join(sequences.select("doc", "id", "_key"), "doc")
-    place = F.struct(F.col("id").isNull().alias("n"), "id", "_key", "i")
     # Written, so that the join has plain shuffles on both sides and a frequent run is split.
-    first = store.put("first", members.groupBy("interval").agg(F.min(place).alias("least")))
-    return members.join(first, "interval").select("doc", "i", (place == F.col("least")).alias("first"))
+    first = store.put("first", members.groupBy("interval").agg(F.min(_place()).alias("least")))
+    runs = members.join(first, "interval").select(
+        "doc", "i", (_place() == F.col("least")).alias("first"), F.lit(min_lines).alias("n")
+    )
+    return runs if min_words is None else runs.unionByName(_repeated_wide_lines(sequences, store))
 
 
 def delete_repeated_runs(
-    docs: DataFrame, min_lines: int = 2, key: str = "doc_id", text: str = "text"
+    docs: DataFrame,
+    min_lines: int = 2,
+    key: str = "doc_id",
+    text: str = "text",
+    min_words: int | None = None,
 ) -> DataFrame:
     """``docs`` with the lines of later copies deleted, and ``lines_deleted``.
 
+    Without ``min_words`` a repeated run of fewer than ``min_lines`` lines stays, however long
+    they are.
+
     A document all of whose lines go keeps an empty text; what to do with it is the caller's
     choice. A column ``lines_deleted`` of the input is replaced.
     """
     store = Store(docs.sparkSession)
-    runs = repeated_runs(docs, min_lines, key, text, store).where(~F.col("first"))
+    runs = repeated_runs(docs, min_lines, key, text, store, min_words).where(~F.col("first"))
     covered = runs.select(
-        "doc", F.explode(F.sequence("i", F.col("i") + F.lit(min_lines - 1))).alias("i")
+        "doc", F.explode(F.sequence("i", F.col("i") + F.col("n") - 1)).alias("i")
     ).groupBy("doc").agg(F.collect_set("i").alias("gone"))
     sequences = store.spark.read.parquet(store.path("sequences"))
     # Places of the deleted lines among all lines of the text, blank ones included.
@@ -188,7 +225,9 @@ def delete_repeated_runs(
     )
 
 
-def keep_new_lines(docs: DataFrame, min_lines: int = 2, text: str = "text") -> DataFrame:
+def keep_new_lines(
+    docs: DataFrame, min_lines: int = 2, text: str = "text", min_words: int | None = None
+) -> DataFrame:
     """``docs`` without later copies of runs. A document that loses all its lines goes.
 
     ``n_chars``, where present, is the length of the text that is left.
@@ -196,7 +235,7 @@ def keep_new_lines(docs: DataFrame, min_lines: int = 2, text: str = "text") -> D
     names, taken = docs.columns, "lines_deleted"
     if taken in names:
         docs = docs.withColumnRenamed(taken, "_lines_deleted")
-    kept = delete_repeated_runs(docs, min_lines, text=text)
+    kept = delete_repeated_runs(docs, min_lines, text=text, min_words=min_words)
     changed = F.col(taken) > 0
     kept = kept.where(~changed | F.col(f"`{text}`").rlike(r"\S"))
     if "n_chars" in names:

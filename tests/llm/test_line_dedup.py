@@ -38,6 +38,18 @@ def test_equals_looking_up_every_run(spark, m):
     assert [row.text for row in rows] == expected(texts, m)
 
 
+def test_a_long_line_alone_is_a_run(spark):
+    """Copies of one line of 50 words go, within several lines and as whole documents."""
+    long, short = [" ".join(f"{x}{i}" for i in range(n)) for x, n in (("a", 50), ("b", 49))]
+    texts = [f"p\n{long}\nq", f"r\n{long}\n{short}", long, short, f"{long}\ns\n{long}", f"p\n{long}", None, ""]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4)
+    rows = sorted(line_dedup.delete_repeated_runs(frame, 2, min_words=50).collect())
+    assert [r.text for r in rows] == [texts[0], f"r\n{short}", "", short, "s", "", None, ""]
+    assert [r.lines_deleted for r in rows] == [0, 1, 1, 0, 2, 2, 0, 0]
+    kept = line_dedup.keep_new_lines(frame, 2, min_words=50)
+    assert {r.doc_id for r in kept.collect()} == {0, 1, 3, 4, 6, 7}
+
+
 def test_the_suffix_array_is_sorted_and_its_prefixes_are_right(spark):
     r = random.Random(5)
     texts = ["\n".join(r.choice("ab") for _ in range(r.randint(1, 20))) for _ in range(12)]
