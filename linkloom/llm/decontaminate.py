@@ -7,8 +7,9 @@ windows cover. Where an item has placeholders, the values that stand there must
 the same value of the item always to the same value of the document, and back. That keeps items
 asked with other parameters, and drops mere accidents of form.
 
-A document holds an item if that covers ``min_share`` of the item's words. Items and documents
-shorter than a window are compared as wholes. Nulls and empty texts hold nothing and are held
+A document holds an item if that covers ``min_share`` of the item's words. An item shorter than a
+window is one window of its own length, sought in longer documents too if it has ``LEAST_WORDS``
+words; a shorter one is found only where it is the whole document. Nulls and empty texts hold nothing and are held
 by nothing. Rows equal in id and text are judged alike and returned once per item. Windows that are
 placeholders by more than half are not used, nor are items that have no others.
 
@@ -27,6 +28,9 @@ from linkloom.llm.store import Store
 
 MAX_BLOCK = 500_000
 
+# One or two words are no sign of a leak within a longer text.
+LEAST_WORDS = 3
+
 # Units in the order of length, mass, volume, time, temperature, money, shares.
 UNITS = (
     "mm cm m km in ft yd mi inch inches foot feet yards mile miles meter meters metre metres "
@@ -86,8 +90,9 @@ def template(c: Column) -> Column:
     return _words(F.lower(_if_digits(c, unit, named)))
 
 
-def _windows(text: Column, window: int) -> Column:
-    """``hash`` and ``slots`` of every window; fewer words than a window make one.
+def _windows(text: Column, window: int, lengths: list[int] | None = None) -> Column:
+    """``p``, ``n``, ``hash`` and ``slots`` of every window of ``n`` words from place ``p``; fewer
+    words than a window make one. ``lengths`` are those of further windows.
 
     ``slots`` has the words that stand for the window's placeholders; null if a text has none.
     """
@@ -95,11 +100,18 @@ def _windows(text: Column, window: int) -> Column:
         return word.isin(NUMBER, NAME, UNIT)
 
     def each(words: Column, values: Column) -> Column:
-        starts = F.sequence(F.lit(0), F.greatest(F.size(words) - window, F.lit(0)))
-        return F.transform(starts, lambda p: F.struct(
-            F.xxhash64(F.slice(words, p + 1, window)).alias("hash"),
-            F.array_compact(F.slice(values, p + 1, window)).alias("slots"),
-        ))
+        def of_length(n: Column) -> Column:
+            return F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda p: F.struct(
+                p.alias("p"), n.alias("n"),
+                F.xxhash64(F.slice(words, p + 1, n)).alias("hash"),
+                F.array_compact(F.slice(values, p + 1, n)).alias("slots"),
+            ))
+
+        usual = F.least(F.size(words), F.lit(window))
+        if not lengths:
+            return of_length(usual)
+        shorter = F.filter(F.array(*map(F.lit, lengths)), lambda n: n < usual)
+        return F.flatten(F.transform(F.concat(F.array(usual), shorter), of_length))
 
     def whole(words: Column) -> Column:
         values = F.when(F.exists(words, is_slot), F.zip_with(
@@ -122,12 +134,15 @@ def hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     where the window begins in the item, and ``pairs`` of slot values."""
     slots = F.coalesce(F.size("w.slots"), F.lit(0))
     wanted = (
-        items.select("item", "length", F.posexplode(_windows(F.col("t"), window)).alias("ip", "w"))
-        .where(2 * slots <= F.least("length", F.lit(window)))
-        .select("w.hash", "item", "ip", F.col("w.slots").alias("of_item"))
+        items.select("item", F.explode(_windows(F.col("t"), window)).alias("w"))
+        .where(2 * slots <= F.col("w.n"))
+        .select("w.hash", "w.n", "item", F.col("w.p").alias("ip"), F.col("w.slots").alias("of_item"))
     )
-    places = docs.select("_key", "id", F.posexplode(_windows(F.col("t"), window)).alias("dp", "w")) \
-        .select("_key", "id", "dp", "w.hash", F.col("w.slots").alias("of_doc"))
+    short = items.where(F.col("length").between(LEAST_WORDS, window - 1)).select("length").distinct()
+    lengths = sorted(r["length"] for r in short.collect())
+    found_in = _windows(F.col("t"), window, lengths)
+    places = docs.select("_key", "id", F.explode(found_in).alias("w")) \
+        .select("_key", "id", F.col("w.p").alias("dp"), "w.hash", "w.n", F.col("w.slots").alias("of_doc"))
     none = F.array().cast("array<string>")
     pairs = F.zip_with(
         F.coalesce("of_item", none), F.coalesce("of_doc", none),
@@ -137,7 +152,7 @@ def hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     found = None
     for b in range(blocks):
         block = wanted.where(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == b) if blocks > 1 else wanted
-        part = places.join(F.broadcast(block), "hash").select(
+        part = places.join(F.broadcast(block), ["hash", "n"]).select(
             "_key", "id", "item", (F.col("dp") - F.col("ip")).alias("shift"), "ip",
             pairs.alias("pairs"),
         )

@@ -51,6 +51,17 @@ def test_short_items_are_compared_as_wholes(spark, benchmark):
     assert held(spark, benchmark, "Short, one!", "a short one") == {(0, 2, True)}
 
 
+def test_short_items_within_longer_documents(spark):
+    rows = [(1, "Who wrote the Iliad?"), (2, "Osmium is densest"), (3, "two words"), (4, "lone")]
+    benchmark = spark.createDataFrame(rows, "item_id int, text string")
+    texts = [
+        "Some say the question who wrote the Iliad is as old as the text itself.",
+        "They know that osmium is densest", "here two words and lone stand among many others",
+        "lone", "Who wrote the other one, and who wrote the last one of all?",
+    ]
+    assert held(spark, benchmark, *texts) == {(0, 1, True), (1, 2, True), (3, 4, True)}
+
+
 def test_blocks_give_the_same(spark, benchmark, monkeypatch):
     texts = [f"Intro. {ITEM}", "short one", "nothing"]
     whole = held(spark, benchmark, *texts)
