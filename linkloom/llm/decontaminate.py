@@ -3,9 +3,10 @@
 A text becomes a template: numbers, names and units turn into typed placeholders, the other
 words lower case. Windows of ``window`` words of all documents are joined by hash with those of
 the benchmark. What a document shares with an item is the set of the item's words that matched
-windows cover. Where an item has placeholders, the values that stand there must map consistently:
-the same value of the item always to the same value of the document, and back. That keeps items
-asked with other parameters, and drops mere accidents of form.
+windows cover. A window whose placeholders stand for equal values on both sides counts by itself.
+Over all windows whose values differ these must map consistently: the same value of the item always
+to the same value of the document, and back. That keeps items asked with other parameters, and
+drops mere accidents of form.
 
 A document holds an item if that covers ``min_share`` of the item's words. An item shorter than a
 window is one window of its own length, sought in longer documents too if it has ``LEAST_WORDS``
@@ -178,21 +179,24 @@ def leaks(
     table = store.put("hits", hits(keyed, items, window))
 
     # Each shift between a document and an item is an alignment of its own.
-    shifts = table.groupBy("_key", "id", "item", "shift").agg(
-        F.collect_set("ip").alias("ips"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),
+    equal = F.forall("pairs", lambda v: v["of_item"] == v["of_doc"])
+    shifts = table.withColumn("equal", equal).groupBy("_key", "id", "item", "shift").agg(
+        F.collect_set(F.when(F.col("equal"), F.col("ip"))).alias("equal"),
+        F.collect_set(F.when(~F.col("equal"), F.col("ip"))).alias("other"),
+        F.array_distinct(F.flatten(F.collect_set(F.when(~F.col("equal"), F.col("pairs"))))).alias("pairs"),
     )
 
     def kinds(side: str) -> Column:
         return F.size(F.array_distinct(F.transform("pairs", lambda v: v[side])))
 
     consistent = (kinds("of_item") == F.size("pairs")) & (kinds("of_doc") == F.size("pairs"))
+    counted = shifts.withColumn("other", F.when(consistent, F.col("other")).otherwise(F.array()))
     places = F.array_distinct(F.flatten(F.transform(
-        "ips", lambda p: F.sequence(p, F.least(p + window, F.col("length")) - 1)
+        F.array_union("equal", "other"), lambda p: F.sequence(p, F.least(p + window, F.col("length")) - 1)
     )))
-    aligned = shifts.where(consistent).join(items.drop("t"), "item").select(
+    aligned = counted.where((F.size("equal") > 0) | (F.size("other") > 0)).join(items.drop("t"), "item").select(
         "_key", "id", "item", "item_id", "length", places.alias("places"),
-        F.forall("pairs", lambda v: v["of_item"] == v["of_doc"]).alias("same"),
+        (F.size("other") == 0).alias("same"),
     )
     judged = aligned.groupBy("_key", "id", "item", "item_id", "length").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("covered"),

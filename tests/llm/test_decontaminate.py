@@ -41,6 +41,14 @@ def test_other_parameters(spark, benchmark):
     assert held(spark, benchmark, "So: " + other.replace("gives 9", "gives 77.5").replace("after 9", "after 77.5")) == set()
 
 
+def test_one_edited_value_spoils_no_other_window(spark, benchmark):
+    """The first 5 or the second one edited, and both, each to another value."""
+    first, second = ITEM.replace("gives 5", "gives 6"), ITEM.replace("after 5", "after 6")
+    both = first.replace("after 5", "after 7")
+    found = {(d, i) for d, i, _ in held(spark, benchmark, *[f"So: {x}" for x in (first, second, both)])}
+    assert found == {(0, 1), (1, 1), (2, 1)}
+
+
 def test_half_of_an_item_is_enough_and_less_is_not(spark, benchmark):
     words = ITEM.split()
     assert held(spark, benchmark, "x " + " ".join(words[:18])) == {(0, 1, True)}
