@@ -12,7 +12,7 @@ A document holds an item if that covers ``min_share`` of the item's words. An it
 window is one window of its own length, sought in longer documents too if it has ``LEAST_WORDS``
 words; a shorter one is found only where it is the whole document. Nulls and empty texts hold nothing and are held
 by nothing. Rows equal in id and text are judged alike and returned once per item. Windows that are
-placeholders by more than half are not used, nor are items that have no others.
+placeholders by more than half are compared by their words as they stand, in lower case.
 
 The windows of the benchmark are broadcast in blocks of at most ``MAX_BLOCK`` rows, each a few
 numbers and slot words; each further block reads the documents again.
@@ -75,8 +75,8 @@ def _words(c: Column) -> Column:
 
 
 def surface(c: Column) -> Column:
-    """The words of a text as they stand, place by place those of :func:`template`."""
-    return _words(_spaced(c))
+    """The words of a text in lower case, place by place those of :func:`template`."""
+    return _words(F.lower(_spaced(c)))
 
 
 def template(c: Column) -> Column:
@@ -95,18 +95,31 @@ def _windows(text: Column, window: int, lengths: list[int] | None = None) -> Col
     """``p``, ``n``, ``hash`` and ``slots`` of every window of ``n`` words from place ``p``; fewer
     words than a window make one. ``lengths`` are those of further windows.
 
-    ``slots`` has the words that stand for the window's placeholders; null if a text has none.
+    ``slots`` has the words that stand for the window's placeholders. A window with placeholders for
+    more than half of its words has none: its hash is that of the words themselves.
     """
     def is_slot(word: Column) -> Column:
         return word.isin(NUMBER, NAME, UNIT)
 
-    def each(words: Column, values: Column) -> Column:
+    none = F.array().cast("array<string>")
+
+    def each(words: Column, as_is: Column) -> Column:
+        def at(p: Column, n: Column) -> Column:
+            part, plain = F.slice(words, p + 1, n), F.slice(as_is, p + 1, n)
+
+            def keyed(slots: Column) -> Column:
+                few = as_is.isNull() | (2 * F.size(slots) <= n)
+                return F.struct(
+                    p.alias("p"), n.alias("n"),
+                    F.when(few, F.xxhash64(part)).otherwise(F.xxhash64(plain)).alias("hash"),
+                    F.when(few, slots).otherwise(none).alias("slots"),
+                )
+
+            slots = F.array_compact(F.zip_with(part, plain, lambda w, v: F.when(is_slot(w), v)))
+            return _bind(F.coalesce(slots, none), keyed)
+
         def of_length(n: Column) -> Column:
-            return F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda p: F.struct(
-                p.alias("p"), n.alias("n"),
-                F.xxhash64(F.slice(words, p + 1, n)).alias("hash"),
-                F.array_compact(F.slice(values, p + 1, n)).alias("slots"),
-            ))
+            return F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda p: at(p, n))
 
         usual = F.least(F.size(words), F.lit(window))
         if not lengths:
@@ -115,10 +128,7 @@ def _windows(text: Column, window: int, lengths: list[int] | None = None) -> Col
         return F.flatten(F.transform(F.concat(F.array(usual), shorter), of_length))
 
     def whole(words: Column) -> Column:
-        values = F.when(F.exists(words, is_slot), F.zip_with(
-            words, surface(text), lambda word, value: F.when(is_slot(word), F.lower(value))
-        ))
-        return _bind(values, lambda v: each(words, v))
+        return _bind(F.when(F.exists(words, is_slot), surface(text)), lambda v: each(words, v))
 
     return _bind(template(text), whole)
 
@@ -133,10 +143,8 @@ def _items(benchmark: DataFrame) -> DataFrame:
 def hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     """Equal windows: ``_key``, ``id``, ``item``, ``shift`` between document and item, ``ip``
     where the window begins in the item, and ``pairs`` of slot values."""
-    slots = F.coalesce(F.size("w.slots"), F.lit(0))
     wanted = (
         items.select("item", F.explode(_windows(F.col("t"), window)).alias("w"))
-        .where(2 * slots <= F.col("w.n"))
         .select("w.hash", "w.n", "item", F.col("w.p").alias("ip"), F.col("w.slots").alias("of_item"))
     )
     short = items.where(F.col("length").between(LEAST_WORDS, window - 1)).select("length").distinct()
@@ -144,10 +152,8 @@ def hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
     found_in = _windows(F.col("t"), window, lengths)
     places = docs.select("_key", "id", F.explode(found_in).alias("w")) \
         .select("_key", "id", F.col("w.p").alias("dp"), "w.hash", "w.n", F.col("w.slots").alias("of_doc"))
-    none = F.array().cast("array<string>")
     pairs = F.zip_with(
-        F.coalesce("of_item", none), F.coalesce("of_doc", none),
-        lambda x, y: F.struct(x.alias("of_item"), y.alias("of_doc")),
+        "of_item", "of_doc", lambda x, y: F.struct(x.alias("of_item"), y.alias("of_doc"))
     )
     blocks = -(-wanted.count() // MAX_BLOCK) or 1
     found = None

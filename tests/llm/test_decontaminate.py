@@ -55,6 +55,16 @@ def test_half_of_an_item_is_enough_and_less_is_not(spark, benchmark):
     assert held(spark, benchmark, "x " + " ".join(words[:10])) == set()
 
 
+def test_items_of_numbers(spark):
+    """Mostly placeholders: found word for word, not by their form."""
+    rows = [(1, "What is 12 + 35 - 7 * 3?"), (2, "Go on: 2 3 5 7 11 13 17 19 23 29")]
+    benchmark = spark.createDataFrame(rows, "item_id int, text string")
+    texts = [f"They ask: {t} Then they go on to others." for _, t in rows]
+    texts += [rows[0][1], "They ask: What is 12 + 35 - 7 * 4?", "Go on: 2 3 5 7 11 13 17 19 24 30 or 1 2 4 8 16 32 64 128"]
+    got = held(spark, benchmark, *texts)
+    assert got == {(0, 1, True), (1, 2, True), (2, 1, True), (4, 2, True)}
+
+
 def test_short_items_are_compared_as_wholes(spark, benchmark):
     assert held(spark, benchmark, "Short, one!", "a short one") == {(0, 2, True)}
 
