@@ -14,6 +14,10 @@ words; a shorter one is found only where it is the whole document. Nulls and emp
 by nothing. Rows equal in id and text are judged alike and returned once per item. Windows that are
 placeholders by more than half are compared by their words as they stand, in lower case.
 
+Each window has up to three hashes: of its template, of the template in which capitalised words
+that begin a sentence are names too, and of its words in lower case, which finds copies in other
+case. ``COMMON`` words are never names at the beginning of a sentence.
+
 The windows of the benchmark are broadcast in blocks of at most ``MAX_BLOCK`` rows, each a few
 numbers and slot words; each further block reads the documents again.
 """
@@ -42,6 +46,16 @@ UNITS = (
     "c f k degree degrees usd eur gbp dollar dollars euro euros cent cents percent"
 ).split()
 
+# Words that often begin a sentence.
+COMMON = (
+    "a an the this that these those there here it its he she they we you i his her their our your my "
+    "what which who whom whose when where why how if in on at by for from to of with without and or "
+    "but as so then than after before during while since until because although though however "
+    "is are was were be do does did has have had can could will would should may might must let "
+    "each every all some any no not one two three both many much more most other another "
+    "find given suppose calculate compute determine choose consider"
+).split()
+
 # Private letters stand for the placeholders, so that they pass for words.
 NUMBER, NAME, UNIT = "\ue000", "\ue001", "\ue002"
 
@@ -74,63 +88,87 @@ def _words(c: Column) -> Column:
     return F.array_remove(F.split(c, _BREAKS), "")
 
 
-def surface(c: Column) -> Column:
-    """The words of a text in lower case, place by place those of :func:`template`."""
-    return _words(F.lower(_spaced(c)))
-
+_WORD = r"\p{Lu}[\p{Ll}\p{M}]+(?!\p{L})"
+_FIRST_WORD = rf"(?<!\p{{L}})(?!(?i:{'|'.join(COMMON)})(?!\p{{L}})){_WORD}"
 
-def template(c: Column) -> Column:
-    """The words of a text in lower case, with placeholders.
 
-    Names are capitalised words that go on within a sentence.
-    """
-    named = F.regexp_replace(_spaced(c), r"(?<=[\p{Ll},;] )\p{Lu}[\p{Ll}\p{M}]+(?!\p{L})", NAME)
+def _placed(c: Column) -> Column:
+    """The text with placeholders; names are capitalised words that go on within a sentence."""
+    named = F.regexp_replace(_spaced(c), rf"(?<=[\p{{Ll}},;] ){_WORD}", NAME)
     number = F.regexp_replace(named, r"[0-9][0-9·]*", NUMBER)
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
     unit = F.regexp_replace(number, rf"(?i)(?<={NUMBER} )(?:{units})(?!\p{{L}})", UNIT)
-    return _words(F.lower(_if_digits(c, unit, named)))
+    return _if_digits(c, unit, named)
+
+
+def template(c: Column) -> Column:
+    """The words of a text in lower case, with placeholders."""
+    return _words(F.lower(_placed(c)))
 
 
 def _windows(text: Column, window: int, lengths: list[int] | None = None) -> Column:
-    """``p``, ``n``, ``hash`` and ``slots`` of every window of ``n`` words from place ``p``; fewer
-    words than a window make one. ``lengths`` are those of further windows.
+    """``p``, ``n``, ``hash`` and ``slots`` of every window of ``n`` words from place ``p``, one
+    for each of its hashes; fewer words than a window make one. ``lengths`` are those of further
+    windows.
 
-    ``slots`` has the words that stand for the window's placeholders. A window with placeholders for
-    more than half of its words has none: its hash is that of the words themselves.
+    ``slots`` has the words that stand for the window's placeholders, none for a window hashed by
+    its words. A template with placeholders for more than half of a window has no hash.
     """
     def is_slot(word: Column) -> Column:
         return word.isin(NUMBER, NAME, UNIT)
 
-    none = F.array().cast("array<string>")
-
-    def each(words: Column, as_is: Column) -> Column:
-        def at(p: Column, n: Column) -> Column:
-            part, plain = F.slice(words, p + 1, n), F.slice(as_is, p + 1, n)
-
-            def keyed(slots: Column) -> Column:
-                few = as_is.isNull() | (2 * F.size(slots) <= n)
-                return F.struct(
-                    p.alias("p"), n.alias("n"),
-                    F.when(few, F.xxhash64(part)).otherwise(F.xxhash64(plain)).alias("hash"),
-                    F.when(few, slots).otherwise(none).alias("slots"),
-                )
+    def of_length(n: Column, plain: Column, forms: list[tuple[Column, Column]]) -> Column:
+        def key(words: Column, p: Column, slots: Column) -> Column:
+            return F.struct(
+                p.alias("p"), n.alias("n"), F.xxhash64(F.slice(words, p + 1, n)).alias("hash"),
+                slots.alias("slots"),
+            )
+
+        none = F.array().cast("array<string>")
+
+        def at(p: Column) -> Column:
+            def keys(found: Column) -> Column:
+                # Templates with no more placeholders than the one before equal that.
+                sizes = [F.lit(0), *[F.size(found[k]) for k in range(len(forms))]]
+                made = [
+                    F.when((sizes[k + 1] > sizes[k]) & (2 * sizes[k + 1] <= n), key(words, p, found[k]))
+                    for k, (words, _) in enumerate(forms)
+                ]
+                return F.array_compact(F.array(key(plain, p, none), *made))
+
+            return _bind(F.array(*[
+                F.array_compact(F.slice(values, p + 1, n)) for _, values in forms
+            ]), keys)
+
+        starts = F.sequence(F.lit(0), F.size(plain) - n)
+        if not forms:
+            return F.transform(starts, lambda p: key(plain, p, none))
+        return F.flatten(F.transform(starts, at))
+
+    def every(plain: Column, forms: list[tuple[Column, Column]]) -> Column:
+        usual = F.least(F.size(plain), F.lit(window))
+        if not lengths:
+            return of_length(usual, plain, forms)
+        shorter = F.filter(F.array(*map(F.lit, lengths)), lambda n: n < usual)
+        sizes = F.concat(F.array(usual), shorter)
+        return F.flatten(F.transform(sizes, lambda n: of_length(n, plain, forms)))
 
-            slots = F.array_compact(F.zip_with(part, plain, lambda w, v: F.when(is_slot(w), v)))
-            return _bind(F.coalesce(slots, none), keyed)
+    def values(words: Column, plain: Column) -> Column:
+        return F.zip_with(words, plain, lambda word, value: F.when(is_slot(word), value))
 
-        def of_length(n: Column) -> Column:
-            return F.transform(F.sequence(F.lit(0), F.size(words) - n), lambda p: at(p, n))
+    def whole(texts: Column) -> Column:
+        def slotted(v: Column) -> Column:
+            forms = [(v[1], v[3]), (v[2], v[4])]
+            return F.when(F.exists(v[2], is_slot), every(v[0], forms)).otherwise(every(v[0], []))
 
-        usual = F.least(F.size(words), F.lit(window))
-        if not lengths:
-            return of_length(usual)
-        shorter = F.filter(F.array(*map(F.lit, lengths)), lambda n: n < usual)
-        return F.flatten(F.transform(F.concat(F.array(usual), shorter), of_length))
+        def with_values(words: Column) -> Column:
+            added = [values(words[k], words[0]) for k in (1, 2)]
+            return _bind(F.array(words[0], words[1], words[2], *added), slotted)
 
-    def whole(words: Column) -> Column:
-        return _bind(F.when(F.exists(words, is_slot), surface(text)), lambda v: each(words, v))
+        forms = [texts[1], F.regexp_replace(texts[1], _FIRST_WORD, NAME)]
+        return _bind(F.array(*[_words(F.lower(x)) for x in (texts[0], *forms)]), with_values)
 
-    return _bind(template(text), whole)
+    return _bind(F.array(_spaced(text), _placed(text)), whole)
 
 
 def _items(benchmark: DataFrame) -> DataFrame:

@@ -65,6 +65,19 @@ def test_items_of_numbers(spark):
     assert got == {(0, 1, True), (1, 2, True), (2, 1, True), (4, 2, True)}
 
 
+def test_names_that_begin_sentences(spark):
+    item = "Tom has 5 apples. Tom buys 3 more. Tom eats 2. How many are left?"
+    benchmark = spark.createDataFrame([(1, item)], "item_id int, text string")
+    bob = item.replace("Tom", "Bob")
+    texts = [bob, f'They ask: "{bob}"', f"1) {bob}", "x " + bob.replace("Bob eats", "Ann eats"), "It has 5 apples."]
+    assert held(spark, benchmark, *texts) == {(0, 1, False), (1, 1, False), (2, 1, False)}
+
+
+def test_copies_in_other_case(spark, benchmark):
+    texts = [ITEM.upper(), ITEM.lower(), "Some words. " + ITEM.replace("Mary", "MARY")]
+    assert {(d, i) for d, i, _ in held(spark, benchmark, *texts)} == {(0, 1), (1, 1), (2, 1)}
+
+
 def test_short_items_are_compared_as_wholes(spark, benchmark):
     assert held(spark, benchmark, "Short, one!", "a short one") == {(0, 2, True)}
 
