@@ -105,6 +105,21 @@ def with_features(urls: DataFrame) -> DataFrame:
     return urls.mapInArrow(run, schema)
 
 
+def _labelled(
+    featured: DataFrame, inputs: list[str], w_good: float, w_bad: float, max_labelled: int
+) -> DataFrame:
+    """At most ``max_labelled`` different URLs that a rule judges; copies add to the weight."""
+    return (
+        featured.where("rule_allows IS NOT NULL")
+        .select(*inputs, (~F.col("rule_allows")).cast("double").alias("label"),
+                F.when(F.col("rule_allows"), w_good).otherwise(w_bad).alias("weight"),
+                F.xxhash64("url").alias("h"))
+        .groupBy(*inputs, "label", "weight", "h").agg(F.count("*").alias("n"))
+        .withColumn("weight", F.col("weight") * F.col("n")).drop("n")
+        .orderBy("h", "label", *inputs).limit(max_labelled)
+    )
+
+
 def judge(
     urls: DataFrame, rules: list[Rule], url: str = "url", max_labelled: int = MAX_LABELLED,
     trees: int = 20, depth: int = 4,
@@ -146,13 +161,7 @@ def judge(
     }).drop("suffix", "all", "n", "bad"))
     inputs = FEATURES + _SUFFIX
     vectors = VectorAssembler(inputCols=inputs, outputCol="vector")
-    labelled = (
-        featured.where("rule_allows IS NOT NULL")
-        .select(*inputs, (~F.col("rule_allows")).cast("double").alias("label"),
-                F.when(F.col("rule_allows"), w_good).otherwise(w_bad).alias("weight"),
-                F.xxhash64("url").alias("h"))
-        .orderBy("h", "label", *inputs).limit(max_labelled)
-    )
+    labelled = _labelled(featured, inputs, w_good, w_bad, max_labelled)
     # A bounded sample; few partitions spare many small tasks in each of the rounds.
     training = store.put("labelled", labelled.coalesce(1)).coalesce(2).persist()
     boosted = GBTClassifier(

@@ -54,6 +54,13 @@ def test_without_labelled_urls_of_both_kinds(spark):
     assert urls.judge(table.limit(0), queries.URL_RULES).count() == 0
 
 
+def test_copies_of_a_url_take_one_place_of_the_sample(spark):
+    rows = [("http://a.com/x", 1.0, True)] * 50 + [(f"http://b.com/{i}", 2.0, False) for i in range(5)]
+    frame = spark.createDataFrame(rows, "url string, f double, rule_allows boolean")
+    made = urls._labelled(frame, ["f"], 0.5, 3.0, 6).collect()
+    assert sorted((r.f, r.label, r.weight) for r in made) == [(1.0, 0.0, 25.0)] + [(2.0, 1.0, 3.0)] * 5
+
+
 def test_trees_learn_what_urls_look_like(spark):
     """Rules name some hosts; held-out hosts of the same looks are judged by the trees."""
     good = [f"http://site{i % 7}.org/a/page-{'abcdefgh'[i % 8]}" for i in range(300)]
