@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.llm import (
-    bpe, decontaminate, line_dedup, quality_rules, simhash, suffix_dedup, token_counts,
-    training_order, urls, warc,
+    bpe, decontaminate, line_dedup, prefix_trie, quality_rules, simhash, suffix_dedup,
+    token_counts, training_order, urls, warc,
 )
 from linkloom.llm.store import Store
 
@@ -105,6 +105,15 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.histogram(made)
 
 
+def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The trie of conversations that begin with turns of the first of their five."""
+    store = Store(spark)
+    gathered = prefix_trie.gather(_table(spark, sf_dir, "conversations"), store)
+    lent = F.crc32(F.col("conv_id").cast("string").cast("binary")) % 9
+    convs = prefix_trie.with_shared_heads(gathered, lent, F.col("conv_id") - F.col("conv_id") % 5, 8)
+    return prefix_trie.nodes(convs, store).drop("digest")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_training_order": op1_training_order,
     "op2_line_dedup": op2_line_dedup,
@@ -116,6 +125,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_bpe": op8_bpe,
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
+    "op11_prefix_trie": op11_prefix_trie,
 }
 
 # Runs of two lines decide: a line goes if a run that holds it began at an earlier place.
@@ -158,4 +168,60 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM page LEFT JOIN first USING (payload_digest)
 """
 
-ORACLE_SQL: dict[str, str] = {"op2_line_dedup": _OP2, "op4_warc": _OP4}
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text's bytes in SQL: one step for each bit."""
+    byte = f"('0x' || substr(hex(encode({text})), 2 * (i // 8) + 1, 2))::INT"
+    step = "xor(crc >> 1, CASE WHEN xor(crc, bit) & 1 = 1 THEN 3988292384 ELSE 0 END)"
+    bits = f"[(({byte} >> (i % 8)::INT) & 1)::BIGINT FOR i IN range(8 * strlen({text}))]"
+    return (f"xor(list_reduce(list_prepend(4294967295, {bits}), lambda crc, bit: {step}), "
+            "4294967295)")
+
+
+_OP11 = f"""
+WITH turn AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+         row_number() OVER (
+           PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')
+         ) AS n
+  FROM conversations WHERE conv_id IS NOT NULL
+), named AS (
+  SELECT DISTINCT c, c::VARCHAR AS name FROM turn
+), conv AS (
+  SELECT c, c - c % 5 AS g, {_crc32("name")} % 9 AS h FROM named
+), rebuilt AS (
+  SELECT conv.c, n, role, text FROM conv JOIN turn ON turn.c = g AND n <= h
+  UNION ALL
+  SELECT conv.c, n + h, role, text FROM conv JOIN turn ON turn.c = conv.c AND n > h
+), placed AS (
+  SELECT c, row_number() OVER w AS d, strlen(text) AS bytes,
+         md5(string_agg(strlen(role) || ':' || md5(role || text), ',') OVER w) AS k
+  FROM rebuilt WINDOW w AS (PARTITION BY c ORDER BY n)
+), member AS (
+  SELECT c, 0 AS d, 0 AS bytes, 'root' AS k FROM conv UNION ALL SELECT c, d, bytes, k FROM placed
+), step AS (
+  SELECT *, lag(k) OVER w AS over, lead(k) OVER w IS NULL AS ends
+  FROM member WINDOW w AS (PARTITION BY c ORDER BY d)
+), node AS (
+  SELECT k, over, d, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * bytes AS saved,
+         sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (WHERE ends), '')) AS ends
+  FROM step GROUP BY k, over, d, bytes
+), children AS (
+  SELECT over AS k, count(*) AS n FROM node GROUP BY 1
+), subtree AS (
+  SELECT DISTINCT top.k AS top, low.k FROM member AS top JOIN member AS low USING (c)
+  WHERE low.d >= top.d
+), summed AS (
+  SELECT top AS k, sum(saved) AS saved, count(*) FILTER (WHERE children.n IS NULL) AS leaves
+  FROM subtree JOIN node USING (k) LEFT JOIN children USING (k) GROUP BY 1
+)
+SELECT node.conv_id, node.d AS depth, parent.conv_id AS parent_conv_id, node.n_convs,
+       coalesce(children.n, 0) AS n_children, leaves AS n_leaves,
+       summed.saved::BIGINT AS saved_tokens, node.ends AS ends_sha256
+FROM node JOIN summed USING (k) LEFT JOIN children USING (k)
+LEFT JOIN node AS parent ON parent.k = node.over
+"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op2_line_dedup": _OP2, "op4_warc": _OP4, "op11_prefix_trie": _OP11,
+}
