@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.llm import (
-    bpe, decontaminate, line_dedup, prefix_trie, quality_rules, simhash, suffix_dedup,
-    token_counts, training_order, urls, warc,
+    bpe, decontaminate, line_dedup, prefix_trie, quality_rules, resampling, simhash,
+    suffix_dedup, token_counts, toxicity, training_order, urls, warc,
 )
 from linkloom.llm.store import Store
 
@@ -114,6 +114,23 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.nodes(convs, store).drop("digest")
 
 
+def op12_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(
+        _table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"),
+        percent=10, least_words=20, features=resampling.Features(n=1, buckets=10_000), seed=2024,
+    )
+
+
+def op13_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    fold = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4, F.lit(0))
+    model = toxicity.fit(docs, _table(spark, sf_dir, "labels"), Store(spark), usable=fold != 2)
+    return toxicity.judge(docs, model, ["doc_id"]).select(
+        "doc_id", (fold == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), "passages",
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_training_order": op1_training_order,
     "op2_line_dedup": op2_line_dedup,
@@ -126,6 +143,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op10_token_counts": op10_token_counts,
     "op11_prefix_trie": op11_prefix_trie,
+    "op12_resample": op12_resample,
+    "op13_toxicity": op13_toxicity,
 }
 
 # Runs of two lines decide: a line goes if a run that holds it began at an earlier place.
@@ -222,6 +241,49 @@ FROM node JOIN summed USING (k) LEFT JOIN children USING (k)
 LEFT JOIN node AS parent ON parent.k = node.over
 """
 
+_OP12 = f"""
+WITH source AS (
+  SELECT 's' AS part, row_number() OVER () AS n, doc_id, text FROM documents
+  UNION ALL SELECT 't', row_number() OVER (), NULL, text FROM benchmark
+), split AS (
+  SELECT part, n, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+  FROM source
+), kind AS (
+  SELECT word, {_crc32("word")} % 10000 AS bucket FROM (SELECT DISTINCT word FROM split)
+), met AS (
+  SELECT part, n, bucket, count(*) AS c FROM split JOIN kind USING (word) GROUP BY 1, 2, 3
+), bucket AS (
+  SELECT bucket, sum(c) FILTER (WHERE part = 's') AS s, sum(c) FILTER (WHERE part = 't') AS t
+  FROM met GROUP BY 1
+), total AS (
+  SELECT coalesce(sum(s), 0)::DOUBLE AS s, coalesce(sum(t), 0)::DOUBLE AS t FROM bucket
+), gain AS (
+  SELECT bucket, floor(1000 * ln(
+    ((coalesce(bucket.t, 0) + 1)::DOUBLE * (total.s + 10000))
+    / ((coalesce(bucket.s, 0) + 1)::DOUBLE * (total.t + 10000)))) AS gain
+  FROM bucket, total
+), weighed AS (
+  SELECT n, sum(c)::BIGINT AS n_features, floor(sum(c * gain) / sum(c))::BIGINT AS weight
+  FROM met JOIN gain USING (bucket) WHERE part = 's' GROUP BY n
+), scored AS (
+  SELECT doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln(
+           (('0x' || substr(sha256('2024:' || coalesce(doc_id::VARCHAR, '')), 1, 8))::BIGINT + 0.5)
+           / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM source LEFT JOIN weighed USING (n) WHERE part = 's'
+), ranked AS (
+  SELECT *, row_number() OVER (
+    PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id NULLS LAST, n_features
+  ) AS place, floor(10 * count(*) FILTER (WHERE n_features >= 20) OVER () / 100) AS drawn
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score,
+       CASE WHEN n_features >= 20 AND place <= drawn THEN place END AS rank
+FROM ranked
+"""
+
 ORACLE_SQL: dict[str, str] = {
-    "op2_line_dedup": _OP2, "op4_warc": _OP4, "op11_prefix_trie": _OP11,
+    "op2_line_dedup": _OP2, "op4_warc": _OP4, "op11_prefix_trie": _OP11, "op12_resample": _OP12,
 }
