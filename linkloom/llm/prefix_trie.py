@@ -80,7 +80,9 @@ def gather(conversations: DataFrame, store: Store) -> DataFrame:
     numbers = F.transform("turns", lambda t: t["place"])
     tied = F.size(F.array_distinct(numbers)) < F.size("turns")
     order = Window.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
-    unsure = rows.join(listed.where(tied).select("conv_id"), "conv_id", "left_semi")
+    # Written, so that the size is known to the join: few or no ties move few or no texts.
+    ids = store.put("tied", listed.where(tied).select("conv_id"))
+    unsure = rows.join(ids, "conv_id", "left_semi")
     ranked = unsure.withColumn("_place", F.row_number().over(order))
     return listed.where(~tied).unionByName(_listed(ranked, "_place"))
 
