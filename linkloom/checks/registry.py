@@ -138,13 +138,12 @@ def _collapsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _raw_files(name: str, **options) -> Query:
-    """Write a raw table, whose texts hold quotes, tabs and line breaks, as several part files,
-    and read them back."""
+    """Write a raw table, whose texts hold quotes, tabs and line breaks, and read it back."""
 
     def query(spark: SparkSession, sf_dir: str) -> DataFrame:
         folder = scratch_path(spark)
         frame = star.raw_tables(spark, sf_dir)[name].drop(ORDINAL)
-        write_csv(frame.repartition(3), f"{folder}/{name}.tsv", sep="\t", **options)
+        write_csv(frame, f"{folder}/{name}.tsv", sep="\t", **options)
         return read_raw(spark, folder, name).drop(ORDINAL)
 
     return query

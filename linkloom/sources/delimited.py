@@ -2,68 +2,59 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
-from pyspark.sql.types import StringType, StructField, StructType
 
 from linkloom.functions.text import missing_to_null
 from linkloom.schemas import MODEL, RAW_FILES
+from linkloom.sources.records import read_records
 from linkloom.tables import Tables
 
 ORDINAL = "_ordinal"
-_TORN = "_torn"
 
 
 def read_delimited(
-    spark: SparkSession,
-    path: str,
-    wanted: Iterable[str],
-    sep: str = "\t",
-    multi_line: bool = True,
+    spark: SparkSession, path: str, wanted: Iterable[str], sep: str = "\t"
 ) -> DataFrame:
-    """All files under ``path`` as text columns, plus ``_ordinal``, their position.
+    """All files under ``path`` as text columns, plus ``_ordinal``, their place.
 
     Only those of ``wanted`` that the header has are read. Texts that stand for a missing
     value become null, but for ``country``, where ``NA`` is a country. Part files must share
     one header; a differing one raises. ``_ordinal`` sorts rows by file, then by place.
 
-    A quoted field may hold line breaks, so a file is read by one task. Without
-    ``multi_line`` files are split and every line is a record; a line that then has not as
-    many fields as the header raises when it is read, so a record torn apart by a line break
-    within quotes is never taken for two.
+    Quoted fields may hold line breaks; large files are read by many tasks all the same (see
+    :mod:`linkloom.sources.records`, which reads the files once beforehand). Rows are those of
+    Spark's own reader with ``multiLine``, which reads a file by one task.
     """
-    reader = (
-        spark.read.option("sep", sep).option("header", True).option("enforceSchema", False)
-        .option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+    options = {"sep": sep, "quote": '"', "escape": '"'}
+    names = spark.read.options(**options, header=True, multiLine=True).csv(path).columns
+    fields = ", ".join(f"_{i} string" for i in range(len(names)))
+    records = read_records(spark, path, sep).where("record <> ''")
+    heading = F.from_csv(F.regexp_replace("record", "^\ufeff", ""), fields, options)
+    said = F.transform(F.array(*[heading[f"_{i}"] for i in range(len(names))]),
+                       lambda x: F.lower(F.coalesce(x, F.lit(""))))
+    # Repeated and empty names are numbered in `names`.
+    bare = [re.sub(f"^_c{i}$|(?<=.){i}$", "", n.lower()) for i, n in enumerate(names)]
+    same = F.forall(
+        F.arrays_zip(said.alias("a"), F.array(*map(F.lit, bare)).alias("b"),
+                     F.array(*[F.lit(n.lower()) for n in names]).alias("c")),
+        lambda x: (x["a"] == x["b"]) | (x["a"] == x["c"]),
     )
-    frame = reader.csv(path)
-    if not multi_line:
-        schema = StructType([*frame.schema.fields, StructField(_TORN, StringType())])
-        frame = reader.option("columnNameOfCorruptRecord", _TORN).option("columnPruning", False) \
-            .schema(schema).csv(path)
-        torn = F.concat(F.lit("not a record of one line: "), F.col(_TORN))
-        # The second test names a column, as Spark refuses scans of the torn lines alone.
-        whole = F.when(F.col(_TORN).isNull(), True).when(
-            F.col(f"`{frame.columns[0]}`").isNull(), F.raise_error(torn).cast("boolean")
-        ).otherwise(F.raise_error(torn).cast("boolean"))
-        frame = frame.where(whole)
-    place = F.struct(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row"),
-    )
-    columns = [c for c in wanted if c in frame.columns]
-    return missing_to_null(frame.select(*columns, place.alias(ORDINAL)))
+    other = F.raise_error(F.concat(F.lit("a part file has another header: "), F.col("record")))
+    rows = records.where(
+        F.when(~F.col("head"), True).when(same, False).otherwise(other.cast("boolean"))
+    ).select(F.from_csv("record", fields, options).alias("_fields"), F.col("place").alias(ORDINAL))
+    columns = [F.col(f"_fields._{names.index(c)}").alias(c) for c in wanted if c in names]
+    return missing_to_null(rows.select(*columns, ORDINAL))
 
 
-def read_raw(
-    spark: SparkSession, raw_dir: str, name: str, multi_line: bool = True
-) -> DataFrame:
+def read_raw(spark: SparkSession, raw_dir: str, name: str) -> DataFrame:
     """One raw file of :data:`RAW_FILES`: ``name.tsv``, ``.tsv.gz``, ``.tsv.bz2`` or a
     folder of that name with part files."""
     path = f"{raw_dir}/{name}.tsv{{,.gz,.bz2}}"
-    return read_delimited(spark, path, RAW_FILES[name], multi_line=multi_line)
+    return read_delimited(spark, path, RAW_FILES[name])
 
 
 def read_clean_csv(spark: SparkSession, clean_dir: str) -> Tables:
