@@ -4,13 +4,21 @@ Sequential covering grows one conjunction of thresholds after the other on label
 statistics, prunes each on rows held out, and stops when no precise rule is left. The list
 becomes one ordered Spark ``CASE`` expression.
 
-Nulls and empty texts have no words, so all counts are 0. A null ``doc_id`` is kept as such.
-Repeated rows are judged one by one. Without labels of both kinds the list is empty, and only
-the base rule rejects.
+A rule must keep its precision on rows it was not grown on, by more hits than chance gives to the
+share of bad rows there, corrected for the rules tried. A list has at most ``max_rules`` rules of at
+most ``MAX_TESTS`` tests, each cut at one of ``cuts`` quantiles: bounds of the model, not of the data.
+
+* Nulls and empty texts have no words and one line; all other counts are 0.
+* Long texts are counted whole; memory holds some 20 bytes for each byte of the longest.
+* A null ``doc_id`` is kept as such. Repeated rows, and equal texts, are judged one by one alike.
+* Of rules that cover as much, the one of the first feature in alphabetical order is grown.
+* Without labels of both kinds the list is empty, and only the base rule rejects. Empty tables give
+  no rows. Only key and text are read, so other columns may have any names.
 """
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
 import numpy as np
@@ -27,11 +35,11 @@ STATISTICS = (
 # At most so many labelled documents are read to learn the list.
 MAX_LABELLED = 20_000
 WINDOW = 8
+MAX_TESTS = 6
+# The chance that a rule without merit is accepted.
+LUCK = 0.005
 
-_SEED = np.random.default_rng(20240517)
-_BYTE_CODE = _SEED.integers(1, 2**63, 256, dtype=np.uint64)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
-_STEP_BACK = np.uint64(pow(0x9E3779B97F4A7C15, -1, 2**64))
 _MIX = np.uint64(0xD6E8FEB86659FD93)
 
 
@@ -48,26 +56,54 @@ _DIGIT = _flags(b"0123456789")
 _MARK = _flags(b"!?")
 
 
-def _powers(step: np.uint64, n: int) -> np.ndarray:
-    out = np.full(n, step, np.uint64)
-    out[:1] = 1
-    return np.multiply.accumulate(out)
-
-
 def _dup_lines(text: bytes) -> int:
     lines = [x for x in text.split(b"\n") if x.strip()]
     return len(lines) - len(set(lines))
 
 
-def text_statistics(texts: list[bytes]) -> dict[str, np.ndarray | list]:
-    """The columns of :data:`STATISTICS` for some UTF-8 texts.
+def _numbers(data: bytes) -> np.ndarray:
+    """The words of some texts as numbers: equal words, and only those, have the same."""
+    known: dict[bytes, int] = {}
+    return np.array([known.setdefault(w, len(known)) for w in data.split()], np.int64)
 
-    Words are compared by 64-bit fingerprints: sums of random byte codes times powers of an
-    odd number, from which any word's is cut out as a difference.
-    """
+
+def _ranked(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Numbers for pairs: equal pairs, and only those, have the same."""
+    return np.unique(a * (int(b.max(initial=0)) + 1) + b, return_inverse=True)[1]
+
+
+def _repeated(word: np.ndarray, owner: np.ndarray) -> np.ndarray:
+    """Where windows of eight words begin that stand twice or more in their text."""
+    whole = len(word) - WINDOW + 1
+    if whole <= 0:
+        return np.zeros(0, np.int64)
+    inside = np.flatnonzero(owner[:whole] == owner[WINDOW - 1 :])
+    mixed = (word.astype(np.uint64) + np.uint64(1)) * _MIX
+    mixed ^= mixed >> np.uint64(29)
+    key = owner[:whole].astype(np.uint64)
+    for k in range(WINDOW):
+        key = key * _STEP + mixed[k : k + whole]
+    key = (key ^ (key >> np.uint64(31)))[inside]
+    order = np.argsort(key, kind="stable")
+    same = np.diff(key[order]) == 0
+    left, right = inside[order[:-1][same]], inside[order[1:][same]]
+    if not (all((word[left + k] == word[right + k]).all() for k in range(WINDOW))
+            and (owner[left] == owner[right]).all()):
+        # Different windows of one key: number pairs, fours and eights of words instead.
+        for step in (1, 2, 4):
+            word = _ranked(word[:-step], word[step:])
+        exact = _ranked(owner[:whole], word)[inside]
+        _, back, times = np.unique(exact, return_inverse=True, return_counts=True)
+        return inside[times[back] > 1]
+    return np.unique(np.concatenate((left, right)))
+
+
+def text_statistics(texts: list[bytes]) -> dict[str, np.ndarray | list]:
+    """The columns of :data:`STATISTICS` for some UTF-8 texts."""
     ends = np.cumsum([len(t) + 1 for t in texts])
     starts = np.concatenate(([0], ends[:-1]))
-    data = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
+    joined = b"\n".join(texts) + b"\n"
+    data = np.frombuffer(joined, np.uint8)
     space = _SPACE[data]
 
     def per_text(flags: np.ndarray) -> np.ndarray:
@@ -78,32 +114,15 @@ def text_statistics(texts: list[bytes]) -> dict[str, np.ndarray | list]:
     end = np.flatnonzero((edge == 1)[1:]) + 1 if len(data) > 1 else begin[:0]
     owner = np.searchsorted(ends, begin, "right")
     count = np.bincount(owner, minlength=len(texts))
+    word = _numbers(joined)
 
-    codes = _BYTE_CODE[data] * _powers(_STEP, len(data))
-    total = np.concatenate((np.zeros(1, np.uint64), np.cumsum(codes, dtype=np.uint64)))
-    word = (total[end] - total[begin]) * _powers(_STEP_BACK, len(data))[begin]
-    word = (word ^ (word >> np.uint64(29))) * _MIX
-    mark = owner.astype(np.uint64) * _STEP
+    change = np.zeros(len(word) + 1, np.int64)
+    twice = _repeated(word, owner)
+    np.add.at(change, twice, 1)
+    np.add.at(change, twice + WINDOW, -1)
+    covered = np.cumsum(change)[:-1] > 0
 
-    repeated = np.zeros(len(word) + 1, np.int64)
-    whole = len(word) - WINDOW + 1
-    if whole > 0:
-        window = np.zeros(whole, np.uint64)
-        for k in range(WINDOW):
-            window = window * _STEP + word[k : k + whole]
-        inside = np.flatnonzero(owner[:whole] == owner[WINDOW - 1 :])
-        key = ((window ^ (window >> np.uint64(31))) + mark[:whole])[inside]
-        order = np.argsort(key)
-        same = np.diff(key[order]) == 0
-        twice = np.zeros(len(key), bool)
-        twice[order[1:][same]] = True
-        twice[order[:-1][same]] = True
-        np.add.at(repeated, inside[twice], 1)
-        np.add.at(repeated, inside[twice] + WINDOW, -1)
-    covered = np.cumsum(repeated)[:-1] > 0
-
-    kinds = np.unique(np.stack((owner.astype(np.uint64), word)), axis=1)[0].astype(np.int64) \
-        if len(word) else owner
+    kinds = np.unique(owner * (int(word.max(initial=0)) + 1) + word) // (int(word.max(initial=0)) + 1)
     longest = np.zeros(len(texts), np.int64)
     np.maximum.at(longest, owner, end - begin)
     return {
@@ -177,7 +196,7 @@ def _grow(x: dict[str, np.ndarray], bad: np.ndarray, cuts: int) -> Rule:
     """Add the test of the highest information gain until no good row is covered."""
     rule: Rule = ()
     inside = np.ones(len(bad), bool)
-    while bad[inside].any() and not bad[inside].all() and len(rule) < 6:
+    while bad[inside].any() and not bad[inside].all() and len(rule) < MAX_TESTS:
         p0, n0 = bad[inside].sum(), (~bad[inside]).sum()
         best, gain = None, 1e-9
         for name in sorted(x):
@@ -214,6 +233,18 @@ def _prune(rule: Rule, x: dict[str, np.ndarray], bad: np.ndarray) -> Rule:
     return max((rule[:k] for k in range(1, len(rule) + 1)), key=score)
 
 
+def _by_luck(hits: int, bad: int, share: float) -> float:
+    """The chance of at least ``bad`` bad rows among ``hits`` if their share is ``share``."""
+    if share <= 0 or share >= 1:
+        return float(share >= 1 or not bad)
+    ways = [
+        math.lgamma(hits + 1) - math.lgamma(k + 1) - math.lgamma(hits - k + 1)
+        + k * math.log(share) + (hits - k) * math.log1p(-share)
+        for k in range(bad, hits + 1)
+    ]
+    return min(1.0, sum(map(math.exp, ways)))
+
+
 def learn(
     x: dict[str, np.ndarray],
     bad: np.ndarray,
@@ -233,9 +264,12 @@ def learn(
         rule = _grow({k: v[grow] for k, v in x.items()}, bad[grow], cuts)
         if not rule:
             break
+        tried = len(rule)
         rule = _prune(rule, held, y)
         precision, n = _worth(rule, held, y)
-        if n < 2 or precision < min_precision:
+        if not n or precision < min_precision:
+            break
+        if _by_luck(n, round(precision * n), float(y.mean())) * tried > LUCK:
             break
         rules.append(rule)
         left &= ~_holds(rule, x, len(bad))
@@ -260,9 +294,11 @@ def learn_from(
     # The broadcast has at most max_labelled rows of two numbers.
     known = docs.select("doc_id", F.col(text).alias("text")).join(F.broadcast(chosen), "doc_id")
     made = with_statistics(known, ["doc_id", "quality"]).where(~base_failed())
-    rows = made.select("doc_id", "quality", *[c.alias(n) for n, c in features().items()]).toPandas()
     names = list(features())
-    rows = rows.sort_values(["doc_id", *names]).drop_duplicates("doc_id")
+    one = F.min(F.struct(*[c.alias(n) for n, c in features().items()])).alias("x")
+    # A row of numbers for each labelled document, however often its id is repeated.
+    rows = made.groupBy("doc_id", "quality").agg(one).select("doc_id", "quality", "x.*").toPandas()
+    rows = rows.sort_values("doc_id")
     ids = rows["doc_id"].to_numpy(np.int64).astype(np.uint64)
     hold_out = ((ids * _STEP) >> np.uint64(40)) % np.uint64(3) == 0
     x = {n: rows[n].to_numpy(float) for n in names}

@@ -1,31 +1,12 @@
-"""Intermediate tables in the shared folder, and the code that Python workers need."""
+"""Intermediate tables in the shared folder."""
 
 from __future__ import annotations
 
-import tempfile
-import zipfile
-from pathlib import Path
-
 from pyspark.sql import DataFrame, SparkSession
 
-import linkloom
-from linkloom.session import scratch_path
-
-# The packed code of each application; Spark reads it for as long as the application runs.
-_SHIPPED: dict[str, tempfile.TemporaryDirectory] = {}
-
+from linkloom.session import scratch_path, ship
 
-def ship(spark: SparkSession) -> None:
-    """Give the package to the executors through Spark's file server, once per application."""
-    context = spark.sparkContext
-    if context.applicationId in _SHIPPED:
-        return
-    top, folder = Path(linkloom.__file__).parent, tempfile.TemporaryDirectory()
-    with zipfile.ZipFile(f"{folder.name}/linkloom.zip", "w") as archive:
-        for source in sorted(top.rglob("*.py")):
-            archive.write(source, source.relative_to(top.parent))
-    context.addPyFile(archive.filename)
-    _SHIPPED[context.applicationId] = folder
+__all__ = ["Store", "ship"]
 
 
 class Store:

@@ -53,6 +53,39 @@ def test_learns_separable_rules_and_nothing_from_noise():
     assert q.learn(x, np.zeros(4000, bool), hold_out) == []
 
 
+@pytest.mark.parametrize("share", [0.1, 0.5])
+def test_noise_teaches_nothing(share):
+    for seed in range(20):
+        r = np.random.default_rng(seed)
+        x = {"a": r.random(3000), "b": r.random(3000), "c": np.round(r.random(3000), 1)}
+        assert q.learn(x, r.random(3000) < share, r.random(3000) < 0.3) == [], seed
+
+
+def test_words_that_sums_of_powers_confuse_are_told_apart():
+    """Two words of 1,024 letters, each the other's mirror in a and b."""
+    mirror = "".join("ab"[bin(i).count("1") % 2] for i in range(1024))
+    other = mirror.translate(str.maketrans("ab", "ba"))
+    text = f"{mirror} 1 2 3 4 5 6 7 {other} 1 2 3 4 5 6 7"
+    assert q.text_statistics([text.encode()])["n_repeat_words"][0] == expected(text)["n_repeat_words"] == 0
+
+
+def test_windows_of_one_key_are_told_apart(monkeypatch):
+    texts = ["a b c d e f g h i a b c d e f g h", "x " * 9, "1 2 3 4 5 6 7 8 9 10", "", "b a " * 20]
+    monkeypatch.setattr(q, "_MIX", np.uint64(0))
+    got = q.text_statistics([t.encode() for t in texts])
+    assert got["n_repeat_words"].tolist() == [expected(t)["n_repeat_words"] for t in texts]
+
+
+def test_a_repeated_id_is_one_row_of_the_sample(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, f"{'word ' * i} end") for i in range(30, 90)] + [(2, "w " * 40)],
+                                 "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 0), (2, 1)], "doc_id long, quality int")
+    seen = []
+    monkeypatch.setattr(q, "learn", lambda x, bad, hold_out: seen.append(len(bad)) or [])
+    q.learn_from(docs, labels)
+    assert seen[0] <= 2
+
+
 def test_hard_documents(hard_docs, no_docs, spark):
     labels = spark.createDataFrame([(1, 0), (1, 1), (None, 0), (2, None)], "doc_id long, quality int")
     docs = hard_docs.select("doc_id", "text", "n_chars")
