@@ -100,6 +100,13 @@ def _share_other(pool: str) -> str:
     )
 
 
+def _cells_of(links: str, key: str, where: str = "true") -> str:
+    return _m(f"""
+        SELECT {key}, "year", count(DISTINCT patent_id) AS patents
+        FROM {links} LEFT JOIN patents USING (patent_id) WHERE {where} GROUP BY ALL
+    """)
+
+
 _TOP5 = """, top5 AS (
     SELECT country FROM ilinks WHERE country <> 'UNKNOWN'
     GROUP BY country ORDER BY count(*) DESC, country LIMIT 5
@@ -378,6 +385,9 @@ ORACLE_SQL: dict[str, str] = {
     """),
     "d_country_trend": _trend_wide(_RANGE),
     "d_country_trend_long": _trend_long(_RANGE),
+    "d_cube_inventors": _cells_of("patent_inventors", "inventor_id"),
+    "d_cube_companies": _cells_of("patent_companies", "company_id"),
+    "d_cube_countries": _cells_of("ilinks", "country", "country <> 'UNKNOWN'"),
     "c_patents": _c("SELECT * FROM patents"),
     "c_inventors": _c("SELECT * FROM inventors"),
     "c_companies": _c("SELECT * FROM companies"),
@@ -407,4 +417,14 @@ ORACLE_SQL: dict[str, str] = {
     "job_drop_report": _DROPS,
 }
 
-ORACLE_SQL["s_export_file"] = ORACLE_SQL["d_countries"]
+ORACLE_SQL |= {
+    "d_cached_countries": ORACLE_SQL["d_countries"],
+    "s_export_file": ORACLE_SQL["d_countries"],
+    "s_export_inventors": ORACLE_SQL["d_top_inventors"],
+    "s_export_companies": ORACLE_SQL["d_top_companies"],
+    "s_snapshot": _m("""
+        SELECT CAST(patent_id AS VARCHAR) AS patent_id, title, CAST(NULL AS VARCHAR) AS abstract,
+               filing_date, "year"
+        FROM patents
+    """),
+}

@@ -3,22 +3,26 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from dataclasses import replace
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.functions import text
-from linkloom.operators import cleaning, quality
+from linkloom.operators import cleaning, cube, quality
 from linkloom.plans import queries as q
 from linkloom.plans import reports as r
 from linkloom.plans import trends as v
+from linkloom.plans.cache import Pages, ResultCache
 from linkloom.plans.job import run_job
 from linkloom.schemas import PRIMARY_KEYS, RAW_FILES
 from linkloom.session import scratch_path
-from linkloom.sources import star
+from linkloom.sources import files, star
 from linkloom.sources.delimited import (
     ORDINAL, read_clean_csv, read_raw, write_clean_csv, write_csv,
 )
+from linkloom.sources.parquet import read_tables, write_table, write_tables
+from linkloom.sources.snapshots import Snapshots
 from linkloom.tables import Tables, run_sql
 
 # The star schema holds years 1995 to 2001; the range cuts at both ends.
@@ -31,8 +35,59 @@ def _on_model(fn: Callable[..., DataFrame], **params) -> Query:
     return lambda spark, sf_dir: fn(star.model_tables(spark, sf_dir), **params)
 
 
+# A scratch folder for each application.
+_SCRATCH: dict[str, str] = {}
+
+
+def _kept(spark: SparkSession, sf_dir: str) -> tuple[Tables, str]:
+    """The model tables at the version of their files, and the folder of what is kept for it."""
+    root = _SCRATCH.setdefault(spark.sparkContext.applicationId, scratch_path(spark))
+    version = files.version_of(spark, [f"{sf_dir}/{name}.parquet" for name in star.MODEL_SOURCES])
+    return replace(star.model_tables(spark, sf_dir), version=version), f"{root}/{version}"
+
+
+def page_tables(spark: SparkSession, sf_dir: str) -> Tables:
+    """The model tables with a cube that is stored once for each version of their files, as the
+    batch job stores it with the tables."""
+    t, folder = _kept(spark, sf_dir)
+    return cube.stored(t, f"{folder}/cube")
+
+
+def _on_pages(fn: Callable[..., DataFrame], **params) -> Query:
+    return lambda spark, sf_dir: fn(page_tables(spark, sf_dir), **params)
+
+
 def _in_range(fn: Callable[..., DataFrame], **params) -> Query:
-    return _on_model(fn, year_from=YEAR_FROM, year_to=YEAR_TO, **params)
+    return _on_pages(fn, year_from=YEAR_FROM, year_to=YEAR_TO, **params)
+
+
+def _cube(name: str) -> Query:
+    return lambda spark, sf_dir: cube.build(star.model_tables(spark, sf_dir))[name]
+
+
+def _cached_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page that is asked for twice; the second answer is read from the first."""
+    t, folder = _kept(spark, sf_dir)
+    pages = Pages(cube.stored(t, f"{folder}/cube"), ResultCache(spark, f"{folder}/results", t.version))
+    for _ in range(2):
+        page = pages.show("countries", year_from=YEAR_FROM, year_to=YEAR_TO)
+    return page
+
+
+def _ids_as_text(frame: DataFrame) -> DataFrame:
+    return frame.withColumns(
+        {c: F.col(c).cast("string") for c in frame.columns if c.endswith("_id")})
+
+
+def _snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tables are stored, and a second version of them is begun but never published."""
+    store = scratch_path(spark)
+    made = star.model_tables(spark, sf_dir)
+    texts = {name: _ids_as_text(frame) for name, frame in made.items()}
+    t = write_tables(replace(made, **texts), store)
+    snapshots = Snapshots(spark, store)
+    write_table(t.patents.where("year = 1996"), snapshots.folder(snapshots.begin()), "patents")
+    return _iso(read_tables(spark, store).patents)
 
 
 def _iso(df: DataFrame) -> DataFrame:
@@ -169,39 +224,24 @@ def _sql_on_views(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _summary_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark)
-    r.write_reports(star.model_tables(spark, sf_dir), folder)
+    r.write_reports(page_tables(spark, sf_dir), folder)
     return r.as_json(r.read_summary(spark, folder))
 
 
 def _report_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark)
-    r.write_reports(star.model_tables(spark, sf_dir), folder)
+    r.write_reports(page_tables(spark, sf_dir), folder)
     schema = "name string, country string, patents bigint"
     return spark.read.schema(schema).csv(f"{folder}/top_inventors.csv", header=True)
 
 
-def _export_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    folder = scratch_path(spark)
-    r.write_page_exports(star.model_tables(spark, sf_dir), folder, YEAR_FROM, YEAR_TO)
-    schema = "Rank int, country string, patents bigint, share_pct double"
-    return spark.read.schema(schema).csv(f"{folder}/country_trends.csv", header=True)
-
-
-def _in_places(wide: DataFrame) -> DataFrame:
-    """The country columns of a trend by their place in the alphabet, as SQL cannot name columns
-    after data; the long form has the names."""
-    names = wide.columns[1:]
-    cells = [F.col(f"`{n}`").alias(f"country_{i}") for i, n in enumerate(names, 1)]
-    none = [F.lit(0).cast("bigint").alias(f"country_{i}") for i in range(len(names) + 1, 6)]
-    return wide.select("year", *cells, *none)
-
-
-def _v_country_trend(t: Tables) -> DataFrame:
-    return _in_places(v.v_country_trend(t))
-
+def _export_file(name: str, schema: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        folder = scratch_path(spark)
+        r.write_page_exports(page_tables(spark, sf_dir), folder, YEAR_FROM, YEAR_TO)
+        return spark.read.schema(schema).csv(f"{folder}/{name}.csv", header=True)
 
-def _d_country_trend(t: Tables, **years) -> DataFrame:
-    return _in_places(v.d_country_trend(t, **years))
+    return query
 
 
 def _integrity_flawed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -228,7 +268,7 @@ QUERIES: dict[str, Query] = {
     "v_country_share_other": _on_model(v.v_country_share_other),
     "v_country_share_rest": _on_model(v.v_country_share_other, pool=None),
     "v_top5_countries": _on_model(v.v_top5_countries),
-    "v_country_trend": _on_model(_v_country_trend),
+    "v_country_trend": _on_model(v.v_country_trend_places),
     "v_country_trend_long": _on_model(v.v_country_trend_long),
     "d_overview_totals": _on_model(v.d_overview_totals),
     "d_yearly": _in_range(v.d_yearly),
@@ -236,8 +276,12 @@ QUERIES: dict[str, Query] = {
     "d_top_companies": _in_range(v.d_top_companies),
     "d_countries": _in_range(v.d_countries),
     "d_yoy_growth": _in_range(v.d_yoy_growth),
-    "d_country_trend": _in_range(_d_country_trend),
+    "d_country_trend": _in_range(v.d_country_trend_places),
     "d_country_trend_long": _in_range(v.d_country_trend_long),
+    "d_cube_inventors": _cube("inventor_years"),
+    "d_cube_companies": _cube("company_years"),
+    "d_cube_countries": _cube("country_years"),
+    "d_cached_countries": _cached_countries,
     "c_patents": _clean_patents,
     "c_inventors": _clean("inventors"),
     "c_companies": _clean("companies"),
@@ -254,6 +298,12 @@ QUERIES: dict[str, Query] = {
     "s_sql_on_views": _sql_on_views,
     "s_summary_file": _summary_file,
     "s_report_file": _report_file,
-    "s_export_file": _export_file,
+    "s_export_file": _export_file(
+        "country_trends", "Rank int, country string, patents bigint, share_pct double"),
+    "s_export_inventors": _export_file(
+        "top_inventors", "Rank int, name string, country string, patents bigint"),
+    "s_export_companies": _export_file(
+        "top_companies", "Rank int, company string, country string, patents bigint"),
+    "s_snapshot": _snapshot,
     "job_drop_report": _job,
 }

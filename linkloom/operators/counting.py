@@ -46,48 +46,84 @@ def patents_per_entity(t: Tables, links: DataFrame, entities: DataFrame) -> Data
     return counted.join(entities, key)
 
 
-def inventor_counts(t: Tables) -> DataFrame:
+def inventor_counts(
+    t: Tables, year_from: int | None = None, year_to: int | None = None
+) -> DataFrame:
     """inventor_id, patent_count, name, country of all inventors with links."""
-    if "inventors" in t.counts:
-        return t.counts["inventors"]
-    return patents_per_entity(t, t.patent_inventors, t.inventors)
+    return _entity_counts(t, "inventor_years", t.patent_inventors, t.inventors, year_from, year_to)
 
 
-def company_counts(t: Tables) -> DataFrame:
+def company_counts(
+    t: Tables, year_from: int | None = None, year_to: int | None = None
+) -> DataFrame:
     """company_id, patent_count, name, country of all companies with links."""
-    if "companies" in t.counts:
-        return t.counts["companies"]
-    return patents_per_entity(t, t.patent_companies, t.companies)
+    return _entity_counts(t, "company_years", t.patent_companies, t.companies, year_from, year_to)
 
 
-def country_counts(t: Tables) -> DataFrame:
+def _entity_counts(
+    t: Tables, cells: str, links: DataFrame, entities: DataFrame,
+    year_from: int | None, year_to: int | None,
+) -> DataFrame:
+    """Of the patents filed in a range of years; without a range, of all links."""
+    if t.cube:
+        return per_key(t.cube[cells], year_from, year_to).join(entities, entities.columns[0])
+    if year_from is not None or year_to is not None:
+        links = filed_in(links, t, year_from, year_to)
+    return patents_per_entity(t, links, entities)
+
+
+def country_counts(
+    t: Tables, year_from: int | None = None, year_to: int | None = None
+) -> DataFrame:
     """country, patent_count of all known inventor countries."""
-    if "countries" in t.counts:
-        return t.counts["countries"]
-    return patents_per_country(t.patent_inventors, t.inventors)
+    if t.cube:
+        return per_key(t.cube["country_years"], year_from, year_to)
+    links = t.patent_inventors
+    if year_from is not None or year_to is not None:
+        links = filed_in(links, t, year_from, year_to)
+    return patents_per_country(links, t.inventors)
+
+
+def per_key(cells: DataFrame, year_from: int | None, year_to: int | None) -> DataFrame:
+    """The key of stored cells by year and ``patent_count`` in a range of years; without a range, of
+    all patents, those without a year included."""
+    if year_from is not None or year_to is not None:
+        cells = in_years(cells, year_from, year_to)
+    return cells.groupBy(cells.columns[0]).agg(F.sum("patents").alias("patent_count"))
+
+
+def homes(inventors: DataFrame) -> DataFrame:
+    """inventor_id, country of inventors of a known country, to be joined with single links.
+
+    The hint makes AQE measure the table before that join, whatever it is derived from: it is
+    broadcast only if it turns out to be small.
+    """
+    found = inventors.where(known(F.col("country"))).select("inventor_id", "country")
+    return found.hint("rebalance")
 
 
 def patents_per_country(links: DataFrame, inventors: DataFrame) -> DataFrame:
     """``country, patent_count`` over inventors of a known country."""
-    homes = inventors.where(known(F.col("country"))).select("inventor_id", "country")
-    pairs = links.join(homes, "inventor_id").select("country", "patent_id").distinct()
+    pairs = links.join(homes(inventors), "inventor_id").select("country", "patent_id").distinct()
     return pairs.groupBy("country").agg(F.count("patent_id").alias("patent_count"))
 
 
 def links_per_country(links: DataFrame, inventors: DataFrame) -> DataFrame:
     """``country, links`` over inventors of a known country."""
-    homes = inventors.where(known(F.col("country"))).select("inventor_id", "country")
     return (
         links.groupBy("inventor_id").agg(F.count("*").alias("links"))
-        .join(homes, "inventor_id")
+        .join(homes(inventors), "inventor_id")
         .groupBy("country").agg(F.sum("links").alias("links"))
     )
 
 
-def with_share(counts: DataFrame, links: DataFrame) -> DataFrame:
-    """Add ``share_pct``: patents in percent of all rows of ``links``.
+def with_share(counts: DataFrame, t: Tables) -> DataFrame:
+    """Add ``share_pct``: patents in percent of all inventor links.
 
     The row count is a subquery of its own; on stored tables it reads no column at all.
     """
-    whole = links.agg(F.count("*")).scalar()
+    whole = (
+        t.cube["totals"].agg(F.max("inventor_links")) if t.cube
+        else t.patent_inventors.agg(F.count("*"))
+    ).scalar()
     return counts.withColumn("share_pct", percent(F.col("patent_count"), whole, 2))

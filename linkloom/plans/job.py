@@ -6,14 +6,16 @@ import argparse
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 
-from linkloom.operators import cleaning
+from linkloom.operators import cleaning, cube
 from linkloom.operators.quality import (
     count_columns, counts_frame, drop_report, require_integrity,
 )
-from linkloom.plans.reports import store_counts, write_chart_data, write_reports
+from linkloom.plans.cache import ResultCache
+from linkloom.plans.reports import write_chart_data, write_reports
 from linkloom.session import build_session
 from linkloom.sources.delimited import read_raw, write_clean_csv
-from linkloom.sources.parquet import by_year, read_table, read_tables, write_table
+from linkloom.sources.parquet import by_year, read_table, read_version, write_table
+from linkloom.sources.snapshots import Snapshots
 
 
 def run_job(
@@ -27,9 +29,13 @@ def run_job(
     """Rebuild everything under ``out_dir`` from ``raw_dir`` and return the drop report.
 
     Each table is written before the next step reads it, so a lost executor never causes
-    more than one step to be repeated.
+    more than one step to be repeated. The tables become visible all at once, when they are
+    complete and checked; a job that dies before leaves the tables of the last one. CSV files
+    and reports are written after that.
     """
-    store = f"{out_dir}/tables"
+    snapshots = Snapshots(spark, f"{out_dir}/tables")
+    version = snapshots.begin()
+    store = snapshots.folder(version)
     counts = []
 
     def entity(table: str, stage: DataFrame) -> None:
@@ -61,11 +67,14 @@ def run_job(
     pairs = raw("g_patent_assignee")
     links("patent_companies", pairs, cleaning.clean_patent_companies(pairs, patents, companies))
 
-    tables = read_tables(spark, store, unique_links=True)
+    tables = read_version(spark, store, unique_links=True, version=version)
     require_integrity(tables)
+    tables = cube.write(tables, f"{store}/cube")
+    snapshots.publish(version)
+    snapshots.drop_old()
+    ResultCache(spark, f"{snapshots.store}/results", version).drop_others()
     if csv:
         write_clean_csv(tables, f"{out_dir}/clean")
-    tables = store_counts(tables, f"{store}/counts")
     write_reports(tables, f"{out_dir}/reports")
     if charts:
         write_chart_data(tables, f"{out_dir}/reports/charts")

@@ -29,18 +29,22 @@ def q3_country_share(t: Tables, k: int = 20) -> DataFrame:
     """
     counts = counting.country_counts(t)
     best = ranking.top(counts, k, "patent_count", "country")
-    return counting.with_share(best, t.patent_inventors)
+    return counting.with_share(best, t)
 
 
 def q4_yearly_trend(t: Tables) -> DataFrame:
     """year, patent_count in order of year."""
-    return yearly_counts(t.patents).orderBy("year")
+    return yearly_counts(t).orderBy("year")
 
 
 def yearly_counts(
-    patents: DataFrame, year_from: int | None = None, year_to: int | None = None
+    t: Tables, year_from: int | None = None, year_to: int | None = None
 ) -> DataFrame:
-    picked = counting.in_years(patents, year_from, year_to)
+    """year, patent_count of a range of years."""
+    if t.cube:
+        cells = counting.in_years(t.cube["patent_years"], year_from, year_to)
+        return cells.select("year", F.col("patents").alias("patent_count"))
+    picked = counting.in_years(t.patents, year_from, year_to)
     return picked.groupBy("year").agg(F.count("*").alias("patent_count"))
 
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from dataclasses import replace
-
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from linkloom.operators import counting, ranking
@@ -86,23 +84,6 @@ def _listed(rows: DataFrame, *fields: str) -> Column:
     return rows.agg(F.sort_array(F.collect_list(F.struct(*fields)))).scalar()
 
 
-def store_counts(t: Tables, folder: str) -> Tables:
-    """Write the counts that the reports and charts share, and let them start from there.
-
-    Without this every report would scan and shuffle the links anew.
-    """
-    shared = {
-        "inventors": counting.inventor_counts(t),
-        "companies": counting.company_counts(t),
-        "countries": counting.country_counts(t),
-    }
-    stored = {}
-    for name, frame in shared.items():
-        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
-        stored[name] = frame.sparkSession.read.schema(frame.schema).parquet(f"{folder}/{name}")
-    return replace(t, counts=stored)
-
-
 def write_report(frame: DataFrame, path: str, sort: str | None = None) -> None:
     """A short frame as one CSV file. Frames that end in a limit are one ordered partition
     already, others need ``sort``."""

@@ -58,35 +58,60 @@ def v_country_share_other(t: Tables, keep: int = 7, pool: int | None = 8) -> Dat
 
 def v_top5_countries(t: Tables, k: int = 5) -> DataFrame:
     """country, for the countries with most inventor links."""
-    counts = counting.links_per_country(t.patent_inventors, t.inventors)
+    counts = (
+        t.cube["country_links"] if t.cube
+        else counting.links_per_country(t.patent_inventors, t.inventors)
+    )
     return ranking.top(counts, k, "links", "country").select("country")
 
 
-def v_country_trend(
+def v_trend_countries(t: Tables, k: int = 5) -> DataFrame:
+    """place, country: the top countries by the alphabet, from place 1."""
+    place = F.row_number().over(Window.orderBy("country"))
+    return v_top5_countries(t, k).select(place.alias("place"), "country")
+
+
+def v_country_trend_places(
     t: Tables, k: int = 5, year_from: int | None = None, year_to: int | None = None
 ) -> DataFrame:
-    """year and one column per top country: its patents of that year, 0 if none, also where a
-    country has no patent in the whole range.
+    """year and ``country_1`` to ``country_k``: the patents of that year of the countries of
+    :func:`v_trend_countries`, 0 if none, also where there are fewer countries.
 
-    The ``k`` names are fetched first. Then one flag per name and patent replaces the
-    distinct count: a single aggregation by patent, whose result is joined where it lies.
+    One lazy plan: the countries' names stay data, their places are what is aggregated by.
     """
-    names = sorted(row.country for row in v_top5_countries(t, k).collect())
-    if not names:
-        return t.patents.select("year").limit(0)
-    homes = t.inventors.where(F.col("country").isin(names)).select("inventor_id", "country")
-    flags = [f"_in{i}" for i in range(len(names))]
-    per_patent = (
-        t.patent_inventors.join(homes, "inventor_id")
-        .groupBy("patent_id")
-        .agg(*[F.max(F.col("country") == n).alias(f) for f, n in zip(flags, names)])
+    places = v_trend_countries(t, k)
+    if t.cube:
+        cells = counting.in_years(t.cube["country_years"], year_from, year_to)
+        return _by_place(cells.join(places, "country"), k, lambda here: F.sum(here("patents")))
+    lands = t.inventors.join(places, "country").select("inventor_id", "place").hint("rebalance")
+    # One flag per place replaces the distinct count: a single aggregation by patent.
+    per_patent = t.patent_inventors.join(lands, "inventor_id").groupBy("patent_id").agg(
+        *[F.max(F.col("place") == i).alias(f"_in{i}") for i in range(1, k + 1)]
     )
     years = counting.in_years(t.patents, year_from, year_to).select("patent_id", "year")
-    return (
-        per_patent.join(years, "patent_id")
-        .groupBy("year")
-        .agg(*[F.count_if(f).alias(n) for f, n in zip(flags, names)])
-        .orderBy("year")
+    return per_patent.join(years, "patent_id").groupBy("year").agg(
+        *[F.count_if(f"_in{i}").alias(f"country_{i}") for i in range(1, k + 1)]
+    ).orderBy("year")
+
+
+def _by_place(cells: DataFrame, k: int, total) -> DataFrame:
+    def at(i: int):
+        return lambda column: F.when(F.col("place") == i, F.col(column)).otherwise(0)
+
+    return cells.groupBy("year").agg(
+        *[total(at(i)).alias(f"country_{i}") for i in range(1, k + 1)]
+    ).orderBy("year")
+
+
+def v_country_trend(
+    t: Tables, k: int = 5, year_from: int | None = None, year_to: int | None = None
+) -> DataFrame:
+    """:func:`v_country_trend_places` with the countries' names for column names, as a file with
+    a header needs them; the ``k`` names are fetched for that."""
+    names = [r["country"] for r in v_trend_countries(t, k).orderBy("place").collect()]
+    wide = v_country_trend_places(t, k, year_from, year_to)
+    return wide.select(
+        "year", *[F.col(f"country_{i}").alias(n) for i, n in enumerate(names, 1)]
     )
 
 
@@ -97,9 +122,13 @@ def v_country_trend_long(
 
     One lazy plan; the countries stay in it as a semi-join.
     """
-    homes = t.inventors.join(v_top5_countries(t, k), "country", "left_semi")
+    best = v_top5_countries(t, k)
+    if t.cube:
+        cells = counting.in_years(t.cube["country_years"], year_from, year_to)
+        return cells.join(best, "country", "left_semi").select("year", "country", "patents")
+    lands = t.inventors.join(best, "country", "left_semi").select("inventor_id", "country")
     pairs = (
-        t.patent_inventors.join(homes.select("inventor_id", "country"), "inventor_id")
+        t.patent_inventors.join(lands.hint("rebalance"), "inventor_id")
         .select("patent_id", "country").distinct()
     )
     years = counting.in_years(t.patents, year_from, year_to).select("patent_id", "year")
@@ -125,7 +154,7 @@ def d_overview_totals(t: Tables) -> DataFrame:
 def d_yearly(t: Tables, year_from: int = YEARS[0], year_to: int = YEARS[1]) -> DataFrame:
     """year, patents in order of year."""
     return (
-        q.yearly_counts(t.patents, year_from, year_to)
+        q.yearly_counts(t, year_from, year_to)
         .withColumnRenamed("patent_count", "patents").orderBy("year")
     )
 
@@ -134,16 +163,14 @@ def d_top_inventors(
     t: Tables, year_from: int = YEARS[0], year_to: int = YEARS[1], top_n: int = 20
 ) -> DataFrame:
     """Rank, name, country, patents by patents filed in the range."""
-    links = counting.filed_in(t.patent_inventors, t, year_from, year_to)
-    return _numbered(counting.patents_per_entity(t, links, t.inventors), top_n, "name")
+    return _numbered(counting.inventor_counts(t, year_from, year_to), top_n, "name")
 
 
 def d_top_companies(
     t: Tables, year_from: int = YEARS[0], year_to: int = YEARS[1], top_n: int = 15
 ) -> DataFrame:
     """Rank, company, country, patents by patents filed in the range."""
-    links = counting.filed_in(t.patent_companies, t, year_from, year_to)
-    return _numbered(counting.patents_per_entity(t, links, t.companies), top_n, "company")
+    return _numbered(counting.company_counts(t, year_from, year_to), top_n, "company")
 
 
 def _numbered(counts: DataFrame, n: int, name: str) -> DataFrame:
@@ -161,11 +188,10 @@ def d_countries(
 
     The share is of all inventor links, those of other years included.
     """
-    links = counting.filed_in(t.patent_inventors, t, year_from, year_to)
-    counts = counting.patents_per_country(links, t.inventors)
+    counts = counting.country_counts(t, year_from, year_to)
     best = ranking.top(counts, k, "patent_count", "country")
     ranked = ranking.positions(best, "patent_count", "country", "Rank")
-    return counting.with_share(ranked, t.patent_inventors).withColumnRenamed(
+    return counting.with_share(ranked, t).withColumnRenamed(
         "patent_count", "patents"
     )
 
@@ -184,6 +210,12 @@ def d_country_trend(
     return v_country_trend(t, k, year_from, year_to)
 
 
+def d_country_trend_places(
+    t: Tables, year_from: int = YEARS[0], year_to: int = YEARS[1], k: int = 5
+) -> DataFrame:
+    return v_country_trend_places(t, k, year_from, year_to)
+
+
 def d_country_trend_long(
     t: Tables, year_from: int = YEARS[0], year_to: int = YEARS[1], k: int = 5
 ) -> DataFrame:

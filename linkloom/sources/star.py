@@ -33,6 +33,10 @@ STAR: dict[str, str] = {
 }
 
 
+# The star tables that the model is made of.
+MODEL_SOURCES = ["orders", "lineitem", "supplier", "customer", "nation"]
+
+
 def model_tables(spark: SparkSession, sf_dir: str) -> Tables:
     """The five model tables, as lazy frames over the star schema."""
     read = _reader(spark, sf_dir)

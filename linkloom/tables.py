@@ -17,7 +17,8 @@ class Tables:
     tables this package cleaned or wrote; patents per entity are then a plain count, which
     needs no shuffle of the links. Leave it off for frames of unknown origin.
 
-    ``counts`` may hold patent counts stored beforehand, which several reports start from.
+    ``cube`` may hold counts by year stored beforehand (:mod:`linkloom.operators.cube`), from which
+    counts are then taken instead of from the links. ``version`` names the content, where known.
     """
 
     patents: DataFrame
@@ -26,7 +27,8 @@ class Tables:
     patent_inventors: DataFrame
     patent_companies: DataFrame
     unique_links: bool = False
-    counts: dict[str, DataFrame] = field(default_factory=dict)
+    cube: dict[str, DataFrame] = field(default_factory=dict)
+    version: str | None = None
 
     def items(self) -> list[tuple[str, DataFrame]]:
         return [(name, getattr(self, name)) for name in MODEL]

@@ -85,9 +85,8 @@ def test_tables(spark, done):
     assert sorted(tuple(r) for r in t.patent_inventors.collect()) == [
         ("P1", "i1"), ("P1", "i2"), ("P2", "i1"), ("P6", "i4"),
     ]
-    assert {p.name for p in (done[0] / "out/tables/patents").glob("year=*")} == {
-        "year=2019", "year=2020",
-    }
+    folders = (done[0] / "out/tables").glob("versions/*/patents/year=*")
+    assert {p.name for p in folders} == {"year=2019", "year=2020"}
 
 
 def test_clean_csv_reads_back_the_same(spark, done):
