@@ -10,21 +10,33 @@ drops mere accidents of form.
 
 A document holds an item if that covers ``min_share`` of the item's words. An item shorter than a
 window is one window of its own length, sought in longer documents too if it has ``LEAST_WORDS``
-words; a shorter one is found only where it is the whole document. Nulls and empty texts hold nothing and are held
-by nothing. Rows equal in id and text are judged alike and returned once per item. Windows that are
-placeholders by more than half are compared by their words as they stand, in lower case.
+words; a shorter one is found only where it is the whole document. Windows that are placeholders by
+more than half are compared by their words as they stand, in lower case.
 
 Each window has up to three hashes: of its template, of the template in which capitalised words
 that begin a sentence are names too, and of its words in lower case, which finds copies in other
-case. ``COMMON`` words are never names at the beginning of a sentence.
+case. ``COMMON`` words are never names at the beginning of a sentence. Where more than a quarter of the
+words within sentences have capitals, as in languages that write all nouns so, capitals make no names.
+
+Only documents with as many words in a row as a window has, each known to the benchmark or a possible
+placeholder, are looked at by windows; a bitmap of fixed size tells known words. Windows that more
+than ``MAX_SHARED`` items hold, such as an instruction that all begin with, do not bring documents and
+items together where they cover too little of an item by themselves; they count for pairs that other
+windows found. So a sentence of many items makes no pairs of all that quote it.
 
 The windows of the benchmark are broadcast in blocks of at most ``MAX_BLOCK`` rows, each a few
 numbers and slot words; each further block reads the documents again.
+
+* Nulls and empty texts hold nothing and are held by nothing; so do empty tables.
+* Rows equal in id and text are judged alike and returned once per item; ties do not arise.
+* Texts are read whole, whatever their length, as one row of the task.
+* Documents keep all their columns, whatever their names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -32,6 +44,9 @@ from linkloom.llm.keys import boxed, row_key, unboxed
 from linkloom.llm.store import Store
 
 MAX_BLOCK = 500_000
+MAX_SHARED = 16
+# Bits of the map of known words: 512 kB.
+KNOWN_BITS = 1 << 22
 
 # One or two words are no sign of a leak within a longer text.
 LEAST_WORDS = 3
@@ -92,9 +107,19 @@ _WORD = r"\p{Lu}[\p{Ll}\p{M}]+(?!\p{L})"
 _FIRST_WORD = rf"(?<!\p{{L}})(?!(?i:{'|'.join(COMMON)})(?!\p{{L}})){_WORD}"
 
 
+_WITHIN = r"(?<=[\p{Ll},;] )"
+
+
+def _has_names(c: Column) -> Column:
+    """Whether capitals within sentences are few enough to be those of names."""
+    capitals = F.regexp_count(c, F.lit(f"{_WITHIN}{_WORD}"))
+    return (capitals < 4) | (4 * capitals <= F.regexp_count(c, F.lit(rf"{_WITHIN}\p{{L}}")))
+
+
 def _placed(c: Column) -> Column:
     """The text with placeholders; names are capitalised words that go on within a sentence."""
-    named = F.regexp_replace(_spaced(c), rf"(?<=[\p{{Ll}},;] ){_WORD}", NAME)
+    spaced = _spaced(c)
+    named = F.when(_has_names(c), F.regexp_replace(spaced, f"{_WITHIN}{_WORD}", NAME)).otherwise(spaced)
     number = F.regexp_replace(named, r"[0-9][0-9·]*", NUMBER)
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
     unit = F.regexp_replace(number, rf"(?i)(?<={NUMBER} )(?:{units})(?!\p{{L}})", UNIT)
@@ -165,10 +190,49 @@ def _windows(text: Column, window: int, lengths: list[int] | None = None) -> Col
             added = [values(words[k], words[0]) for k in (1, 2)]
             return _bind(F.array(words[0], words[1], words[2], *added), slotted)
 
-        forms = [texts[1], F.regexp_replace(texts[1], _FIRST_WORD, NAME)]
-        return _bind(F.array(*[_words(F.lower(x)) for x in (texts[0], *forms)]), with_values)
+        first = F.when(texts[2] == "y", F.regexp_replace(texts[1], _FIRST_WORD, NAME)).otherwise(texts[1])
+        return _bind(F.array(*[_words(F.lower(x)) for x in (texts[0], texts[1], first)]), with_values)
+
+    names = F.when(_has_names(text), "y").otherwise("n")
+    return _bind(F.array(_spaced(text), _placed(text), names), whole)
+
+
+def _known_words(items: DataFrame) -> Column:
+    """The words of all items and all units as a map of ``KNOWN_BITS`` bits, a scalar subquery."""
+    spark = items.sparkSession
+    words = items.select(F.explode(_words(F.lower(_spaced(F.col("t"))))).alias("w"))
+    words = words.unionByName(spark.createDataFrame([(u,) for u in UNITS], "w string"))
+    bits = words.select(F.pmod(F.xxhash64("w"), F.lit(KNOWN_BITS)).alias("b")).distinct()
+    slots = bits.groupBy(F.shiftright("b", 6).alias("slot")).agg(
+        F.bit_or(F.expr("shiftleft(1L, CAST(b & 63 AS INT))")).alias("set")
+    ).collect()
+    known = [0] * (KNOWN_BITS // 64)
+    for row in slots:
+        known[row["slot"]] = row["set"]
+    return spark.createDataFrame([(known,)], "known array<bigint>").scalar()
+
+
+def _may_hold(text: Column, known: Column, least: int) -> Column:
+    """Whether ``least`` words in a row are known or may be placeholders; true for shorter texts."""
+    def flags(known: Column) -> Column:
+        def flag(word: Column, as_is: Column) -> Column:
+            bit = F.pmod(F.xxhash64(word), F.lit(KNOWN_BITS))
+            there = F.bit_get(
+                F.get(known, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")
+            )
+            # All that is not of small letters alone may be a name or a number.
+            odd = as_is.isNull() | as_is.rlike(r"[^\p{Ll}\p{Lo}\p{Lm}\p{M}]")
+            return F.when(odd | (there == 1), "1").otherwise("0")
+
+        def joined(spaced: Column) -> Column:
+            return F.array_join(F.zip_with(_words(F.lower(spaced)), _words(spaced), flag), "")
+
+        return _bind(_spaced(text), joined)
 
-    return _bind(F.array(_spaced(text), _placed(text)), whole)
+    def enough(run: Column) -> Column:
+        return F.contains(run, F.lit("1" * least)) | (F.length(run) < least)
+
+    return _bind(_bind(known, flags), enough)
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -178,31 +242,70 @@ def _items(benchmark: DataFrame) -> DataFrame:
     )
 
 
-def hits(docs: DataFrame, items: DataFrame, window: int) -> DataFrame:
+def _wanted(items: DataFrame, window: int, min_share: float, store: Store) -> DataFrame:
+    """The windows of all items: ``hash``, ``n``, ``item``, ``ip``, ``of_item`` and ``brings``,
+    whether equal windows bring a document and the item together."""
+    rows = store.put("item_windows", items.select(
+        "item", "length", F.explode(_windows(F.col("t"), window)).alias("w")
+    ).select("w.hash", "w.n", "item", "length", F.col("w.p").alias("ip"), F.col("w.slots").alias("of_item")))
+    shared = rows.groupBy("hash", "n").agg(F.countDistinct("item").alias("items"))
+    shared = store.put("shared_windows", shared.where(F.col("items") > MAX_SHARED).drop("items"))
+    marked = rows.join(shared.withColumn("common", F.lit(True)), ["hash", "n"], "left")
+    marked = marked.withColumn("common", F.coalesce("common", F.lit(False)))
+    runs = F.transform(F.collect_set(F.when(F.col("common"), F.struct("ip", "n"))),
+                       lambda r: F.sequence(r["ip"], r["ip"] + r["n"] - 1))
+    enough = marked.groupBy("item", "length").agg(
+        F.size(F.array_distinct(F.flatten(runs))).alias("covered")
+    ).select("item", (F.col("covered") >= F.lit(min_share) * F.col("length")).alias("alone"))
+    return store.put("wanted", marked.join(enough, "item").select(
+        "hash", "n", "item", "ip", "of_item", (~F.col("common") | F.col("alone")).alias("brings")
+    ))
+
+
+def _equal(places: DataFrame, wanted: DataFrame, on: list[str]) -> DataFrame:
+    pairs = F.zip_with(
+        "of_item", "of_doc", lambda x, y: F.struct(x.alias("of_item"), y.alias("of_doc"))
+    )
+    return places.join(wanted, on).select(
+        "_key", "id", "item", (F.col("dp") - F.col("ip")).alias("shift"), "ip", pairs.alias("pairs"),
+    )
+
+
+def hits(
+    docs: DataFrame, items: DataFrame, window: int, min_share: float, store: Store
+) -> DataFrame:
     """Equal windows: ``_key``, ``id``, ``item``, ``shift`` between document and item, ``ip``
     where the window begins in the item, and ``pairs`` of slot values."""
-    wanted = (
-        items.select("item", F.explode(_windows(F.col("t"), window)).alias("w"))
-        .select("w.hash", "w.n", "item", F.col("w.p").alias("ip"), F.col("w.slots").alias("of_item"))
-    )
+    wanted = _wanted(items, window, min_share, store)
     short = items.where(F.col("length").between(LEAST_WORDS, window - 1)).select("length").distinct()
     lengths = sorted(r["length"] for r in short.collect())
-    found_in = _windows(F.col("t"), window, lengths)
-    places = docs.select("_key", "id", F.explode(found_in).alias("w")) \
-        .select("_key", "id", F.col("w.p").alias("dp"), "w.hash", "w.n", F.col("w.slots").alias("of_doc"))
-    pairs = F.zip_with(
-        "of_item", "of_doc", lambda x, y: F.struct(x.alias("of_item"), y.alias("of_doc"))
-    )
-    blocks = -(-wanted.count() // MAX_BLOCK) or 1
-    found = None
-    for b in range(blocks):
-        block = wanted.where(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == b) if blocks > 1 else wanted
-        part = places.join(F.broadcast(block), ["hash", "n"]).select(
-            "_key", "id", "item", (F.col("dp") - F.col("ip")).alias("shift"), "ip",
-            pairs.alias("pairs"),
+    least = min([window, *lengths])
+
+    def windows(of: DataFrame) -> DataFrame:
+        found = of.select("_key", "id", F.explode(_windows(F.col("t"), window, lengths)).alias("w"))
+        return found.select(
+            "_key", "id", F.col("w.p").alias("dp"), "w.hash", "w.n", F.col("w.slots").alias("of_doc")
         )
-        found = part if found is None else found.unionByName(part)
-    return found
+
+    asked = docs.withColumn("_known", _known_words(items))
+    places = windows(asked.where(_may_hold(F.col("t"), F.col("_known"), least)).drop("_known"))
+    bringing = wanted.where("brings").drop("brings")
+    blocks = -(-bringing.count() // MAX_BLOCK) or 1
+    parts = [
+        _equal(places, F.broadcast(
+            bringing.where(F.pmod(F.xxhash64("hash"), F.lit(blocks)) == b) if blocks > 1 else bringing
+        ), ["hash", "n"])
+        for b in range(blocks)
+    ]
+    found = store.put("hits", reduce(DataFrame.unionByName, parts))
+    others = wanted.where("NOT brings").drop("brings")
+    if others.isEmpty():
+        return found
+    met = store.put("met", found.select("_key", "item").distinct().join(
+        others.select("item").distinct(), "item", "left_semi"))
+    again = docs.join(met.select("_key").distinct(), "_key", "left_semi").dropDuplicates(["_key"])
+    more = windows(again).join(met, "_key")
+    return found.unionByName(store.put("more_hits", _equal(more, others, ["item", "hash", "n"])))
 
 
 def leaks(
@@ -220,7 +323,7 @@ def leaks(
     items = store.put(
         "items", _items(benchmark).withColumn("item", F.monotonically_increasing_id())
     )
-    table = store.put("hits", hits(keyed, items, window))
+    table = hits(keyed, items, window, min_share, store)
 
     # Each shift between a document and an item is an alignment of its own.
     equal = F.forall("pairs", lambda v: v["of_item"] == v["of_doc"])

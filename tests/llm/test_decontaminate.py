@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import re
 
 import pytest
@@ -93,6 +94,95 @@ def test_short_items_within_longer_documents(spark):
     assert held(spark, benchmark, *texts) == {(0, 1, True), (1, 2, True), (3, 4, True)}
 
 
+def test_capitals_of_nouns_are_no_names(spark):
+    """Where all nouns have capitals, other nouns are other words; numbers are still placeholders."""
+    rows = [
+        (1, "Der Lehrer kauft für die Schule einen Tisch und eine Lampe aus Holz"),
+        (2, "Ein Bauer hat 12 Kühe und verkauft 5 davon an den Nachbarn, wie viele Kühe bleiben dem Bauern?"),
+    ]
+    benchmark = spark.createDataFrame(rows, "item_id int, text string")
+    texts = [
+        "Der Bauer kauft für die Stadt einen Wagen und eine Kuh aus Wachs",
+        f"Man liest: {rows[0][1]}.", rows[1][1].replace("12", "40").replace("5", "31"),
+    ]
+    assert held(spark, benchmark, *texts) == {(1, 1, True), (2, 2, False)}
+
+
+def test_a_sentence_of_many_items_makes_no_pairs(spark, monkeypatch):
+    """One instruction in all items and documents; one document holds an item whole."""
+    common = "please read the question with care and answer it in one short sentence"
+    own = [" ".join(f"w{i}x{k}" for k in "abcdefghijklmnopqrstuvw") for i in range(40)]
+    own = ["".join(c if not c.isdigit() else "qrstuvwxyz"[int(c)] for c in o) for o in own]
+    items = [f"{common} {o}" for o in own]
+    benchmark = spark.createDataFrame(list(enumerate(items)), "item_id int, text string")
+    texts = [f"{common} and something else" for _ in range(30)] + [items[7], f"{common} {own[3]} {common}"]
+    made = []
+    put = d.Store.put
+    monkeypatch.setattr(d.Store, "put", lambda self, name, frame: made.append((name, put(self, name, frame))) or made[-1][1])
+    got = held(spark, benchmark, *texts)
+    assert got == {(30, 7, True), (31, 3, True)}
+    assert dict(made)["hits"].count() < 100 and 0 < dict(made)["more_hits"].count() < 100
+
+
+def brute_windows(text, known_names=True):
+    """Windows of eight template words for plain English: numbers, names within sentences, units."""
+    spaced = re.sub(r"(?<=[0-9])[.,](?=[0-9])", "·", text)
+    tokens = [(m.group(), m.start()) for m in re.finditer(r"[^\W_·]+(?:·[0-9]+)*", spaced)]
+    out, before = [], ""
+    for token, at in tokens:
+        low = token.lower()
+        if re.fullmatch(r"[0-9][0-9·]*", token):
+            kind = "N"
+        elif before == "N" and low in d.UNITS:
+            kind = "U"
+        elif re.fullmatch(r"[A-Z][a-z]+", token) and re.search(r"[a-z,;] $", spaced[:at]):
+            kind = "P"
+        else:
+            kind = low
+        out.append((kind, token))
+        before = kind
+    return out
+
+
+def test_templates_equal_brute_force(spark):
+    """Template words of made-up questions, against another way to make them."""
+    rows = [
+        "In town Tom buys 3.5 kg of apples, Mary sells 1,200 pears for 7 dollars and Ann walks 4 miles.",
+        "They saw Paris; Rome and 12 cm, then 9 days. After 5 they left, Bob too.",
+        "no slots at all here", "12 34 56", "km 5 km 6",
+    ]
+    frame = spark.createDataFrame([(t,) for t in rows], "t string")
+    got = [r[0] for r in frame.select(d.template(frame.t)).collect()]
+    names = {"N": d.NUMBER, "U": d.UNIT, "P": d.NAME}
+    assert got == [[names.get(k, k) for k, _ in brute_windows(t)] for t in rows]
+
+
+def test_random_slots_equal_brute_force(spark):
+    """Questions of one form with values drawn at random: found exactly where values map one to one."""
+    draw = random.Random(8)
+    form = "when {} had {} coins and gave {} of them to {} the old man kept {} coins and {} went home with {} more"
+    slots = [("n", 0), ("v", 0), ("v", 1), ("n", 1), ("v", 2), ("n", 2), ("v", 3)]
+    names, numbers = ["Tom", "Mary", "Bob"], ["2", "3", "5", "7"]
+
+    def values():
+        return [draw.choice(names if kind == "n" else numbers) for kind, _ in slots]
+
+    item = values()
+    benchmark = spark.createDataFrame([(1, form.format(*item))], "item_id int, text string")
+    tries = [values() for _ in range(60)]
+    want = set()
+    for i, other in enumerate(tries):
+        pairs = {p for p in zip(item, other, strict=True)}
+        if len({a for a, _ in pairs}) == len(pairs) == len({b for _, b in pairs}):
+            want.add(i)
+    texts = [f"they say that {form.format(*t)} at last" for t in tries]
+    got = {doc for doc, _, _ in held(spark, benchmark, *texts)}
+    assert want <= got
+    # What else is found has half of the item in windows whose values are equal.
+    for i in got - want:
+        assert sum(a == b for a, b in zip(item, tries[i], strict=True)) >= 2, (item, tries[i])
+
+
 def test_blocks_give_the_same(spark, benchmark, monkeypatch):
     texts = [f"Intro. {ITEM}", "short one", "nothing"]
     whole = held(spark, benchmark, *texts)
