@@ -4,14 +4,16 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
 from linkloom.llm.store import ship
 
-GROUP_BYTES = 1 << 19
+GROUP_BYTES = 1 << 18
 
 
 def utf8(column: pa.Array) -> list[bytes]:
@@ -19,17 +21,18 @@ def utf8(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def groups(texts: list[bytes], limit: int = GROUP_BYTES) -> Iterator[list[bytes]]:
-    """Consecutive texts of about ``limit`` bytes; a longer text is a group of its own."""
-    group, size = [], 0
-    for text in texts:
-        if group and size + len(text) > limit:
-            yield group
-            group, size = [], 0
-        group.append(text)
-        size += len(text)
-    if group:
-        yield group
+def parts(batch: pa.RecordBatch, sizes: pa.Array, limit: int = GROUP_BYTES) -> Iterator[pa.RecordBatch]:
+    """Consecutive rows of about ``limit`` bytes together, by the size of each; a larger row is a
+    part of its own. Nothing becomes a Python object before it is part of a small batch."""
+    if not batch.num_rows:
+        return
+    ends = np.cumsum(sizes.fill_null(0).to_numpy().astype(np.int64))
+    first = 0
+    while first < batch.num_rows:
+        room = limit + (int(ends[first - 1]) if first else 0)
+        after = max(first + 1, int(np.searchsorted(ends, room, "right")))
+        yield batch.slice(first, after - first)
+        first = after
 
 
 def map_texts(
@@ -54,11 +57,8 @@ def map_texts(
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = 0
-            for group in groups(utf8(batch.column("_text"))):
-                part = batch.slice(at, len(group))
-                at += len(group)
-                made = digest(group)
+            for part in parts(batch, pc.binary_length(batch.column("_text"))):
+                made = digest(utf8(part.column("_text")))
                 yield pa.RecordBatch.from_arrays(
                     [part.column("_row"), *[pa.array(made[n], type=types[n]) for n in names]],
                     names=["_row", *names],

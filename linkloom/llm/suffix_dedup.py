@@ -12,15 +12,20 @@ Grains are spread over tasks by hash. A grain with more than ``max_kinds`` kinds
 is not sorted in one task: each of its windows is counted by its hash instead, which gives the
 same.
 
-Equal texts are folded first; they repeat whole if they are as long as a window. Null texts are
-empty. Rows with equal or null ids are documents of their own. Hashes that stand for equality
-have 128 bits.
+Equal texts are folded first; they repeat whole if they are as long as a window. A grain only brings
+anchors together; what surrounds them is compared byte by byte, or, where equal surroundings are
+folded, by XXH3 of 128 bits; equal texts are folded by two hashes of 64 bits.
+
+* Null texts are empty. Rows with equal or null ids are documents of their own, and repeated rows
+  get equal results. Ties do not arise: a window repeats or not, wherever its copies are.
+* Long texts are searched in pieces of ``PIECE`` places that overlap by two windows; a task holds one
+  text and some 60 bytes for each byte of a piece.
+* Empty tables give no rows. Only key and text are read, so other columns may have any names.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -28,14 +33,15 @@ import xxhash
 import zstandard
 from pyspark.sql import Column, DataFrame, functions as F
 
-from linkloom.llm.batches import groups, map_texts
+from linkloom.llm.batches import map_texts, parts
 from linkloom.llm.deep_shallow import blind_trie, shallow_groups
 from linkloom.llm.store import Store, ship
 
 GRAIN = 64
 # Some 30 MB of bytes in one task.
 MAX_KINDS = 65_536
-_GROUP_BYTES = 1 << 19
+# Places of a text that are searched at once.
+PIECE = 1 << 17
 _PAIRED = 16
 
 _CODES = np.random.default_rng(77).integers(1, 2**63, 256, dtype=np.uint64)
@@ -63,16 +69,43 @@ def _sliding(x: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(x[: len(x) - (width - size)], x[width - size :]) if width > size else x
 
 
+def pieces(texts: list[bytes], length: int, grain: int, size: int) -> Iterator[tuple[int, int, int, int]]:
+    """Texts as slices: index, first byte, and the first place and the one after the last that are
+    decided in it. A place needs the windows that hold it, and its surroundings."""
+    width = length - grain + 1
+    for i, text in enumerate(texts):
+        for first in range(0, max(1, len(text)), size):
+            yield i, max(0, first - (width - 1)), first, min(len(text), first + size)
+
+
 class Anchors:
     """The anchors of some texts: ``text`` (its index), ``at``, ``grain`` and ``around``."""
 
-    def __init__(self, texts: list[bytes], length: int, grain: int):
-        data = np.frombuffer(b"".join(texts), np.uint8)
+    def __init__(self, texts: list[bytes], length: int, grain: int, size: int = PIECE):
+        made = []
+        held, begun, total = [], [], 0
+        for i, start, first, after in pieces(texts, length, grain, size):
+            held.append((i, start, first, after, texts[i][start : after - 1 + length]))
+            total += len(held[-1][4])
+            if total >= size:
+                made.append(self._found(held, length, grain))
+                held, total = [], 0
+        if held:
+            made.append(self._found(held, length, grain))
+        self.text, self.at, self.grain = (
+            np.concatenate([m[k] for m in made]) if made else np.zeros(0, np.int64) for k in range(3)
+        )
+        self.around = [x for m in made for x in m[3]]
+
+    @staticmethod
+    def _found(held: list[tuple], length: int, grain: int) -> tuple:
+        texts = [h[4] for h in held]
+        joined = b"".join(texts)
+        data = np.frombuffer(joined, np.uint8)
         n, width = len(data), length - grain + 1
-        self.text = self.at = np.zeros(0, np.int64)
-        self.grain = self.around = np.zeros(0, np.int64)
+        none = np.zeros(0, np.int64)
         if n < length:
-            return
+            return none, none, none, []
         ends = np.cumsum([len(t) for t in texts])
         starts = np.concatenate(([0], ends[:-1]))
         total = np.concatenate((
@@ -87,13 +120,20 @@ class Anchors:
         edge = np.zeros(width - 1, np.uint64)
         reach = _sliding(np.concatenate((edge, least, edge)), width, np.maximum)
         place = np.flatnonzero(reach == grains)
-        self.text = owner[place]
-        self.at = place - starts[self.text]
-        left = np.maximum(starts[self.text], place - (width - 1))
-        right = np.minimum(ends[self.text], place + length)
-        sides = ((place - left) << 16 | (right - place)).astype(np.uint64)
-        self.grain = grains[place].view(np.int64)
-        self.around = _mix(_mix((total[right] - total[left]) * back[left]) + sides).view(np.int64)
+        piece = owner[place]
+        index, start, first, after = (np.array([h[k] for h in held])[piece] for k in range(4))
+        at = place - starts[piece] + start
+        # Places in the overlap belong to another piece.
+        mine = (at >= first) & (at < after)
+        place, piece, index, at = place[mine], piece[mine], index[mine], at[mine]
+        left = np.maximum(starts[piece], place - (width - 1))
+        right = np.minimum(ends[piece], place + length)
+        digest = xxhash.xxh3_128_digest
+        around = [
+            digest(joined[a:b] + (p - a).to_bytes(4) + (b - p).to_bytes(4))
+            for a, p, b in zip(left.tolist(), place.tolist(), right.tolist(), strict=True)
+        ]
+        return index, at, grains[place].view(np.int64), around
 
 
 def _hash(text: Column) -> list[Column]:
@@ -102,8 +142,7 @@ def _hash(text: Column) -> list[Column]:
 
 
 def _texts(docs: DataFrame, text: str, store: Store) -> DataFrame:
-    """Each different text once, compressed, with its number of copies, bucketed by its hash so
-    that joining something to it moves no text."""
+    """Each different text once, compressed, with its number of copies."""
     def pack(batch: list[bytes]) -> dict[str, list]:
         packer = zstandard.ZstdCompressor(level=1)
         return {"packed": [packer.compress(t) for t in batch], "n_bytes": [len(t) for t in batch]}
@@ -114,10 +153,7 @@ def _texts(docs: DataFrame, text: str, store: Store) -> DataFrame:
         F.first("packed").alias("packed"), F.first("n_bytes").alias("n_bytes"),
         F.count("*").alias("copies"),
     )
-    buckets = int(store.spark.conf.get("spark.sql.shuffle.partitions"))
-    name = f"texts_{uuid4().hex}"
-    once.write.bucketBy(buckets, "h1", "h2").option("path", store.path("texts")).saveAsTable(name)
-    return store.spark.table(name)
+    return store.put("texts", once)
 
 
 def _unpack(batch: pa.RecordBatch) -> list[bytes]:
@@ -128,20 +164,17 @@ def _unpack(batch: pa.RecordBatch) -> list[bytes]:
 def _anchors(texts: DataFrame, length: int, grain: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part, done = batch.slice(at, 256), 0
+            for part in parts(batch, batch.column("n_bytes")):
                 h1, h2 = (part.column(c).to_numpy() for c in ("h1", "h2"))
-                for group in groups(_unpack(part), _GROUP_BYTES):
-                    made = Anchors(group, length, grain)
-                    rows = made.text + done
-                    done += len(group)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(x) for x in (made.grain, made.around, h1[rows], h2[rows], made.at)],
-                        ["grain", "around", "h1", "h2", "at"],
-                    )
+                made = Anchors(_unpack(part), length, grain)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(made.grain), pa.array(made.around, pa.binary()),
+                     *[pa.array(x) for x in (h1[made.text], h2[made.text], made.at)]],
+                    ["grain", "around", "h1", "h2", "at"],
+                )
 
-    long = texts.where(F.col("n_bytes") >= length).select("h1", "h2", "packed")
-    return long.mapInArrow(run, "grain long, around long, h1 long, h2 long, at long")
+    long = texts.where(F.col("n_bytes") >= length).select("h1", "h2", "packed", "n_bytes")
+    return long.mapInArrow(run, "grain long, around binary, h1 long, h2 long, at long")
 
 
 def repeats(left: list[bytes], right: list[bytes], rows: list[int], length: int, width: int) -> dict[int, list[tuple[int, int]]]:
@@ -209,26 +242,26 @@ def _surroundings(wanted: DataFrame, texts: DataFrame, length: int, grain: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["grain", "around", "crowded", "left", "right"]
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part, rows = batch.slice(at, 64), []
+            for part in parts(batch, batch.column("n_bytes")):
+                rows = []
                 for text, asks in zip(_unpack(part), part.column("asked").to_pylist(), strict=True):
                     for a in asks:
                         p = a["at"]
                         before = text[max(0, p - width + 1) : p][::-1]
                         rows.append((a["grain"], a["around"], a["crowded"], before, text[p : p + length]))
                 columns = list(zip(*rows, strict=True)) or [[]] * 5
-                kinds = [pa.int64(), pa.int64(), pa.bool_(), pa.binary(), pa.binary()]
+                kinds = [pa.int64(), pa.binary(), pa.bool_(), pa.binary(), pa.binary()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
                 )
 
-    joined = texts.join(asked, ["h1", "h2"]).select("packed", "asked")
+    joined = texts.join(asked, ["h1", "h2"]).select("packed", "n_bytes", "asked")
     return joined.mapInArrow(
-        run, "grain long, around long, crowded boolean, left binary, right binary"
+        run, "grain long, around binary, crowded boolean, left binary, right binary"
     )
 
 
-_RANGES = "grain long, around long, low int, high int"
+_RANGES = "grain long, around binary, low int, high int"
 
 
 def _sorted_ranges(around: DataFrame, length: int, grain: int) -> DataFrame:
@@ -243,7 +276,7 @@ def _sorted_ranges(around: DataFrame, length: int, grain: int) -> DataFrame:
                 for row, ranges in repeats(left, right, group, length, width).items():
                     made += [(rows[row]["grain"], rows[row]["around"], *r) for r in merged(ranges)]
         columns = list(zip(*made, strict=True)) or [[]] * 4
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.int32()]
+        kinds = [pa.int64(), pa.binary(), pa.int32(), pa.int32()]
         return pa.RecordBatch.from_arrays(
             [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
             ["grain", "around", "low", "high"],
@@ -265,7 +298,7 @@ def _sorted_ranges(around: DataFrame, length: int, grain: int) -> DataFrame:
     return dealt.mapInArrow(run, _RANGES)
 
 
-def _counted_ranges(around: DataFrame, length: int, grain: int) -> DataFrame:
+def _counted_ranges(around: DataFrame, length: int, grain: int, store: Store) -> DataFrame:
     """The same for crowded grains: each window is a row, and is counted by its hash."""
     width = length - grain + 1
 
@@ -280,18 +313,20 @@ def _counted_ranges(around: DataFrame, length: int, grain: int) -> DataFrame:
                         window = whole[n - d : n - d + length]
                         rows.append((xxhash.xxh3_128_digest(window), r["grain"], r["around"], d))
                 columns = list(zip(*rows, strict=True)) or [[]] * 4
-                kinds = [pa.binary(), pa.int64(), pa.int64(), pa.int32()]
+                kinds = [pa.binary(), pa.int64(), pa.binary(), pa.int32()]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names
                 )
 
     windows = around.select("grain", "around", "left", "right").mapInArrow(
-        run, "window binary, grain long, around long, d int"
+        run, "window binary, grain long, around binary, d int"
     )
     # A place has one kind of surroundings per grain, so equal rows are different places.
     same = ["window", "grain", "d"]
+    windows = store.put("windows", windows)
     again = windows.groupBy(*same).agg(F.count("*").alias("n")).where("n > 1")
-    return windows.join(again.select(*same), same).select(
+    again = store.put("again", again.select(*same))
+    return windows.join(again, same).select(
         "grain", "around", F.col("d").alias("low"), F.col("d").alias("high")
     )
 
@@ -315,13 +350,16 @@ def without_repeats(
     kinds = store.put("kinds", found.groupBy("grain", "around").agg(
         F.count("*").alias("n"), F.min(F.struct("h1", "h2", "at")).alias("one")
     ))
-    mixed = kinds.groupBy("grain").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    # Written, so that the join below may split the rows of a crowded grain.
+    mixed = store.put(
+        "mixed", kinds.groupBy("grain").agg(F.count("*").alias("kinds")).where("kinds > 1")
+    )
     wanted = kinds.join(mixed, "grain").select(
         "grain", "around", "one.*", (F.col("kinds") > max_kinds).alias("crowded")
     )
     around = store.put("around", _surroundings(wanted, texts, length, grain))
     ranges = _sorted_ranges(around.where("NOT crowded"), length, grain).unionByName(
-        _counted_ranges(around.where("crowded"), length, grain)
+        _counted_ranges(around.where("crowded"), length, grain, store)
     )
     # All windows of anchors that occur twice with all their surroundings repeat.
     whole = kinds.where("n > 1").select(
@@ -339,8 +377,8 @@ def without_repeats(
         kind = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
         names = ["h1", "h2", "n_bytes", "spans", "kept"]
         for batch in batches:
-            for at in range(0, batch.num_rows, 64):
-                part, removed, kept = batch.slice(at, 64), [], []
+            for part in parts(batch, batch.column("n_bytes")):
+                removed, kept = [], []
                 starts = part.column("starts")
                 low, high = (starts.flatten().field(k).to_numpy() for k in ("low", "high"))
                 ends = np.cumsum(starts.value_lengths().fill_null(0).to_numpy())
