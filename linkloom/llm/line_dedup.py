@@ -9,12 +9,14 @@ of them apart gives its power of two, and comparing the lines from there gives t
 is done only where the preceding lines differ; elsewhere the LCP is one less than for the line
 before. A maximal stretch of neighbours with an LCP of ``min_lines`` or more, an LCP interval,
 is a repeated run; all occurrences but the first lose its lines. With ``min_words`` a single line
-of so many words, parted by white space, is a run as well.
-
-The first occurrence is that of the smallest document id, then text, then line; a null id comes
-last. Rows equal in id and text are one document: each is returned, with the same lines. Null
-texts stay null, empty ones empty. Lines are compared as they are, by a 128-bit hash, split at
-line feeds.
+of so many words, parted by ASCII white space, is a run as well.
+
+* Of ties the first occurrence is that of the smallest document id, then text, then line; a null id
+  comes last. Rows equal in id and text are one document: each is returned, with the same lines.
+* Null texts stay null, empty ones empty. Lines are compared as they are, by a 128-bit hash, split at
+  line feeds. Empty tables give no rows.
+* A long text is one row; its lines are an array of 16 bytes each.
+* Other columns stay as they are, whatever their names, but for ``lines_deleted``, which is replaced.
 """
 
 from __future__ import annotations
@@ -31,7 +33,7 @@ from linkloom.llm.store import Store
 def _line_ids(text: bytes, min_words: int | None) -> tuple[list[int], list[bytes], list[int]]:
     lines = [(i, x) for i, x in enumerate(text.split(b"\n")) if x.strip()]
     wide = [] if min_words is None else [
-        i for i, (_, x) in enumerate(lines) if len(x.decode("utf-8", "replace").split()) >= min_words
+        i for i, (_, x) in enumerate(lines) if len(x.split()) >= min_words
     ]
     return [i for i, _ in lines], [xxhash.xxh3_128_digest(x) for _, x in lines], wide
 

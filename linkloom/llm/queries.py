@@ -31,7 +31,8 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = line_dedup.delete_repeated_runs(_table(spark, sf_dir, "documents"), min_lines=2)
+    docs = _table(spark, sf_dir, "documents")
+    kept = line_dedup.delete_repeated_runs(docs, min_lines=2, min_words=50)
     return kept.select("doc_id", "lines_deleted", F.sha2("text", 256).alias("kept_sha256"))
 
 
@@ -147,7 +148,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op13_toxicity": op13_toxicity,
 }
 
-# Runs of two lines decide: a line goes if a run that holds it began at an earlier place.
+# Runs of two lines, or one of 50 words, decide: a line goes if a run that holds it began at an
+# earlier place.
 _OP2 = r"""
 WITH line AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS line,
@@ -160,8 +162,11 @@ WITH line AS (
 ), later AS (
   SELECT doc_id, p, p2 FROM pair WHERE line2 IS NOT NULL
   QUALIFY row_number() OVER (PARTITION BY line, line2 ORDER BY doc_id, p) > 1
+), wide AS (
+  SELECT doc_id, p FROM line WHERE len(regexp_extract_all(line, '[^ \t\x0b\x0c\r]+')) >= 50
+  QUALIFY row_number() OVER (PARTITION BY line ORDER BY doc_id, p) > 1
 ), gone AS (
-  SELECT doc_id, p FROM later UNION SELECT doc_id, p2 FROM later
+  SELECT doc_id, p FROM later UNION SELECT doc_id, p2 FROM later UNION SELECT doc_id, p FROM wide
 ), kept AS (
   SELECT doc_id, count(gone.p) AS lines_deleted,
          coalesce(string_agg(line, chr(10) ORDER BY line.p) FILTER (WHERE gone.p IS NULL), '') AS t
