@@ -275,6 +275,44 @@ _DROPS = _c(
 )
 
 
+def _why(table: str, source: str, reasons: dict[str, str]) -> str:
+    """Dropped rows by the first reason that holds, and the copies among the rest."""
+    whens = " ".join(f"WHEN {holds} THEN '{name}'" for name, holds in reasons.items())
+    names = ", ".join(f"('{name}')" for name in [*reasons, "copy"])
+    return f"""
+        SELECT '{table}' AS stage, reason, coalesce(n, 0) AS "rows"
+        FROM (VALUES {names}) AS v(reason) LEFT JOIN (
+            SELECT coalesce(why, 'copy') AS reason,
+                   count(*) - CASE WHEN why IS NULL THEN (SELECT count(*) FROM {table}) ELSE 0 END AS n
+            FROM (SELECT CASE {whens} END AS why FROM {source}) GROUP BY why
+        ) USING (reason)"""
+
+
+_NO_NAME = f"""{_strip(f"concat({_strip('name_first')}, ' ', {_strip("nullif(name_last, 'N/A')")})")} = ''"""
+_DAY_OF = f"CASE WHEN {_ISO} THEN try_cast(date AS DATE) END"
+_REJECTS = _c(" UNION ALL ".join([
+    _why("patents", "raw_p", {
+        "no id": "patent_id IS NULL",
+        "no title": f"coalesce({_collapse('title')}, '') = ''",
+        "bad date": f"({_DAY_OF}) IS NULL",
+        "year out of range": f"year({_DAY_OF}) NOT BETWEEN 1976 AND 2030",
+    }),
+    _why("inventors", "raw_i", {"no name": _NO_NAME}),
+    _why("companies", "raw_c", {"no name": f"coalesce({_strip('organization')}, '') = ''"}),
+    _why("patent_inventors", """(
+        SELECT patent_id, coalesce(disambig_inventor_id, inventor_id) AS e FROM raw_pi)""", {
+        "no key": "patent_id IS NULL OR e IS NULL",
+        "unknown inventor": "e NOT IN (SELECT inventor_id FROM inventors WHERE inventor_id IS NOT NULL)",
+        "unknown patent": "patent_id NOT IN (SELECT patent_id FROM patents WHERE patent_id IS NOT NULL)",
+    }),
+    _why("patent_companies", "(SELECT patent_id, assignee_id AS e FROM raw_pc)", {
+        "no key": "patent_id IS NULL OR e IS NULL",
+        "unknown company": "e NOT IN (SELECT company_id FROM companies WHERE company_id IS NOT NULL)",
+        "unknown patent": "patent_id NOT IN (SELECT patent_id FROM patents WHERE patent_id IS NOT NULL)",
+    }),
+]))
+
+
 def _key_rules(table: str, key: str, required: list[str]) -> list[str]:
     rules = [f"""
         SELECT '{table}' AS "table", 'unique({key})' AS "check", count(*) AS violations
@@ -394,6 +432,8 @@ ORACLE_SQL: dict[str, str] = {
     "c_patent_inventors": _c("SELECT * FROM patent_inventors"),
     "c_patent_companies": _c("SELECT * FROM patent_companies"),
     "c_drop_report": _DROPS,
+    "c_reject_report": _REJECTS,
+    "job_rejects": _REJECTS,
     "c_integrity": _m(_RULES),
     "c_integrity_flawed": _FLAWED + _RULES,
     "c_collapse_spaces": f"SELECT doc_id, {_collapse('text')} AS text FROM documents",

@@ -4,18 +4,19 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import replace
-from functools import cached_property
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.functions import text
 from linkloom.operators import cleaning, cube, quality
+from linkloom.operators.dedup import kept
 from linkloom.plans import queries as q
 from linkloom.plans import reports as r
 from linkloom.plans import trends as v
 from linkloom.plans.cache import Pages, ResultCache
 from linkloom.plans.job import run_job
-from linkloom.schemas import PRIMARY_KEYS, RAW_FILES
+from linkloom.schemas import MODEL, PRIMARY_KEYS, RAW_FILES
 from linkloom.session import scratch_path
 from linkloom.sources import files, star
 from linkloom.sources.delimited import (
@@ -99,92 +100,75 @@ def _patent_detail(t: Tables) -> DataFrame:
 
 
 class Cleaned:
-    """The five clean tables over the raw ones.
-
-    As in the job, links are checked against written entities: each is cleaned once, and
-    AQE can split a frequent key, which it cannot where a join side is an aggregate.
-    """
+    """The five clean tables over the raw ones, and what was dropped."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
-        self.spark = spark
         self.raw = star.raw_tables(spark, sf_dir)
-        self.done: set[str] = set()
-
-    @cached_property
-    def store(self) -> str:
-        return scratch_path(self.spark)
 
     def stage(self, table: str) -> DataFrame:
-        name, stage = {
-            "patents": ("g_patent", cleaning.patents_stage),
-            "inventors": ("g_inventor_disambiguated", cleaning.inventors_stage),
-            "companies": ("g_assignee_disambiguated", cleaning.companies_stage),
-        }[table]
-        return stage(self.raw[name])
-
-    def staged(self, table: str) -> DataFrame:
-        """Keys and counts of an entity's stage, from the one time it is cleaned."""
-        (key,) = PRIMARY_KEYS[table]
-        path = f"{self.store}/{table}"
-        if table not in self.done:
-            kept = self.stage(table).select(key, "_valid", "_rows")
-            kept.write.mode("overwrite").parquet(path)
-            self.done.add(table)
-        schema = f"{key} string, _valid boolean, _rows bigint"
-        return self.spark.read.schema(schema).parquet(path)
-
-    def written(self, table: str) -> DataFrame:
-        return self.staged(table).where("_valid").select(*PRIMARY_KEYS[table])
-
-    def patents(self) -> DataFrame:
-        return cleaning.clean_patents(self.raw["g_patent"])
-
-    def inventors(self) -> DataFrame:
-        return cleaning.clean_inventors(self.raw["g_inventor_disambiguated"])
-
-    def companies(self) -> DataFrame:
-        return cleaning.clean_companies(self.raw["g_assignee_disambiguated"])
-
-    def patent_inventors(self) -> DataFrame:
-        return cleaning.clean_patent_inventors(
-            self.raw["g_patent_inventor"], self.written("patents"), self.written("inventors")
-        )
-
-    def patent_companies(self) -> DataFrame:
-        return cleaning.clean_patent_companies(
-            self.raw["g_patent_assignee"], self.written("patents"), self.written("companies")
-        )
+        raw, keys = self.raw, self.keys
+        if table == "patents":
+            return cleaning.patents_stage(raw["g_patent"])
+        if table == "inventors":
+            return cleaning.inventors_stage(raw["g_inventor_disambiguated"])
+        if table == "companies":
+            return cleaning.companies_stage(raw["g_assignee_disambiguated"])
+        if table == "patent_inventors":
+            return cleaning.patent_inventors_stage(
+                raw["g_patent_inventor"], keys("patents"), keys("inventors"))
+        return cleaning.patent_companies_stage(
+            raw["g_patent_assignee"], keys("patents"), keys("companies"))
+
+    def keys(self, table: str) -> DataFrame:
+        """The keys of a cleaned entity table. The hint puts a shuffle of its own above the
+        aggregation, so that AQE may split a frequent key in the join that follows, as it may
+        where the job joins written tables."""
+        return kept(self.stage(table)).select(*PRIMARY_KEYS[table]).hint("rebalance")
+
+    def clean(self, table: str) -> DataFrame:
+        if table == "patent_inventors":
+            return cleaning.clean_patent_inventors(
+                self.raw["g_patent_inventor"], self.keys("patents"), self.keys("inventors"))
+        if table == "patent_companies":
+            return cleaning.clean_patent_companies(
+                self.raw["g_patent_assignee"], self.keys("patents"), self.keys("companies"))
+        return kept(self.stage(table))
 
     def drop_report(self) -> DataFrame:
-        raw = self.raw
-        counts = [
-            *[quality.stage_counts(self.staged(n), n) for n in ("patents", "inventors", "companies")],
-            quality.link_counts(
-                raw["g_patent_inventor"], self.patent_inventors(), "patent_inventors"),
-            quality.link_counts(
-                raw["g_patent_assignee"], self.patent_companies(), "patent_companies"),
-        ]
-        whole = counts[0]
-        for part in counts[1:]:
-            whole = whole.unionByName(part)
-        return quality.drop_report(whole)
+        counts = [quality.stage_counts(self.stage(n), n) for n in MODEL]
+        return quality.drop_report(reduce(DataFrame.unionByName, counts))
+
+    def reject_report(self) -> DataFrame:
+        return reduce(DataFrame.unionByName, [quality.stage_rejects(self.stage(n), n) for n in MODEL])
 
 
 def _clean(table: str) -> Query:
-    return lambda spark, sf_dir: getattr(Cleaned(spark, sf_dir), table)()
+    return lambda spark, sf_dir: Cleaned(spark, sf_dir).clean(table)
 
 
 def _clean_patents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _iso(Cleaned(spark, sf_dir).patents())
+    return _iso(Cleaned(spark, sf_dir).clean("patents"))
+
+
+def _job_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What the job stored about the rows it dropped."""
+    work = scratch_path(spark)
+    _run_job(spark, sf_dir, work)
+    snapshots = Snapshots(spark, f"{work}/out/tables")
+    folder = snapshots.folder(snapshots.current())
+    return spark.read.schema(quality.REJECT_SCHEMA).parquet(f"{folder}/rejects")
 
 
 def _job(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Write the raw tables as files, run the whole job on them, return its drop report."""
-    work = scratch_path(spark)
+    return _run_job(spark, sf_dir, scratch_path(spark), charts=True)
+
+
+def _run_job(spark: SparkSession, sf_dir: str, work: str, **options) -> DataFrame:
     for name, frame in star.raw_tables(spark, sf_dir).items():
         columns = [c for c in RAW_FILES[name] if c in frame.columns]
         write_csv(frame.orderBy(ORDINAL).select(*columns), f"{work}/raw/{name}.tsv", sep="\t")
-    return run_job(spark, f"{work}/raw", f"{work}/out", charts=True)
+    return run_job(spark, f"{work}/raw", f"{work}/out", **options)
 
 
 def _collapsed_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -287,7 +271,8 @@ QUERIES: dict[str, Query] = {
     "c_companies": _clean("companies"),
     "c_patent_inventors": _clean("patent_inventors"),
     "c_patent_companies": _clean("patent_companies"),
-    "c_drop_report": _clean("drop_report"),
+    "c_drop_report": lambda spark, sf_dir: Cleaned(spark, sf_dir).drop_report(),
+    "c_reject_report": lambda spark, sf_dir: Cleaned(spark, sf_dir).reject_report(),
     "c_integrity": _on_model(quality.integrity),
     "c_integrity_flawed": _integrity_flawed,
     "c_collapse_spaces": _collapsed_documents,
@@ -306,4 +291,5 @@ QUERIES: dict[str, Query] = {
         "top_companies", "Rank int, company string, country string, patents bigint"),
     "s_snapshot": _snapshot,
     "job_drop_report": _job,
+    "job_rejects": _job_rejects,
 }

@@ -10,14 +10,16 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from linkloom.functions import text
-from linkloom.operators.dedup import keep_first, kept
-from linkloom.schemas import MODEL, YEARS
+from linkloom.operators.dedup import first_reason, keep_first, kept
+from linkloom.schemas import MODEL, REASONS, YEARS
 from linkloom.sources.delimited import ORDINAL
 
 
-def _stage(rows: DataFrame, table: str, order: Column | None, valid: Column) -> DataFrame:
+def _stage(rows: DataFrame, table: str, order: Column | None, *required: Column) -> DataFrame:
+    """``required`` are the conditions whose failure :data:`REASONS` names, in its order."""
     key, *payload = MODEL[table].names
-    return keep_first(rows, [key], payload, F.col(ORDINAL) if order is None else order, valid)
+    reasons = dict(zip(REASONS[table], required, strict=True))
+    return keep_first(rows, [key], payload, F.col(ORDINAL) if order is None else order, reasons)
 
 
 def patents_stage(raw: DataFrame, order: Column | None = None) -> DataFrame:
@@ -28,12 +30,11 @@ def patents_stage(raw: DataFrame, order: Column | None = None) -> DataFrame:
         "filing_date": day,
         "year": F.year(day),
     })
-    valid = (
-        F.col("patent_id").isNotNull()
-        & (F.length("title") > 0)
-        & F.col("year").between(YEARS[0], YEARS[-1])
+    return _stage(
+        rows, "patents", order,
+        F.col("patent_id").isNotNull(), F.length("title") > 0,
+        F.col("filing_date").isNotNull(), F.col("year").between(YEARS[0], YEARS[-1]),
     )
-    return _stage(rows, "patents", order, valid)
 
 
 def inventors_stage(
@@ -94,6 +95,47 @@ def clean_patent_companies(
     return _links(raw, company.alias("company_id"), patents, companies)
 
 
+def patent_inventors_stage(
+    raw: DataFrame, patents: DataFrame, inventors: DataFrame
+) -> DataFrame:
+    """The counted stage of :func:`clean_patent_inventors`."""
+    inventor = text.first_present(raw, "disambig_inventor_id", "inventor_id")
+    return _links_stage(raw, inventor.alias("inventor_id"), patents, inventors, "patent_inventors")
+
+
+def patent_companies_stage(
+    raw: DataFrame, patents: DataFrame, companies: DataFrame
+) -> DataFrame:
+    """The counted stage of :func:`clean_patent_companies`."""
+    company = text.first_present(raw, "disambig_assignee_id", "assignee_id")
+    return _links_stage(raw, company.alias("company_id"), patents, companies, "patent_companies")
+
+
+def _links_stage(
+    raw: DataFrame, entity: Column, patents: DataFrame, entities: DataFrame, table: str
+) -> DataFrame:
+    """Every different pair with ``_valid``, ``_reason`` and the number of its rows, ``_rows``.
+
+    As in :func:`_links` copies collapse before any shuffle, pairs without a key into one row, and
+    AQE may split a frequent key in either join, as only new shuffles follow.
+    """
+    pairs = raw.select("patent_id", entity)
+    key = pairs.columns[1]
+    whole = F.col("patent_id").isNotNull() & F.col(key).isNotNull()
+    counted = pairs.select(
+        F.when(whole, F.col("patent_id")).alias("patent_id"), F.when(whole, F.col(key)).alias(key)
+    ).groupBy("patent_id", key).agg(F.count("*").alias("_rows"))
+    checked = (
+        counted.join(entities.select(key, F.lit(True).alias("_entity")), key, "left")
+        .join(patents.select("patent_id", F.lit(True).alias("_patent")), "patent_id", "left")
+    )
+    there = [F.col(key).isNotNull(), F.col("_entity"), F.col("_patent")]
+    reason = first_reason(dict(zip(REASONS[table], there, strict=True)))
+    return checked.select("patent_id", key, reason.alias("_reason"), "_rows").select(
+        "patent_id", key, F.col("_reason").isNull().alias("_valid"), "_reason", "_rows"
+    )
+
+
 def _links(raw: DataFrame, entity: Column, patents: DataFrame, entities: DataFrame) -> DataFrame:
     """Copies of a pair collapse before any shuffle, and the first shuffle is on the pair.
 

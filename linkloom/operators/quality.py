@@ -6,10 +6,12 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from linkloom.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS
+from linkloom.schemas import FOREIGN_KEYS, NOT_NULL, PRIMARY_KEYS, REASONS
 from linkloom.tables import Tables
 
 REPORT_SCHEMA = "stage string, before bigint, after bigint"
+REJECT_SCHEMA = "stage string, reason string, rows bigint"
+COPY = "copy"
 
 
 def stage_counts(stage: DataFrame, name: str) -> DataFrame:
@@ -25,15 +27,28 @@ def count_columns() -> list[Column]:
     ]
 
 
-def link_counts(raw: DataFrame, clean: DataFrame, name: str) -> DataFrame:
-    """``stage, before, after`` of a link cleaner."""
-    return raw.agg(F.count("*").alias("before")).select(
-        F.lit(name).alias("stage"),
-        "before",
-        clean.agg(F.count("*")).scalar().alias("after"),
+def reject_columns(table: str) -> list[Column]:
+    """The rows of a counted stage that were dropped, by reason, as aggregates over it. With the rows
+    that stay they add up to all."""
+    copies = F.sum(F.when(F.col("_valid"), F.col("_rows") - 1))
+    by_reason = {r: F.sum(F.when(F.col("_reason") == r, F.col("_rows"))) for r in REASONS[table]}
+    return [
+        F.coalesce(rows, F.lit(0)).alias(reason) for reason, rows in (by_reason | {COPY: copies}).items()
+    ]
+
+
+def stage_rejects(stage: DataFrame, table: str) -> DataFrame:
+    """``stage, reason, rows`` for each reason there is to drop a row."""
+    totals = stage.agg(*reject_columns(table))
+    return totals.unpivot([], totals.columns, "reason", "rows").select(
+        F.lit(table).alias("stage"), "reason", "rows"
     )
 
 
+def rejects_frame(spark: SparkSession, rows: list[tuple[str, str, int]]) -> DataFrame:
+    return spark.createDataFrame(rows, REJECT_SCHEMA)
+
+
 def drop_report(counts: DataFrame) -> DataFrame:
     """Add the dropped rows and their percentage, 0 for an empty input."""
     dropped = F.col("before") - F.col("after")
@@ -53,46 +68,71 @@ def integrity(t: Tables) -> DataFrame:
 
     ``unique`` counts key values that occur more than once, ``not_null`` counts rows, and
     ``references`` counts link rows whose key the other table lacks.
-    """
-    frames = [_key_checks(name, frame) for name, frame in t.items()]
-    for table, references in FOREIGN_KEYS.items():
-        for column, parent in references.items():
-            frames.append(_orphans(t, table, column, parent))
-    return reduce(DataFrame.unionByName, frames)
-
-
-def _key_checks(table: str, frame: DataFrame) -> DataFrame:
-    """All rules on one table from one scan and one aggregation by its key."""
-    key, required = PRIMARY_KEYS[table], NOT_NULL[table]
-    nulls = {f"not_null({c})": F.col(c).isNull() for c in required}
-    per_key = frame.groupBy(*key).agg(
-        F.count("*").alias("_n"),
-        *[F.count_if(bad).alias(rule) for rule, bad in nulls.items()],
-    )
-    whole_key = reduce(Column.__and__, [F.col(c).isNotNull() for c in key])
-    totals = per_key.agg(
-        F.count_if(whole_key & (F.col("_n") > 1)).alias(f"unique({', '.join(key)})"),
-        *[F.coalesce(F.sum(F.col(f"`{rule}`")), F.lit(0)).alias(rule) for rule in nulls],
-    )
-    return totals.unpivot([], totals.columns, "check", "violations").select(
-        F.lit(table).alias("table"), "check", "violations"
-    )
-
 
-def _orphans(t: Tables, table: str, column: str, parent: str) -> DataFrame:
-    """Links are counted per key first, so a frequent key is one row in the anti-join."""
-    (parent_key,) = PRIMARY_KEYS[parent]
-    links = getattr(t, table).where(F.col(column).isNotNull()).groupBy(column).agg(
-        F.count("*").alias("_n")
-    )
-    keys = getattr(t, parent).select(F.col(parent_key).alias(column))
-    return links.join(keys, column, "left_anti").agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("violations")
-    ).select(
-        F.lit(table).alias("table"),
-        F.lit(f"references({column} -> {parent})").alias("check"),
-        "violations",
+    The keys of one domain (patents, inventors, companies, and the pairs of each link table) are
+    read from all tables that hold them as one tagged union, and counted by key and tag once. From
+    that one row per key come repeated keys, missing ones and links to nothing together, for one
+    shuffle of a row per key and task; nothing is joined, and a frequent key is folded before it.
+    """
+    parts = [_domain(t, parent) for parent in PRIMARY_KEYS if parent not in FOREIGN_KEYS]
+    parts += [_pairs(t, table) for table in FOREIGN_KEYS]
+    return reduce(DataFrame.unionByName, parts)
+
+
+def _domain(t: Tables, parent: str) -> DataFrame:
+    """All rules on the key of an entity table, there and in the links that refer to it."""
+    (key,) = PRIMARY_KEYS[parent]
+    others = [c for c in NOT_NULL[parent] if c != key]
+    holders = [
+        (table, column) for table, references in FOREIGN_KEYS.items()
+        for column, to in references.items() if to == parent
+    ]
+    missing = [F.col(c).isNull().alias(f"_no_{c}") for c in others]
+    keys = getattr(t, parent).select(F.col(key).alias("key"), F.lit(0).alias("tag"), *missing)
+    for tag, (table, column) in enumerate(holders, 1):
+        present = [F.lit(False).alias(f"_no_{c}") for c in others]
+        rows = getattr(t, table).select(F.col(column).alias("key"), F.lit(tag).alias("tag"), *present)
+        keys = keys.unionByName(rows)
+    per_key = keys.groupBy("key").agg(
+        *[F.count_if(F.col("tag") == tag).alias(f"_n{tag}") for tag in range(len(holders) + 1)],
+        *[F.count_if(f"_no_{c}").alias(f"_no_{c}") for c in others],
     )
+    named = F.col("key").isNotNull()
+
+    def rows_of(tag: int, where: Column) -> Column:
+        return F.sum(F.when(where, F.col(f"_n{tag}")).otherwise(0))
+
+    rules = {
+        (parent, f"unique({key})"): F.count_if(named & (F.col("_n0") > 1)),
+        (parent, f"not_null({key})"): rows_of(0, ~named),
+        **{(parent, f"not_null({c})"): F.sum(f"_no_{c}") for c in others},
+    }
+    for tag, (table, column) in enumerate(holders, 1):
+        rules[table, f"not_null({column})"] = rows_of(tag, ~named)
+        rules[table, f"references({column} -> {parent})"] = rows_of(tag, named & (F.col("_n0") == 0))
+    return _as_rows(per_key, rules)
+
+
+def _pairs(t: Tables, table: str) -> DataFrame:
+    """Pairs that occur more than once."""
+    key = PRIMARY_KEYS[table]
+    whole = reduce(Column.__and__, [F.col(c).isNotNull() for c in key])
+    per_pair = getattr(t, table).groupBy(*key).agg(F.count("*").alias("_n"))
+    again = F.count_if(whole & (F.col("_n") > 1))
+    return _as_rows(per_pair, {(table, f"unique({', '.join(key)})"): again})
+
+
+def _as_rows(counted: DataFrame, rules: dict[tuple[str, str], Column]) -> DataFrame:
+    """One aggregate per rule as one row per rule."""
+    totals = counted.agg(*[
+        F.coalesce(total, F.lit(0)).alias(f"_{i}") for i, total in enumerate(rules.values())
+    ])
+    return totals.select(F.inline(F.array(*[
+        F.struct(
+            F.lit(table).alias("table"), F.lit(check).alias("check"), F.col(f"_{i}").alias("violations"),
+        )
+        for i, (table, check) in enumerate(rules)
+    ])))
 
 
 class IntegrityError(ValueError):

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 
 from linkloom.operators import cleaning, cube
 from linkloom.operators.quality import (
-    count_columns, counts_frame, drop_report, require_integrity,
+    count_columns, counts_frame, drop_report, reject_columns, rejects_frame, require_integrity,
 )
 from linkloom.plans.cache import ResultCache
 from linkloom.plans.reports import write_chart_data, write_reports
@@ -36,39 +36,38 @@ def run_job(
     snapshots = Snapshots(spark, f"{out_dir}/tables")
     version = snapshots.begin()
     store = snapshots.folder(version)
-    counts = []
+    counts, rejects = [], []
 
-    def entity(table: str, stage: DataFrame) -> None:
+    def store_stage(table: str, stage: DataFrame) -> None:
         # The counts ride with the rows into the writing stage. Spark counts the tasks of
         # that stage once each, even if lost executors make it repeat earlier ones.
         if table == "patents":
             stage = by_year(stage)
-        seen = Observation(f"clean {table}")
-        write_table(stage.observe(seen, *count_columns()).where("_valid"), store, table)
+        seen, dropped = Observation(f"clean {table}"), Observation(f"rejects of {table}")
+        watched = stage.observe(seen, *count_columns()).observe(dropped, *reject_columns(table))
+        write_table(watched.where("_valid"), store, table)
         counts.append((table, seen.get["before"], seen.get["after"]))
-
-    def links(table: str, raw: DataFrame, clean: DataFrame) -> None:
-        write_table(clean, store, table)
-        counts.append((table, raw.count(), read_table(spark, store, table).count()))
+        rejects.extend((table, reason, n) for reason, n in dropped.get.items())
 
     def raw(name: str) -> DataFrame:
         return read_raw(spark, raw_dir, name)
 
-    entity("patents", cleaning.patents_stage(raw("g_patent")))
-    entity("inventors", cleaning.inventors_stage(
+    store_stage("patents", cleaning.patents_stage(raw("g_patent")))
+    store_stage("inventors", cleaning.inventors_stage(
         raw("g_inventor_disambiguated"), literal_nulls=literal_nulls))
-    entity("companies", cleaning.companies_stage(
+    store_stage("companies", cleaning.companies_stage(
         raw("g_assignee_disambiguated"), literal_nulls=literal_nulls))
     patents, inventors, companies = (
         read_table(spark, store, n) for n in ("patents", "inventors", "companies")
     )
-    pairs = raw("g_patent_inventor")
-    links("patent_inventors", pairs, cleaning.clean_patent_inventors(pairs, patents, inventors))
-    pairs = raw("g_patent_assignee")
-    links("patent_companies", pairs, cleaning.clean_patent_companies(pairs, patents, companies))
+    store_stage("patent_inventors", cleaning.patent_inventors_stage(
+        raw("g_patent_inventor"), patents, inventors))
+    store_stage("patent_companies", cleaning.patent_companies_stage(
+        raw("g_patent_assignee"), patents, companies))
 
     tables = read_version(spark, store, unique_links=True, version=version)
     require_integrity(tables)
+    rejects_frame(spark, rejects).coalesce(1).write.parquet(f"{store}/rejects")
     tables = cube.write(tables, f"{store}/cube")
     snapshots.publish(version)
     snapshots.drop_old()

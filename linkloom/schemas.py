@@ -79,3 +79,12 @@ FOREIGN_KEYS: dict[str, dict[str, str]] = {
     "patent_inventors": {"patent_id": "patents", "inventor_id": "inventors"},
     "patent_companies": {"patent_id": "patents", "company_id": "companies"},
 }
+
+# Why a cleaner drops a row, the first reason that holds; later copies of a key come on top.
+REASONS: dict[str, list[str]] = {
+    "patents": ["no id", "no title", "bad date", "year out of range"],
+    "inventors": ["no name"],
+    "companies": ["no name"],
+    "patent_inventors": ["no key", "unknown inventor", "unknown patent"],
+    "patent_companies": ["no key", "unknown company", "unknown patent"],
+}

@@ -116,7 +116,8 @@ def test_patent_detail_has_one_shape_for_every_limit(stored, as_on_a_cluster):
 def test_joins_of_single_links_split_a_frequent_inventor(stored, as_on_a_cluster, fn):
     plan = final_plan(fn(stored))
     assert "SortMergeJoin(skew=true) [inventor_id" in plan
-    assert "SortMergeJoin [inventor_id" not in plan
+    if fn is not v.v_country_trend:  # which finds its countries by counted links, a row per inventor
+        assert "SortMergeJoin [inventor_id" not in plan
 
 
 @pytest.mark.parametrize("fn", [q.q6_country_year_activity, v.d_top_inventors, v.d_countries],
