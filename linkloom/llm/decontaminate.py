@@ -15,11 +15,14 @@ more than half are compared by their words as they stand, in lower case.
 
 Each window has up to three hashes: of its template, of the template in which capitalised words
 that begin a sentence are names too, and of its words in lower case, which finds copies in other
-case. ``COMMON`` words are never names at the beginning of a sentence. Where more than a quarter of the
-words within sentences have capitals, as in languages that write all nouns so, capitals make no names.
+case. ``COMMON`` words are never names at the beginning of a sentence. Where more than a fifth of the
+words have capitals within sentences, as in languages that write all nouns so, capitals make no names.
 
-Only documents with as many words in a row as a window has, each known to the benchmark or a possible
-placeholder, are looked at by windows; a bitmap of fixed size tells known words. Windows that more
+Each item window names three of its literal words that stand together, or fewer if it has no three. A
+document's windows are made only around such words, which a set or a bitmap of fixed size tells; a document
+without any has no template made at all. Equal windows hold the same words, so none is missed.
+
+Windows that more
 than ``MAX_SHARED`` items hold, such as an instruction that all begin with, do not bring documents and
 items together where they cover too little of an item by themselves; they count for pairs that other
 windows found. So a sentence of many items makes no pairs of all that quote it.
@@ -37,6 +40,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from functools import reduce
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -45,8 +49,9 @@ from linkloom.llm.store import Store
 
 MAX_BLOCK = 500_000
 MAX_SHARED = 16
-# Bits of the map of known words: 512 kB.
-KNOWN_BITS = 1 << 22
+# So many marks are looked up as a set, more in a map of bits: 512 kB.
+MAX_SET = 20_000
+MAP_BITS = 1 << 22
 
 # One or two words are no sign of a leak within a longer text.
 LEAST_WORDS = 3
@@ -104,37 +109,44 @@ def _words(c: Column) -> Column:
 
 
 _WORD = r"\p{Lu}[\p{Ll}\p{M}]+(?!\p{L})"
-_FIRST_WORD = rf"(?<!\p{{L}})(?!(?i:{'|'.join(COMMON)})(?!\p{{L}})){_WORD}"
+_FIRST_WORD = rf"(?<!\p{{L}})(?=\p{{Lu}})(?!(?i:{'|'.join(COMMON)})(?!\p{{L}})){_WORD}"
 
 
 _WITHIN = r"(?<=[\p{Ll},;] )"
 
 
-def _has_names(c: Column) -> Column:
-    """Whether capitals within sentences are few enough to be those of names."""
-    capitals = F.regexp_count(c, F.lit(f"{_WITHIN}{_WORD}"))
-    return (capitals < 4) | (4 * capitals <= F.regexp_count(c, F.lit(rf"{_WITHIN}\p{{L}}")))
+def _has_names(spaced: Column, words: Column) -> Column:
+    """Whether capitals within sentences are few enough among the words to be those of names."""
+    capitals = F.regexp_count(spaced, F.lit(f"{_WITHIN}{_WORD}"))
+    return (capitals < 4) | (5 * capitals <= F.size(words))
 
 
-def _placed(c: Column) -> Column:
+def _placed(spaced: Column, names: Column) -> Column:
     """The text with placeholders; names are capitalised words that go on within a sentence."""
-    spaced = _spaced(c)
-    named = F.when(_has_names(c), F.regexp_replace(spaced, f"{_WITHIN}{_WORD}", NAME)).otherwise(spaced)
+    named = F.when(names, F.regexp_replace(spaced, f"{_WITHIN}{_WORD}", NAME)).otherwise(spaced)
     number = F.regexp_replace(named, r"[0-9][0-9·]*", NUMBER)
     units = "|".join(sorted(UNITS, key=lambda u: (-len(u), u)))
     unit = F.regexp_replace(number, rf"(?i)(?<={NUMBER} )(?:{units})(?!\p{{L}})", UNIT)
-    return _if_digits(c, unit, named)
+    return _if_digits(spaced, unit, named)
 
 
 def template(c: Column) -> Column:
     """The words of a text in lower case, with placeholders."""
-    return _words(F.lower(_placed(c)))
+    spaced = _spaced(c)
+    return _words(F.lower(_placed(spaced, _has_names(spaced, _words(spaced)))))
+
 
+_MARK = "struct<kind:int,words:array<string>>"
+_KEYS = "array<struct<p:int,n:int,hash:bigint,slots:array<string>,mark:struct<kind:int,words:array<string>>>>"
 
-def _windows(text: Column, window: int, lengths: list[int] | None = None) -> Column:
-    """``p``, ``n``, ``hash`` and ``slots`` of every window of ``n`` words from place ``p``, one
-    for each of its hashes; fewer words than a window make one. ``lengths`` are those of further
-    windows.
+
+def _windows(
+    text: Column, window: int, lengths: list[int] | None = None, marks: Marks | None = None
+) -> Column:
+    """``p``, ``n``, ``hash``, ``slots`` and ``mark`` of every window of ``n`` words from place
+    ``p``, one for each of its hashes; fewer words than a window make one. ``lengths`` are those of
+    further windows. ``mark`` is what :func:`_mark` makes of the window; with ``marks`` only windows
+    that hold one of them are made, and ``mark`` is null.
 
     ``slots`` has the words that stand for the window's placeholders, none for a window hashed by
     its words. A template with placeholders for more than half of a window has no hash.
@@ -142,11 +154,15 @@ def _windows(text: Column, window: int, lengths: list[int] | None = None) -> Col
     def is_slot(word: Column) -> Column:
         return word.isin(NUMBER, NAME, UNIT)
 
-    def of_length(n: Column, plain: Column, forms: list[tuple[Column, Column]]) -> Column:
+    def of_length(
+        n: Column, plain: Column, forms: list[tuple[Column, Column]], found: Column | None
+    ) -> Column:
         def key(words: Column, p: Column, slots: Column) -> Column:
+            part = F.slice(words, p + 1, n)
+            mark = F.lit(None).cast(_MARK) if marks is not None else _mark(part)
             return F.struct(
-                p.alias("p"), n.alias("n"), F.xxhash64(F.slice(words, p + 1, n)).alias("hash"),
-                slots.alias("slots"),
+                p.alias("p"), n.alias("n"), F.xxhash64(part).alias("hash"), slots.alias("slots"),
+                mark.alias("mark"),
             )
 
         none = F.array().cast("array<string>")
@@ -165,74 +181,125 @@ def _windows(text: Column, window: int, lengths: list[int] | None = None) -> Col
                 F.array_compact(F.slice(values, p + 1, n)) for _, values in forms
             ]), keys)
 
-        starts = F.sequence(F.lit(0), F.size(plain) - n)
+        if found is None:
+            starts = F.sequence(F.lit(0), F.size(plain) - n)
+        else:
+            starts = F.array_distinct(F.flatten(F.transform(found, lambda i: F.sequence(
+                F.greatest(i - n + 1, F.lit(0)), F.least(i, F.size(plain) - n)
+            ))))
         if not forms:
             return F.transform(starts, lambda p: key(plain, p, none))
         return F.flatten(F.transform(starts, at))
 
-    def every(plain: Column, forms: list[tuple[Column, Column]]) -> Column:
+    def every(
+        plain: Column, forms: list[tuple[Column, Column]], found: Column | None
+    ) -> Column:
         usual = F.least(F.size(plain), F.lit(window))
         if not lengths:
-            return of_length(usual, plain, forms)
+            return of_length(usual, plain, forms, found)
         shorter = F.filter(F.array(*map(F.lit, lengths)), lambda n: n < usual)
         sizes = F.concat(F.array(usual), shorter)
-        return F.flatten(F.transform(sizes, lambda n: of_length(n, plain, forms)))
+        return F.flatten(F.transform(sizes, lambda n: of_length(n, plain, forms, found)))
 
     def values(words: Column, plain: Column) -> Column:
         return F.zip_with(words, plain, lambda word, value: F.when(is_slot(word), value))
 
-    def whole(texts: Column) -> Column:
+    def whole(spaced: Column, plain: Column, found: Column | None) -> Column:
         def slotted(v: Column) -> Column:
             forms = [(v[1], v[3]), (v[2], v[4])]
-            return F.when(F.exists(v[2], is_slot), every(v[0], forms)).otherwise(every(v[0], []))
+            return F.when(F.exists(v[2], is_slot), every(v[0], forms, found)) \
+                .otherwise(every(v[0], [], found))
 
         def with_values(words: Column) -> Column:
             added = [values(words[k], words[0]) for k in (1, 2)]
             return _bind(F.array(words[0], words[1], words[2], *added), slotted)
 
-        first = F.when(texts[2] == "y", F.regexp_replace(texts[1], _FIRST_WORD, NAME)).otherwise(texts[1])
-        return _bind(F.array(*[_words(F.lower(x)) for x in (texts[0], texts[1], first)]), with_values)
-
-    names = F.when(_has_names(text), "y").otherwise("n")
-    return _bind(F.array(_spaced(text), _placed(text), names), whole)
-
-
-def _known_words(items: DataFrame) -> Column:
-    """The words of all items and all units as a map of ``KNOWN_BITS`` bits, a scalar subquery."""
-    spark = items.sparkSession
-    words = items.select(F.explode(_words(F.lower(_spaced(F.col("t"))))).alias("w"))
-    words = words.unionByName(spark.createDataFrame([(u,) for u in UNITS], "w string"))
-    bits = words.select(F.pmod(F.xxhash64("w"), F.lit(KNOWN_BITS)).alias("b")).distinct()
-    slots = bits.groupBy(F.shiftright("b", 6).alias("slot")).agg(
-        F.bit_or(F.expr("shiftleft(1L, CAST(b & 63 AS INT))")).alias("set")
-    ).collect()
-    known = [0] * (KNOWN_BITS // 64)
-    for row in slots:
-        known[row["slot"]] = row["set"]
-    return spark.createDataFrame([(known,)], "known array<bigint>").scalar()
-
-
-def _may_hold(text: Column, known: Column, least: int) -> Column:
-    """Whether ``least`` words in a row are known or may be placeholders; true for shorter texts."""
-    def flags(known: Column) -> Column:
-        def flag(word: Column, as_is: Column) -> Column:
-            bit = F.pmod(F.xxhash64(word), F.lit(KNOWN_BITS))
-            there = F.bit_get(
-                F.get(known, F.shiftright(bit, 6).cast("int")), bit.bitwiseAND(F.lit(63)).cast("int")
-            )
-            # All that is not of small letters alone may be a name or a number.
-            odd = as_is.isNull() | as_is.rlike(r"[^\p{Ll}\p{Lo}\p{Lm}\p{M}]")
-            return F.when(odd | (there == 1), "1").otherwise("0")
-
-        def joined(spaced: Column) -> Column:
-            return F.array_join(F.zip_with(_words(F.lower(spaced)), _words(spaced), flag), "")
+        def placed(names: Column) -> Column:
+            def formed(text: Column) -> Column:
+                first = F.when(names, F.regexp_replace(text, _FIRST_WORD, NAME)).otherwise(text)
+                return _bind(F.array(plain, _words(F.lower(text)), _words(F.lower(first))), with_values)
 
-        return _bind(_spaced(text), joined)
+            return _bind(_placed(spaced, names), formed)
 
-    def enough(run: Column) -> Column:
-        return F.contains(run, F.lit("1" * least)) | (F.length(run) < least)
+        return _bind(_has_names(spaced, plain), placed)
 
-    return _bind(_bind(known, flags), enough)
+    def searched(spaced: Column) -> Column:
+        def near(plain: Column) -> Column:
+            places = F.sequence(F.lit(0), F.size(plain) - 1)
+            none = F.array().cast(_KEYS)
+            found = _bind(
+                F.filter(places, lambda i: marks.at(plain, i)),
+                lambda f: F.when(F.size(f) > 0, whole(spaced, plain, f)).otherwise(none),
+            )
+            return F.when(F.size(plain) > 0, found).otherwise(none)
+
+        words = _words(F.lower(spaced))
+        if marks is None:
+            return _bind(words, lambda plain: whole(spaced, plain, None))
+        return _bind(words, near)
+
+    return _bind(_spaced(text), searched)
+
+
+# Which of some words in a row make a mark: the first of these of which a window has literal ones.
+_KINDS = [(0, 1, 2), (0, 1), (0, 2), (0,)]
+def _mark(words: Column) -> Column:
+    """Literal words of a window that tell where to look for it: the longest of the first kind it
+    has; of those as long, the last in order."""
+    def of(kind: int) -> Column:
+        offsets = _KINDS[kind]
+        runs = F.transform(F.sequence(F.lit(0), F.size(words) - 1 - offsets[-1]), lambda i: F.array(
+            *[F.get(words, i + k) for k in offsets]))
+        plain = F.filter(runs, lambda run: ~F.exists(run, lambda w: w.rlike(f"[{NUMBER}{NAME}{UNIT}]")))
+        sized = F.transform(plain, lambda run: F.struct(F.length(F.array_join(run, "")).alias("n"), run.alias("run")))
+        best = F.array_max(sized)["run"]
+        made = F.struct(F.lit(kind).alias("kind"), best.alias("words"))
+        return F.when((F.size(words) > offsets[-1]) & best.isNotNull(), made)
+
+    return F.coalesce(*[of(kind) for kind in range(len(_KINDS))])
+
+
+class Marks(NamedTuple):
+    """Hashes of marks: a set, or a map of ``MAP_BITS`` bits if they are many; and their kinds."""
+
+    hashes: list[int] | None
+    bits: Column
+    kinds: list[int]
+
+    @staticmethod
+    def of(wanted: DataFrame) -> Marks:
+        """The marks of all wanted windows; the map is a scalar subquery, of 64 bits each."""
+        spark = wanted.sparkSession
+        marks = wanted.where(F.col("mark").isNotNull()).select(
+            F.xxhash64("mark.kind", *[F.get("mark.words", F.lit(k)) for k in range(3)]).alias("bit"),
+            "mark.kind",
+        ).distinct()
+        kinds = sorted(marks.agg(F.collect_set("kind")).first()[0])
+        hashes = [r["bit"] for r in marks.select("bit").limit(MAX_SET + 1).collect()]
+        if len(hashes) <= MAX_SET:
+            return Marks(hashes, F.lit(None).cast("array<bigint>"), kinds)
+        slots = marks.groupBy(_slot(F.col("bit")).alias("slot")).agg(
+            F.bit_or(F.expr("shiftleft(1L, CAST(bit & 63 AS INT))")).alias("set")
+        ).collect()
+        known = [0] * (MAP_BITS // 64)
+        for row in slots:
+            known[row["slot"]] = row["set"]
+        return Marks(None, spark.createDataFrame([(known,)], "known array<bigint>").scalar(), kinds)
+
+    def at(self, words: Column, i: Column) -> Column:
+        """Whether a mark begins at a place."""
+        def has(kind: int) -> Column:
+            bit = F.xxhash64(F.lit(kind), *[F.get(words, i + k) for k in _KINDS[kind]])
+            if self.hashes is not None:
+                return bit.isin(self.hashes)
+            slot = F.get(self.bits, _slot(bit))
+            return F.bit_get(slot, bit.bitwiseAND(F.lit(63)).cast("int")) == 1
+
+        return reduce(Column.__or__, map(has, self.kinds), F.lit(False))
+
+
+def _slot(bit: Column) -> Column:
+    return F.shiftrightunsigned(bit, 6).bitwiseAND(F.lit(MAP_BITS // 64 - 1)).cast("int")
 
 
 def _items(benchmark: DataFrame) -> DataFrame:
@@ -243,11 +310,12 @@ def _items(benchmark: DataFrame) -> DataFrame:
 
 
 def _wanted(items: DataFrame, window: int, min_share: float, store: Store) -> DataFrame:
-    """The windows of all items: ``hash``, ``n``, ``item``, ``ip``, ``of_item`` and ``brings``,
-    whether equal windows bring a document and the item together."""
+    """The windows of all items: ``hash``, ``n``, ``item``, ``ip``, ``of_item``, ``mark`` and
+    ``brings``, whether equal windows bring a document and the item together."""
     rows = store.put("item_windows", items.select(
         "item", "length", F.explode(_windows(F.col("t"), window)).alias("w")
-    ).select("w.hash", "w.n", "item", "length", F.col("w.p").alias("ip"), F.col("w.slots").alias("of_item")))
+    ).select("w.hash", "w.n", "item", "length", F.col("w.p").alias("ip"),
+             F.col("w.slots").alias("of_item"), "w.mark"))
     shared = rows.groupBy("hash", "n").agg(F.countDistinct("item").alias("items"))
     shared = store.put("shared_windows", shared.where(F.col("items") > MAX_SHARED).drop("items"))
     marked = rows.join(shared.withColumn("common", F.lit(True)), ["hash", "n"], "left")
@@ -258,7 +326,7 @@ def _wanted(items: DataFrame, window: int, min_share: float, store: Store) -> Da
         F.size(F.array_distinct(F.flatten(runs))).alias("covered")
     ).select("item", (F.col("covered") >= F.lit(min_share) * F.col("length")).alias("alone"))
     return store.put("wanted", marked.join(enough, "item").select(
-        "hash", "n", "item", "ip", "of_item", (~F.col("common") | F.col("alone")).alias("brings")
+        "hash", "n", "item", "ip", "of_item", "mark", (~F.col("common") | F.col("alone")).alias("brings")
     ))
 
 
@@ -279,17 +347,17 @@ def hits(
     wanted = _wanted(items, window, min_share, store)
     short = items.where(F.col("length").between(LEAST_WORDS, window - 1)).select("length").distinct()
     lengths = sorted(r["length"] for r in short.collect())
-    least = min([window, *lengths])
 
-    def windows(of: DataFrame) -> DataFrame:
-        found = of.select("_key", "id", F.explode(_windows(F.col("t"), window, lengths)).alias("w"))
-        return found.select(
+    def windows(of: DataFrame, marks: Marks) -> DataFrame:
+        known = of.withColumn("_marks", marks.bits)
+        made = _windows(F.col("t"), window, lengths, marks._replace(bits=F.col("_marks")))
+        return known.select("_key", "id", F.explode(made).alias("w")).select(
             "_key", "id", F.col("w.p").alias("dp"), "w.hash", "w.n", F.col("w.slots").alias("of_doc")
         )
 
-    asked = docs.withColumn("_known", _known_words(items))
-    places = windows(asked.where(_may_hold(F.col("t"), F.col("_known"), least)).drop("_known"))
     bringing = wanted.where("brings").drop("brings")
+    places = windows(docs, Marks.of(bringing))
+    bringing = bringing.drop("mark")
     blocks = -(-bringing.count() // MAX_BLOCK) or 1
     parts = [
         _equal(places, F.broadcast(
@@ -299,12 +367,14 @@ def hits(
     ]
     found = store.put("hits", reduce(DataFrame.unionByName, parts))
     others = wanted.where("NOT brings").drop("brings")
+    marks = Marks.of(others)
+    others = others.drop("mark")
     if others.isEmpty():
         return found
     met = store.put("met", found.select("_key", "item").distinct().join(
         others.select("item").distinct(), "item", "left_semi"))
     again = docs.join(met.select("_key").distinct(), "_key", "left_semi").dropDuplicates(["_key"])
-    more = windows(again).join(met, "_key")
+    more = windows(again, marks).join(met, "_key")
     return found.unionByName(store.put("more_hits", _equal(more, others, ["item", "hash", "n"])))
 
 
