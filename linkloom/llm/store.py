@@ -19,7 +19,7 @@ class Store:
     def path(self, name: str) -> str:
         return f"{self.root}/{name}"
 
-    def put(self, name: str, frame: DataFrame) -> DataFrame:
+    def put(self, name: str, frame: DataFrame, compression: str = "snappy") -> DataFrame:
         """Write ``frame`` and return the table. It survives the loss of any executor."""
-        frame.write.mode("overwrite").parquet(self.path(name))
+        frame.write.mode("overwrite").parquet(self.path(name), compression=compression)
         return self.spark.read.schema(frame.schema).parquet(self.path(name))

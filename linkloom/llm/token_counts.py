@@ -4,7 +4,10 @@ The histogram has a row per length, however many documents there are. From its s
 follow, for every context limit, how many documents are at least that long, how many tokens
 they have, what is left if all texts are cut there, and every quantile.
 
-Null and empty texts have length 0. Repeated rows count as often as they occur.
+* Null and empty texts have length 0. Repeated rows count as often as they occur; documents of one
+  length share a row, so there are no ties.
+* Long texts are encoded whole; a task holds one text and its tokens. Empty tables give no rows.
+* Only the text and kept columns are read, whatever the names of others.
 """
 
 from __future__ import annotations

@@ -1,22 +1,22 @@
 """Training-order materialisation: token sequences in a keyed random order, in binary shards.
 
-Texts are encoded, ended by an end token, and the tokens of each input partition cut into
-sequences of equal length; the last of a partition is filled with end tokens. Sequences are
-numbered over all partitions. No text has more tokens than bytes, so the sizes of the
-partitions give each a range of numbers that is long enough, and texts need to be encoded only
-once. A keyed Feistel network on the smallest even number of bits permutes more numbers than
-there are, so a number is sent round again until it falls into the range (cycle-walking). That
-is the slot of a sequence; slots of numbers that no sequence takes stay empty.
+Texts are encoded once, ended by an end token, and the tokens of each input partition cut into
+sequences of equal length; the last of a partition is filled with end tokens. The sequences are
+written to a table, counted by partition, and so numbered over all partitions without gaps. A keyed
+Feistel network on the smallest even number of bits permutes more numbers than there are, so a number
+is sent round again until it falls into the range (cycle-walking). That is the slot of a sequence, and
+every slot is taken.
 
 A shard is a file that holds a fixed range of slots, in order. A record is its slot as a 64-bit
 number, the ids as 16-bit numbers, all little-endian, and a line feed, which Spark's text writer
-adds: record ``r`` of a shard begins at ``r`` times the stride, and a reader goes on from any
-slot without an index. Writing is committed by Spark, and lost tasks are written again.
-
-No text is shuffled, only the records. Sizes and texts must come in the same partitions, so
-``docs`` must be a scan of files or of a written table; that a partition outgrows its range is an
-error. Null and empty texts are an end token alone. Repeated rows are written as often as they
-occur.
+adds: slot ``s`` begins at ``s % shard`` times the stride of shard ``s // shard``, so that a reader
+goes on from any slot without an index. The size of every shard is checked when all are written.
+Writing is committed by Spark, and lost tasks are written again.
+
+* Null and empty texts are an end token alone. Repeated rows are written as often as they occur.
+* Long texts are encoded whole; a task holds one text and its tokens.
+* Ties do not arise: the key alone decides the order. Empty tables give one empty shard.
+* Columns other than the text are not read, so their names may be any.
 """
 
 from __future__ import annotations
@@ -26,9 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.llm import byte_tokens
+from linkloom.llm.batches import parts
 from linkloom.llm.store import Store, ship
 
 _ROUNDS = 6
@@ -79,15 +81,41 @@ def unpermute(x: np.ndarray, n: int, key: int) -> np.ndarray:
     return x.astype(np.int64)
 
 
-def _encoded(batches: Iterator[pa.RecordBatch], shared) -> Iterator[tuple[int, bytes]]:
-    """The number of the partition, and the tokens of each text with the end token."""
-    tokens = byte_tokens.loaded(shared)
-    end = np.uint16(tokens.end).tobytes()
-    for batch in batches:
-        part = batch.column(1)[0].as_py() if batch.num_rows else None
-        for at in range(0, batch.num_rows, 256):
-            for text in batch.column(0).slice(at, 256).to_pylist():
-                yield part, tokens.encode(text or "") + end
+def _sequences(docs: DataFrame, shared, length: int, text: str, store: Store) -> DataFrame:
+    """``part``, ``at`` (from 0 in each part) and ``ids`` of every sequence, as a written table."""
+    texts = docs.select(F.col(f"`{text}`").alias("text"), F.spark_partition_id().alias("part"))
+    size = 2 * length
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        part, at, held, waiting = None, 0, [], 0
+        tokens = byte_tokens.loaded(shared)
+        end = np.uint16(tokens.end).tobytes()
+
+        def rows(stream: bytes) -> pa.RecordBatch:
+            count = len(stream) // size
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.full(count, part)), pa.array(np.arange(at, at + count)),
+                pa.array([stream[i * size : (i + 1) * size] for i in range(count)], pa.binary()),
+            ], ["part", "at", "ids"])
+
+        for batch in batches:
+            if batch.num_rows:
+                part = batch.column("part")[0].as_py()
+            for few in parts(batch, pc.binary_length(batch.column("text"))):
+                for string in few.column("text").to_pylist():
+                    held.append(tokens.encode(string or "") + end)
+                    waiting += len(held[-1])
+                if waiting >= 256 * size:
+                    stream = b"".join(held)
+                    whole = len(stream) // size * size
+                    yield rows(stream[:whole])
+                    at += whole // size
+                    held, waiting = [stream[whole:]], len(stream) - whole
+        if stream := b"".join(held):
+            yield rows(stream + end * (-len(stream) % size // 2))
+
+    made = texts.mapInArrow(cut, "part long, at long, ids binary")
+    return store.put("sequences", made, compression="zstd")
 
 
 def materialise(
@@ -97,70 +125,59 @@ def materialise(
     """Write ``path``/shards and ``path``/manifest."""
     spark = docs.sparkSession
     ship(spark)
-    shared = byte_tokens.share(spark, ranks, pattern)
-    texts = docs.select(F.col(f"`{text}`").alias("text"), F.spark_partition_id().alias("part"))
-    size = F.sum(F.coalesce(F.octet_length("text"), F.lit(0)) + 1)
+    table = _sequences(docs, byte_tokens.share(spark, ranks, pattern), length, text, Store(spark))
     # One number per partition.
-    sizes = texts.groupBy("part").agg(size.alias("size")).collect()
-    ranges, n = {}, 0
-    for row in sorted(sizes):
-        ranges[row["part"]] = n, n + -(-row["size"] // length)
-        n = ranges[row["part"]][1]
-    given = spark.sparkContext.broadcast(ranges)
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, limit, size, held, waiting = 0, None, 2 * length, [], 0
+    firsts, n = {}, 0
+    for row in sorted(table.groupBy("part").agg(F.count("*").alias("rows")).collect()):
+        firsts[row["part"]] = n
+        n += row["rows"]
+    given = spark.sparkContext.broadcast(firsts)
 
-        def records(stream: bytes) -> pa.RecordBatch:
-            count = len(stream) // size
-            if at + count > limit:
-                raise ValueError("a partition has other rows than when it was measured")
-            slots = permute(np.arange(at, at + count), n, key)
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            first = np.array([given.value[p] for p in batch.column("part").to_pylist()], np.int64)
+            slots = permute(first + batch.column("at").to_numpy(), n, key)
             made = [
-                slot.tobytes() + stream[i * size : (i + 1) * size]
-                for i, slot in enumerate(slots.astype("<i8"))
+                slot.tobytes() + ids.as_buffer().to_pybytes()
+                for slot, ids in zip(slots.astype("<i8"), batch.column("ids"), strict=True)
             ]
-            return pa.RecordBatch.from_arrays([pa.array(slots), pa.array(made)], ["slot", "record"])
-
-        for part, made in _encoded(batches, shared):
-            if limit is None:
-                at, limit = given.value[part]
-            held.append(made)
-            waiting += len(made)
-            if waiting >= 256 * size:
-                stream = b"".join(held)
-                whole = len(stream) // size * size
-                yield records(stream[:whole])
-                at += whole // size
-                held, waiting = [stream[whole:]], len(stream) - whole
-        if stream := b"".join(held):
-            end = np.uint16(byte_tokens.loaded(shared).end).tobytes()
-            yield records(stream + end * (-len(stream) % size // 2))
+            yield pa.RecordBatch.from_arrays([pa.array(slots), pa.array(made, pa.binary())], ["slot", "record"])
 
-    shards = max(1, -(-n // shard))
-    sequences = texts.mapInArrow(cut, "slot long, record binary")
-    dealt = sequences.repartitionById(shards, F.floor(F.col("slot") / shard).cast("int"))
+    shards, stride = max(1, -(-n // shard)), 2 * length + 9
+    placed = table.mapInArrow(place, "slot long, record binary")
+    dealt = placed.repartitionById(shards, F.floor(F.col("slot") / shard).cast("int"))
     (
         dealt.sortWithinPartitions("slot").select(F.col("record").cast("string"))
         .write.mode("overwrite").option("lineSep", "\n").text(f"{path}/shards")
     )
+    wrong = _shards(spark, path).where(
+        F.col("length") != stride * F.least(F.lit(shard), F.lit(n) - shard * F.col("shard"))
+    ).agg(F.count("*")).first()[0]
+    there = _shards(spark, path).where("length > 0").count()
+    if wrong or there != -(-n // shard):
+        raise ValueError(f"{wrong} of {there} shards are not as long as their slots")
     manifest = {
-        "numbers": n, "length": length, "stride": 2 * length + 9, "shard": shard, "key": key,
+        "numbers": n, "length": length, "stride": stride, "shard": shard, "key": key,
         "rounds": _ROUNDS, "dtype": [["slot", "<i8"], ["ids", "<u2", length], ["end", "u1"]],
     }
     spark.createDataFrame([(json.dumps(manifest),)], "value string").coalesce(1) \
         .write.mode("overwrite").text(f"{path}/manifest")
 
 
+def _shards(spark: SparkSession, path: str) -> DataFrame:
+    """``shard``, ``length`` and ``content`` of every shard; the content is read only if it is used."""
+    number = F.regexp_extract("path", r"part-(\d+)", 1).cast("long")
+    files = spark.read.format("binaryFile").load(f"{path}/shards")
+    return files.select(number.alias("shard"), "length", "content")
+
+
 def read(spark: SparkSession, path: str, first_slot: int = 0) -> DataFrame:
     """``slot``, ``shard``, ``offset`` in the shard, ``sequence`` (its number before the
     permutation) and ``ids`` from ``first_slot`` on. Earlier shards are not opened."""
     ship(spark)
     manifest = json.loads(spark.read.text(f"{path}/manifest").first()[0])
     n, key, stride, shard = (manifest[k] for k in ("numbers", "key", "stride", "shard"))
-    number = F.regexp_extract("path", r"part-(\d+)", 1).cast("long")
-    files = spark.read.format("binaryFile").load(f"{path}/shards").select(number.alias("shard"), "content")
-    files = files.where(F.col("shard") >= first_slot // shard)
+    files = _shards(spark, path).where(F.col("shard") >= first_slot // shard).select("shard", "content")
     names = ["slot", "shard", "offset", "sequence", "ids"]
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -170,7 +187,7 @@ def read(spark: SparkSession, path: str, first_slot: int = 0) -> DataFrame:
                 if content.size % stride:
                     raise ValueError(f"shard {number} does not end with a whole record")
                 records = np.frombuffer(content, np.dtype([("slot", "<i8"), ("rest", f"V{stride - 8}")]))
-                first = int(np.searchsorted(records["slot"], first_slot))
+                first = max(0, first_slot - number * shard)
                 for at in range(first, len(records), 1024):
                     slots = records["slot"][at : at + 1024].astype(np.int64)
                     places = np.arange(at, at + len(slots)) * stride

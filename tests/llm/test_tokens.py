@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import hashlib
 from collections import Counter
 
 import numpy as np
@@ -28,6 +29,25 @@ def test_the_permutation_is_one(n, key):
     assert (order.unpermute(slots, n, key) == np.arange(n)).all()
 
 
+def feistel(x: int, n: int, key: int) -> int:
+    """The slot of a number, with plain numbers."""
+    bits = max(1, (max(n - 1, 1).bit_length() + 1) // 2)
+
+    def mix(x: int, k: int) -> int:
+        x = ((x ^ k) * 0x9E3779B97F4A7C15) % 2**64
+        x = ((x ^ x >> 32) * 0xD6E8FEB86659FD93) % 2**64
+        return x ^ x >> 32
+
+    keys = [mix(i, key % 2**64) for i in range(1, 7)]
+    while True:
+        left, right = x >> bits, x % 2**bits
+        for k in keys:
+            left, right = right, left ^ mix(right, k) % 2**bits
+        x = left << bits | right
+        if x < n:
+            return x
+
+
 def streams(encoder, ids: bytes) -> Counter:
     """The texts' tokens in a stream of sequences, without empty ones."""
     tokens = np.frombuffer(ids, np.uint16)
@@ -44,11 +64,11 @@ def test_shards_hold_every_text_in_the_order_of_the_key(spark, hard_docs, encode
         order.materialise(docs, path, RANKS, PATTERN, key, length=64, shard=100)
         rows = sorted(order.read(spark, path).collect(), key=lambda r: r.sequence)
         assert len({r.sequence for r in rows}) == len({r.slot for r in rows}) == len(rows)
-        by_shard = {}
-        for r in sorted(rows):
-            assert r.shard == r.slot // 100
-            assert r.offset == by_shard.get(r.shard, 0) * 137
-            by_shard[r.shard] = by_shard.get(r.shard, 0) + 1
+        n = len(rows)
+        assert [r.slot for r in sorted(rows)] == list(range(n))
+        for r in rows:
+            assert r.shard == r.slot // 100 and r.offset == r.slot % 100 * 137
+            assert r.slot == feistel(r.sequence, n, key)
         assert streams(encoder, b"".join(r.ids for r in rows)) == want
         slots[key] = [r.slot for r in rows]
         later = order.read(spark, path, first_slot=150).collect()
@@ -114,6 +134,33 @@ def test_query_counts(spark, encoder):
     )
 
 
-def test_query_order(spark):
+def test_query_order(spark, encoder):
+    """Every sequence of the input, at the slot that an independent network gives its number."""
     rows = queries.op1_training_order(spark, SMALL).collect()
-    assert len({r.slot for r in rows}) == len({r.sequence for r in rows}) == len(rows) > 0
+    n = len(rows)
+    assert sorted(r.slot for r in rows) == sorted(r.sequence for r in rows) == list(range(n))
+    for r in rows:
+        assert r.slot == feistel(r.sequence, n, 20240517)
+        assert (r.shard, r.offset) == (r.slot // 8192, r.slot % 8192 * 2057)
+    texts = [r.text or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").collect()]
+    end = np.uint16(encoder.end).tobytes()
+    stream = b"".join(encoder.encode(t) + end for t in texts)
+    stream += end * (-len(stream) // 2 % 1024)
+    want = [hashlib.sha256(stream[i : i + 2048]).hexdigest() for i in range(0, len(stream), 2048)]
+    assert [r.ids_sha256 for r in sorted(rows, key=lambda r: r.sequence)] == want
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t", "\u3000", "\x1c", " \n"])
+@pytest.mark.parametrize("after", ["", "word", "!", "\x1c"])
+def test_long_runs_are_encoded_as_short_ones(encoder, blank, after):
+    plain = encoder.encoding.encode_ordinary
+    for n in (4_999, 5_000, 5_001, 60_000):
+        text = f"a {blank * n}{after} end" if after else f"a{blank * n}"
+        assert encoder.ids(text) == plain(text)
+
+
+@pytest.mark.parametrize("blank", [" ", "\n", "\t"])
+def test_blanks_beyond_the_stack(encoder, blank):
+    text = f"one{blank * 5_000_000}two"
+    ids = encoder.ids(text)
+    assert encoder.encoding.decode(ids) == text and encoder.count(text) == len(ids)
