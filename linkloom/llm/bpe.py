@@ -7,9 +7,12 @@ through all suffixes; the one that is compatible with the last token of the pref
 is stored. Back-pointers from the end of the word give the ids.
 
 Texts are split into words as the vocabulary file says: NFC, white space, lower case, then its
-pattern; the texts of special tokens become their ids. Null and empty texts have no ids, and
-decode to the empty text. Repeated rows are encoded one by one. A text of any length is encoded
-whole; memory holds one text and caches of bounded size.
+pattern; the texts of special tokens become their ids.
+
+* Null and empty texts have no ids, and decode to the empty text. Repeated rows are encoded one by one.
+* The encoding of a word is unique, so there are no ties. Empty tables give no rows.
+* A text of any length is encoded whole; memory holds one text and caches of bounded size.
+* Kept columns may have any names but those of the result.
 """
 
 from __future__ import annotations

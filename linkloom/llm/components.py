@@ -1,7 +1,8 @@
 """Connected components of a table of links, by large-star and small-star steps.
 
-Each step is an aggregation and a join on the node, so a node with very many links is folded in
-each task and its rows may be split. The links of every round are written to the shared folder.
+Each step is an aggregation, written to the shared folder, and a join with it on the node. A node with
+very many links is folded in each task, and as both sides of the join are plain shuffles of written
+tables, its rows may be split.
 """
 
 from __future__ import annotations
@@ -11,12 +12,12 @@ from pyspark.sql import DataFrame, functions as F
 from linkloom.llm.store import Store
 
 
-def _stars(links: DataFrame, both: bool) -> DataFrame:
+def _stars(links: DataFrame, both: bool, store: Store, name: str) -> DataFrame:
     """Tie neighbours to the smallest one around each node: the larger ones (``both``: links
     are read in both directions), or the node itself and its smaller ones."""
     if both:
         links = links.union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m"))
+    least = store.put(name, links.groupBy("a").agg(F.least(F.col("a"), F.min("b")).alias("m")))
     if not both:
         itself = links.select("a", F.col("a").alias("b"))
         links = links.union(itself)
@@ -38,5 +39,5 @@ def components(links: DataFrame, store: Store, name: str) -> DataFrame:
             return now
         seen = tuple(mark)
         step += 1
-        large = _stars(now, both=True)
-        now = store.put(f"{name}_{step}", _stars(large, both=False))
+        large = store.put(f"{name}_large_{step}", _stars(now, True, store, f"{name}_least_{step}"))
+        now = store.put(f"{name}_{step}", _stars(large, False, store, f"{name}_smallest_{step}"))

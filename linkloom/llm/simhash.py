@@ -11,9 +11,14 @@ through the fingerprints at half the distance instead, which gives the same comp
 fingerprints differ in at most d bits exactly if some third differs from one of them in at most
 half of d, rounded down, and from the other in at most the rest.
 
-Equal fingerprints are folded before all that, so copies cost nothing. Null and empty texts
-have the fingerprint 0 and are linked like others. A null id is kept; it never names a component
-unless all ids of that component are null. Repeated rows are returned as often as given.
+Equal fingerprints are folded before all that, so copies cost nothing. Near copies are what the bit
+distance says: a copy with a few other words often differs in more than two bits and is not linked.
+
+* Null and empty texts have the fingerprint 0 and are linked like others.
+* A null id is kept; it never names a component unless all ids of that component are null. Ties do not
+  arise, as the smallest id names a component. Repeated rows are returned as often as given.
+* Long texts are hashed in pieces of shingles; a task holds one text and its words.
+* Empty tables give no rows. Only key and text are read, so other columns may have any names.
 """
 
 from __future__ import annotations
@@ -117,7 +122,8 @@ def links(prints: DataFrame, distance: int, store: Store, max_cell: int = MAX_CE
     named by a hash; a collision only adds pairs that the distance then rejects.
     """
     table = store.put("cells", cells(prints, distance))
-    size = table.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1")
+    # Written, so that the join may split the rows of a crowded cell.
+    size = store.put("sizes", table.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1"))
     table = store.put("shared_cells", table.join(size, "cell"))
     small = table.where(F.col("n") <= max_cell)
     pairs = (

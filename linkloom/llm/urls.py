@@ -3,9 +3,11 @@
 The labelled URLs are those that a rule judges. The trees see lexical features: length, depth,
 shares of digits, entropy, parameters, and how frequent the host's suffix is and how often blocked.
 
-A null URL, or one without ``://``, has an empty host and path; only a rule for neither could fit
-it, so the trees judge it. Without labelled URLs of both kinds the rest is allowed. Repeated
-URLs are judged alike.
+* A null URL, or one without ``://``, has an empty host and path; only a rule for neither could fit
+  it, so the trees judge it. Repeated URLs are judged alike.
+* Of rules that fit, the one longest in host and path together wins; of ties that of the longer host.
+* Without labelled URLs of both kinds the rest is allowed. Empty tables give no rows.
+* Long URLs are read whole. Other columns stay as they are, whatever their names.
 """
 
 from __future__ import annotations

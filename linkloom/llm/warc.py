@@ -7,8 +7,10 @@ rounds as the logarithm of its records, marks what the chain reaches. Version li
 payloads are not reached; they are put back into the record that holds them. A chain that does
 not end at the end of its file is an error, so truncated archives do not lose records silently.
 
-A null payload is empty. Rows with a null id are responses, as nothing could refer to them, and
-so are all rows repeated under the smallest id of their payload. A null target is left out.
+* A null payload is empty, a null target is left out. Rows with a null id are responses, as nothing
+  could refer to them, and so are, of ties, all rows repeated under the smallest id of their payload.
+* A long payload is one row of text, so at most 2 GB. Empty tables make archives without records.
+* Other columns are not written, so their names may be any.
 """
 
 from __future__ import annotations
@@ -208,9 +210,10 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     pieces = store.put("pieces", owned.join(several, ["file", "owner"]))
     place = ["file", "block", "seq"]
     payload = F.substring("body", (F.col("head") + 1).cast("int"), F.col("length").cast("int"))
-    starts = blocks.select("file", "block", "base")
+    # A row for each block of a file. Written, so that its size decides how it is joined.
+    starts = store.put("starts", blocks.select("file", "block", "base"))
     single = (
-        segments.join(F.broadcast(starts), ["file", "block"])
+        segments.join(starts, ["file", "block"])
         .withColumn("offset", offset).where("offset >= 0")
         .join(pieces.select(*place), place, "left_anti")
         .select("file", "offset", "fields", payload.alias("payload"))
