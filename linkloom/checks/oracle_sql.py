@@ -458,6 +458,10 @@ ORACLE_SQL: dict[str, str] = {
 }
 
 ORACLE_SQL |= {
+    "s_bitmap_countries": _m("""
+        SELECT country, count(DISTINCT patent_id) AS patent_count FROM ilinks
+        WHERE country <> 'UNKNOWN' GROUP BY country
+    """),
     "d_cached_countries": ORACLE_SQL["d_countries"],
     "s_export_file": ORACLE_SQL["d_countries"],
     "s_export_inventors": ORACLE_SQL["d_top_inventors"],

@@ -9,7 +9,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.functions import text
-from linkloom.operators import cleaning, cube, quality
+from linkloom.operators import bitmaps, cleaning, cube, quality
 from linkloom.operators.dedup import kept
 from linkloom.plans import queries as q
 from linkloom.plans import reports as r
@@ -75,6 +75,15 @@ def _cached_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
     return page
 
 
+def _bitmap_countries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct patents per country from links that arrive in two overlapping parts."""
+    store, t = scratch_path(spark), star.model_tables(spark, sf_dir)
+    part = F.pmod(F.xxhash64("patent_id", "inventor_id"), F.lit(4))
+    for some in (part < 3, part > 0):
+        bitmaps.add(store, t.patent_inventors.where(some), t.inventors)
+    return bitmaps.country_counts(spark, store)
+
+
 def _ids_as_text(frame: DataFrame) -> DataFrame:
     return frame.withColumns(
         {c: F.col(c).cast("string") for c in frame.columns if c.endswith("_id")})
@@ -266,6 +275,7 @@ QUERIES: dict[str, Query] = {
     "d_cube_companies": _cube("company_years"),
     "d_cube_countries": _cube("country_years"),
     "d_cached_countries": _cached_countries,
+    "s_bitmap_countries": _bitmap_countries,
     "c_patents": _clean_patents,
     "c_inventors": _clean("inventors"),
     "c_companies": _clean("companies"),
