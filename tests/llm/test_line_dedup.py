@@ -10,8 +10,8 @@ from linkloom.llm import line_dedup, queries
 from linkloom.llm.store import Store
 
 
-def expected(texts: list[str | None], m: int) -> list[str | None]:
-    """Delete by looking up every run of m lines, in the order given."""
+def expected(texts: list[str | None], m: int, min_words: int | None = None) -> list[str | None]:
+    """Delete by looking up every run of m lines, and every line of ``min_words``, in the order given."""
     seen, out = set(), []
     gone_of = []
     for text in texts:
@@ -23,11 +23,25 @@ def expected(texts: list[str | None], m: int) -> list[str | None]:
             if run in seen:
                 gone |= set(places[i : i + m])
             seen.add(run)
+        for p in places if min_words else []:
+            if len(lines[p].encode().split()) >= min_words:
+                if lines[p] in seen:
+                    gone.add(p)
+                seen.add(lines[p])
         gone_of.append(gone)
         out.append(None if text is None else "\n".join(x for i, x in enumerate(lines) if i not in gone))
     return out
 
 
+def test_runs_and_long_lines_together(spark):
+    r = random.Random(9)
+    words = [" ".join(r.choice("xyz") for _ in range(r.choice([1, 2, 6, 7]))) for _ in range(30)]
+    texts = ["\n".join(r.choice(words) for _ in range(r.randint(0, 12))) for _ in range(80)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(4)
+    rows = sorted(line_dedup.delete_repeated_runs(frame, 2, min_words=6).collect())
+    assert [row.text for row in rows] == expected(texts, 2, 6)
+
+
 @pytest.mark.parametrize("m", [1, 2, 3, 5])
 def test_equals_looking_up_every_run(spark, m):
     r = random.Random(m)

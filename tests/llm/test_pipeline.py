@@ -35,7 +35,7 @@ def test_rules_keep_what_the_query_keeps(spark, stages):
 
 def test_lines(stages):
     before = sorted(stages[1].collect(), key=lambda r: r.doc_id)
-    want = without_repeated_runs([r.text for r in before], 2)
+    want = without_repeated_runs([r.text for r in before], 2, 50)
     want = {
         r.doc_id: t for r, t in zip(before, want, strict=True) if t == r.text or (t or "").strip()
     }
