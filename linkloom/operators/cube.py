@@ -33,7 +33,8 @@ def build(t: Tables) -> dict[str, DataFrame]:
     firms = t.patent_companies.join(years, "patent_id", "left")
     homes = counting.homes(t.inventors)
     # The year belongs to the patent, so it splits no pair in two.
-    placed = people.join(homes, "inventor_id").select("country", "year", "patent_id").distinct()
+    cells = ["country", "year", "patent_id"]
+    placed = files.spread(people.join(homes, "inventor_id").select(*cells), *cells).distinct()
     return {
         "inventor_years": _cells(t, people, "inventor_id"),
         "company_years": _cells(t, firms, "company_id"),

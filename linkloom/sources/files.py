@@ -4,7 +4,13 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+# Files of a frame that are asked for their size; more are taken to be as large as these on average.
+_ASKED = 1000
+# So much of the files a frame is read from makes one task of :func:`spread`, some half a million
+# links, up to so many tasks or as many as the session gives to a shuffle.
+_EACH, _MOST = 8 << 20, 4096
 
 
 def _located(spark: SparkSession, path: str):
@@ -49,3 +55,27 @@ def version_of(spark: SparkSession, paths: list[str]) -> str:
             lines.append(f"{status.getPath()} {status.getLen()} {status.getModificationTime()}")
         seen.update("\n".join([path, *sorted(lines), ""]).encode())
     return seen.hexdigest()[:32]
+
+
+def size_of(frame: DataFrame) -> int:
+    """Bytes of the files that a frame is read from; 0 if it is read from none."""
+    spark, paths = frame.sparkSession, sorted(frame.inputFiles())
+    total = 0
+    for path in paths[:_ASKED]:
+        where, files = _located(spark, path)
+        total += files.getFileStatus(where).getLen()
+    return total * len(paths) // max(1, min(len(paths), _ASKED))
+
+
+def spread(frame: DataFrame, *keys: str) -> DataFrame:
+    """``frame`` dealt out by ``keys`` to tasks whose number grows with the files it is read from, so
+    that what a task holds of it does not. AQE would merge them up to its advisory size, which is of
+    packed bytes: an aggregate of many small keys takes some thirty times that in memory.
+
+    Rows are dealt out as they are, so take keys of which single ones have few rows of all.
+    """
+    tasks = -(-size_of(frame) // _EACH)
+    if not tasks:
+        return frame.repartition(*keys)
+    most = max(_MOST, int(frame.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    return frame.repartition(min(tasks, most), *keys)

@@ -5,11 +5,11 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
-from linkloom.operators import cleaning, quality
+from linkloom.operators import cleaning, cube, quality
 from linkloom.plans import queries as q
 from linkloom.plans import reports as r
 from linkloom.plans import trends as v
-from linkloom.sources import star
+from linkloom.sources import files, star
 from linkloom.sources.delimited import ORDINAL
 from linkloom.sources.parquet import by_year, write_tables
 from linkloom.tables import Tables
@@ -191,3 +191,30 @@ def test_a_large_year_is_written_by_several_tasks(spark, conf, tmp_path):
     files = {d.name: len(list(d.glob("*.parquet"))) for d in (tmp_path / "p").glob("year=*")}
     assert files.pop("year=2020") > 3
     assert set(files.values()) == {1}
+
+
+def dealt_by_number(plan: str) -> list[int]:
+    return [int(n) for n in re.findall(r"hashpartitioning\([^)]*, (\d+)\), REPARTITION_BY_NUM", plan)]
+
+
+def test_tasks_of_the_cube_grow_with_the_files(stored, as_on_a_cluster, monkeypatch):
+    """Distinct pairs of a country and a patent are held by more tasks, not by larger ones."""
+    size = files.size_of(cube.build(stored)["country_years"])
+    assert size > 500_000
+    for tasks in (3, 50):
+        monkeypatch.setattr(files, "_EACH", -(-size // tasks))
+        assert dealt_by_number(final_plan(cube.build(stored)["country_years"])) == [tasks]
+
+
+def test_tasks_of_integrity_grow_with_the_files(spark, monkeypatch):
+    size = files.size_of(star.model_tables(spark, SF).patent_inventors)
+    for tasks in (3, 50):
+        monkeypatch.setattr(files, "_EACH", -(-size // tasks))
+        found = dealt_by_number(final_plan(quality.integrity(star.model_tables(spark, SF))))
+        assert found and {*found} == {tasks}
+
+
+def test_frames_without_files_are_spread_too(spark):
+    frame = spark.range(10).union(spark.range(10))
+    assert files.size_of(frame) == 0
+    assert files.spread(frame, "id").distinct().count() == 10
