@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from linkloom.functions.text import missing_to_null
 from linkloom.schemas import UNKNOWN
+from linkloom.sources import files
 from linkloom.sources.delimited import ORDINAL
 from linkloom.tables import Tables
 
@@ -52,9 +53,9 @@ def model_tables(spark: SparkSession, sf_dir: str) -> Tables:
         patents=patents,
         inventors=_people(read("supplier"), read("nation"), "s", "s_suppkey", "inventor_id"),
         companies=_people(read("customer"), read("nation"), "c", "c_custkey", "company_id"),
-        patent_inventors=lines.select(
+        patent_inventors=files.spread(lines.select(
             F.col("l_orderkey").alias("patent_id"), F.col("l_suppkey").alias("inventor_id")
-        ).where("patent_id IS NOT NULL AND inventor_id IS NOT NULL").distinct(),
+        ).where("patent_id IS NOT NULL AND inventor_id IS NOT NULL"), "patent_id", "inventor_id").distinct(),
         patent_companies=orders.select(
             F.col("o_orderkey").alias("patent_id"), F.col("o_custkey").alias("company_id")
         ).where("patent_id IS NOT NULL AND company_id IS NOT NULL"),
