@@ -51,9 +51,11 @@ def _patterns(sep: str) -> tuple[str, str]:
 @dataclass(frozen=True)
 class Blocks:
     """For each block (hash of the file's path, first byte): the number of its first line, whether
-    that lies within quotes, and whether the file's lines end with a carriage return."""
+    that lies within quotes, and whether the file's lines end with a carriage return; and how many of
+    its lines end the record of the block before, and from which on they belong to the next one's."""
 
     starts: dict[tuple[int, int], tuple[int, bool, bool]]
+    cuts: dict[tuple[int, int], tuple[int, int]]
 
     @property
     def broken(self) -> bool:
@@ -94,24 +96,38 @@ def _after(turns: np.ndarray, inside: bool) -> np.ndarray:
     return base ^ ((turned - np.where(known, turned[last], 0)) % 2 == 1)
 
 
-def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Per block: the number of lines, its state if it began outside or inside, its first line's end."""
-    now, rows = None, []
+def _before(after: np.ndarray, inside: bool) -> np.ndarray:
+    return np.concatenate(([inside], after[:-1]))
+
 
-    def done() -> pa.RecordBatch:
-        names = ["file", "block", "lines", "outside", "inside", "cr"]
-        return pa.RecordBatch.from_pydict({n: [r[i] for r in rows] for i, n in enumerate(names)})
+_SUMS = {
+    "file": pa.int64(), "block": pa.int64(), "lines": pa.int64(), "outside": pa.bool_(),
+    "inside": pa.bool_(), "cr": pa.bool_(), "ends": pa.int64(), "opens": pa.int64(), "opens_in": pa.int64(),
+}
 
+
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Per block: the number of lines, its state if it began outside or inside, its first line's end;
+    of how many lines a record that goes on from the block before has the end here (-1: none), and
+    which line begins the last record of several lines (-1: none), for both states."""
+    now, rows = None, []
     for batch in batches:
         turns, cr = batch.column("turns").to_numpy(), batch.column("cr")
         for key, a, b in _runs(batch):
             if key != now:
                 now = key
-                rows.append([*key, 0, False, True, cr[a].as_py()])
+                rows.append([*key, 0, False, True, cr[a].as_py(), -1, -1, -1])
             row = rows[-1]
+            for state, opens in ((3, 7), (4, 8)):
+                after = _after(turns[a:b], row[state])
+                if len(begun := np.flatnonzero(~_before(after, row[state]) & after)):
+                    row[opens] = row[2] + int(begun[-1])
+                if state == 4 and row[6] < 0 and len(ended := np.flatnonzero(~after)):
+                    row[6] = row[2] + int(ended[0]) + 1
+                row[state] = bool(after[-1])
             row[2] += b - a
-            row[3], row[4] = (bool(_after(turns[a:b], state)[-1]) for state in row[3:5])
-    yield done()
+    yield pa.RecordBatch.from_arrays(
+        [pa.array([r[i] for r in rows], t) for i, t in enumerate(_SUMS.values())], list(_SUMS))
 
 
 def _blocks(spark: SparkSession, path: str, lines: DataFrame) -> Blocks:
@@ -121,16 +137,20 @@ def _blocks(spark: SparkSession, path: str, lines: DataFrame) -> Blocks:
     ).orderBy("path").collect()
     number = {r["file"]: i for i, r in enumerate(files)}
     found = lines.select("file", "block", "turns", "cr").mapInArrow(
-        _summed, "file long, block long, lines long, outside boolean, inside boolean, cr boolean"
+        _summed, "file long, block long, lines long, outside boolean, inside boolean, cr boolean, "
+        "ends long, opens long, opens_in long"
     ).collect()
-    starts, before, n, inside, cr = {}, None, 0, False, False
+    starts, cuts, before, n, inside, cr = {}, {}, None, 0, False, False
     for row in sorted(found, key=lambda r: (number[r["file"]], r["block"])):
         if row["file"] != before:
             before, inside, cr = row["file"], False, row["cr"]
         starts[row["file"], row["block"]] = (n, inside, cr)
         n += row["lines"]
+        ends = 0 if not inside else row["ends"] if row["ends"] >= 0 else row["lines"]
+        opens = row["opens_in"] if inside else row["opens"]
         inside = row["inside"] if inside else row["outside"]
-    return Blocks(starts)
+        cuts[row["file"], row["block"]] = (ends, opens if inside and opens >= 0 else row["lines"])
+    return Blocks(starts, cuts)
 
 
 class _Open:
@@ -149,8 +169,11 @@ class _Open:
         self.lines.append(line[:-1] if self.cr and line.endswith("\r") else line)
         self.size += len(line)
         if self.size > self.most:
-            raise ValueError(f"a record of more than {self.most} letters: a quote in or before line "
-                             f"{self.first + 1} of all files, counted from 1, is not closed")
+            self.too_long(self.first)
+
+    def too_long(self, first: int) -> None:
+        raise ValueError(f"a record of more than {self.most} letters: a quote in or before line "
+                         f"{first + 1} of all files, counted from 1, is not closed")
 
     def take(self, kind: int) -> tuple:
         made = ("\n".join(self.lines), self.first, kind, self.first == self.head, self.file)
@@ -165,59 +188,98 @@ _KINDS = dict(zip(
 ))
 
 
-def _joined(blocks: Blocks, pieces: bool, most: int):
-    """Whole records, or with ``pieces`` only the pieces of records that cross a border."""
+def _rows(made: list[tuple]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays(
+        [pa.array([x[i] for x in made], t) for i, t in enumerate(_KINDS.values())], list(_KINDS))
+
+
+def _whole(blocks: Blocks, most: int):
+    """The records that begin and end in one block."""
 
-    def alone(state: _Open, text: pa.Array, mask: np.ndarray) -> pa.RecordBatch:
-        """Lines that are records."""
-        picked = np.flatnonzero(mask)
-        lines = text.filter(pa.array(mask))
-        if state.cr:
-            lines = pc.replace_substring_regex(lines, "\r$", "")
-        places = state.place + picked
+    def rows(state: _Open, text: pa.Array, first: np.ndarray) -> pa.RecordBatch:
+        places = state.place + first
         return pa.RecordBatch.from_arrays([
-            lines, pa.array(places), pa.array(np.full(len(picked), _WHOLE, np.int32)),
-            pa.array(places == state.head), pa.array(np.full(len(picked), state.file)),
+            text, pa.array(places), pa.array(np.full(len(first), _WHOLE, np.int32)),
+            pa.array(places == state.head), pa.array(np.full(len(first), state.file)),
         ], list(_KINDS))
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        state, spare = None, []
-
-        def out() -> pa.RecordBatch:
-            kept = [x for x in spare if (x[2] != _WHOLE) == pieces]
-            spare.clear()
-            return pa.RecordBatch.from_arrays(
-                [pa.array([x[i] for x in kept], t) for i, t in enumerate(_KINDS.values())],
-                list(_KINDS),
-            )
+    def bare(state: _Open, text: pa.Array) -> pa.Array:
+        return pc.replace_substring_regex(text, "\r$", "") if state.cr else text
+
+    def several(state: _Open, text: pa.Array, first: np.ndarray, last: np.ndarray) -> pa.Array:
+        """The lines from each ``first`` to its ``last`` as one text."""
+        many = last - first + 1
+        ends = np.cumsum(many)
+        at = np.arange(ends[-1]) + np.repeat(first - ends + many, many)
+        lines = text.take(pa.array(at))
+        sizes = np.add.reduceat(pc.utf8_length(lines).to_numpy(), ends - many)
+        if (sizes > most).any():
+            state.too_long(state.place + int(first[np.argmax(sizes > most)]))
+        offsets = pa.array(np.concatenate(([0], ends)), pa.int32())
+        return pc.binary_join(pa.ListArray.from_arrays(offsets, bare(state, lines)), "\n")
 
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state = None
         for batch in batches:
             turns, text = batch.column("turns").to_numpy(), batch.column("line")
             for key, a, b in _runs(batch):
                 if state is None or key != (state.file, state.begin):
-                    if state and state.lines:
-                        spare.append(state.take(state.kind))
                     state = _Open(key, blocks.starts[key], most)
                 after = _after(turns[a:b], state.inside)
-                before = np.concatenate(([state.inside], after[:-1]))
-                if not pieces:
-                    yield alone(state, text[a:b], ~before & ~after)
-                for i in np.flatnonzero(before | after).tolist():
-                    if not before[i]:
-                        state.kind = _BEGINS
-                    state.add(state.place + i, text[a + i].as_py())
-                    if not after[i]:
-                        spare.append(state.take(_WHOLE if state.kind == _BEGINS else _GOES_ON))
+                before = _before(after, state.inside)
+                lines = text[a:b]
+                single = ~before & ~after
+                yield rows(state, bare(state, lines.filter(pa.array(single))), np.flatnonzero(single))
+                first, last = np.flatnonzero(~before & after), np.flatnonzero(before & ~after)
+                if before[0]:
+                    # A record that was begun before: all of the lines here, or those to its end.
+                    end = int(last[0]) + 1 if len(last) else b - a
+                    last = last[1:]
+                    for i in range(end):
+                        state.add(state.place + i, lines[i].as_py())
+                    if not after[end - 1]:
+                        made = state.take(_WHOLE)
+                        if state.kind == _BEGINS:
+                            yield _rows([made])
+                begun, first = first[len(last):], first[:len(last)]
+                if len(first):
+                    yield rows(state, several(state, lines, first, last), first)
+                if len(begun):
+                    state.kind = _BEGINS
+                    for i in range(int(begun[0]), b - a):
+                        state.add(state.place + i, lines[i].as_py())
                 state.inside, state.place = bool(after[-1]), state.place + b - a
-            if spare:
-                yield out()
-        if state and state.lines:
-            spare.append(state.take(state.kind))
-        yield out()
 
     return join
 
 
+def _pieces(blocks: Blocks, most: int):
+    """The pieces of records that cross a border; the first pass has told which lines they are."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        state, at = None, 0
+        for batch in batches:
+            text = batch.column("line")
+            for key, a, b in _runs(batch):
+                if state is None or key != (state.file, state.begin):
+                    if state and state.lines:
+                        yield _rows([state.take(state.kind)])
+                    state, at = _Open(key, blocks.starts[key], most), 0
+                    ends, opens = blocks.cuts[key]
+                for i in range(at, min(ends, at + b - a)):
+                    state.add(state.place + i, text[a + i - at].as_py())
+                if state.lines and ends <= at + b - a and state.kind == _GOES_ON:
+                    yield _rows([state.take(_GOES_ON)])
+                for i in range(max(opens, at), at + b - a):
+                    state.kind = _BEGINS
+                    state.add(state.place + i, text[a + i - at].as_py())
+                at += b - a
+        if state and state.lines:
+            yield _rows([state.take(state.kind)])
+
+    return cut
+
+
 def read_records(
     spark: SparkSession, path: str, sep: str, max_record: int = MAX_RECORD
 ) -> DataFrame:
@@ -232,13 +294,15 @@ def read_records(
     lines = _lines(spark, path, sep)
     blocks = _blocks(spark, path, lines)
     columns = ["record", "place", "head"]
-    whole = lines.mapInArrow(_joined(blocks, False, max_record), _SHAPE).select(*columns)
+    whole = lines.mapInArrow(_whole(blocks, max_record), _SHAPE).select(*columns)
     if not blocks.broken:
         return whole
     # At most two pieces for each block; a record's pieces are next to each other.
     inorder = Window.partitionBy("file").orderBy("place")
     first = F.max(F.when(F.col("kind") == _BEGINS, F.col("place"))).over(inorder)
-    parts = lines.mapInArrow(_joined(blocks, True, max_record), _SHAPE).withColumn("_first", first)
+    parts = lines.select("file", "block", "line").mapInArrow(
+        _pieces(blocks, max_record), _SHAPE
+    ).withColumn("_first", first)
     long = F.raise_error(F.concat(F.lit("a record is too long at line "), F.col("_first") + 1))
     put = parts.groupBy("_first").agg(
         F.sum(F.length("record")).alias("_size"),

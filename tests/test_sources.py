@@ -201,3 +201,25 @@ def test_other_columns_and_odd_headers(spark, tmp_path):
     frame = read_delimited(spark, f"{tmp_path}/x.csv", ["a", "A b", "none"], sep=",")
     assert frame.columns == ["a", "A b", ORDINAL]
     assert rows(frame, "a", "A b") == [("1", "2"), ("6", None), ("1", "2")]
+
+
+def test_turns_of_lines_in_files_are_those_of_letters(spark, tmp_path):
+    draw = random.Random(7)
+    lines = ["".join(draw.choice('aaé"\t') for _ in range(draw.randrange(12))) for _ in range(4000)]
+    lines = [line for line in lines if line]
+    put(tmp_path, "x.tsv", "\n".join(lines) + "\n")
+    found = records._lines(spark, f"{tmp_path}/x.tsv", "\t").collect()
+    assert len(found) == len(lines)
+    for r in found:
+        want = ends_within_quotes(r["line"]) + 2 * ends_within_quotes('"\n' + r["line"])
+        assert r["turns"] == want, r["line"]
+
+
+def test_only_one_pass_over_broken_records_looks_for_quotes(spark, tmp_path, conf):
+    """Which lines cross a border is known from the first pass."""
+    put(tmp_path, "x.tsv", 'a\tb\n' + '1\t"two ""x"" \nlines"\n' * 200)
+    small_splits(conf, 150)
+    frame = records.read_records(spark, f"{tmp_path}/x.tsv", "\t")
+    plan = frame._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("MapInArrow") == 2 and len(re.findall("RLIKE|rlike", plan)) == 2
+    assert sorted(r["place"] for r in frame.collect()) == [0, *range(1, 401, 2)]
