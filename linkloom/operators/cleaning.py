@@ -80,17 +80,21 @@ def clean_companies(
 
 
 def clean_patent_inventors(
-    raw: DataFrame, patents: DataFrame, inventors: DataFrame
+    raw: DataFrame, patents: DataFrame, inventors: DataFrame, counted: bool = False
 ) -> DataFrame:
-    """Distinct (patent_id, inventor_id) pairs whose two ends both exist."""
+    """Distinct (patent_id, inventor_id) pairs whose two ends both exist, or the counted stage of them."""
+    if counted:
+        return patent_inventors_stage(raw, patents, inventors)
     inventor = text.first_present(raw, "disambig_inventor_id", "inventor_id")
     return _links(raw, inventor.alias("inventor_id"), patents, inventors)
 
 
 def clean_patent_companies(
-    raw: DataFrame, patents: DataFrame, companies: DataFrame
+    raw: DataFrame, patents: DataFrame, companies: DataFrame, counted: bool = False
 ) -> DataFrame:
-    """Distinct (patent_id, company_id) pairs whose two ends both exist."""
+    """Distinct (patent_id, company_id) pairs whose two ends both exist, or the counted stage of them."""
+    if counted:
+        return patent_companies_stage(raw, patents, companies)
     company = text.first_present(raw, "disambig_assignee_id", "assignee_id")
     return _links(raw, company.alias("company_id"), patents, companies)
 

@@ -60,10 +60,10 @@ def run_job(
     patents, inventors, companies = (
         read_table(spark, store, n) for n in ("patents", "inventors", "companies")
     )
-    store_stage("patent_inventors", cleaning.patent_inventors_stage(
-        raw("g_patent_inventor"), patents, inventors))
-    store_stage("patent_companies", cleaning.patent_companies_stage(
-        raw("g_patent_assignee"), patents, companies))
+    store_stage("patent_inventors", cleaning.clean_patent_inventors(
+        raw("g_patent_inventor"), patents, inventors, True))
+    store_stage("patent_companies", cleaning.clean_patent_companies(
+        raw("g_patent_assignee"), patents, companies, True))
 
     tables = read_version(spark, store, unique_links=True, version=version)
     require_integrity(tables)
